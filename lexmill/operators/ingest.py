@@ -274,4 +274,4 @@ def quota_sample(df: DataFrame, id: str, group: str, date: str, plan: list[tuple
                     rows.append((value, entry, picked))
         return type(pdf)(rows, columns=[id, "entry", "rank"])
 
-    return pool.groupBy(F.lit(0)).applyInPandas(settle, f"{id} {id_type}, entry int, rank int")
+    return pool.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(settle, f"{id} {id_type}, entry int, rank int")
