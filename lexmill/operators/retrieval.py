@@ -237,7 +237,7 @@ def format_hits(hits: DataFrame) -> DataFrame:
         "query_id", "rank",
         F.when(F.coalesce(F.col("is_valid").cast("boolean"), F.lit(False)), "VIGENTE").otherwise("DEROGADA").alias("tag"),
         F.concat_ws(" ", F.coalesce("type", F.lit("")), F.coalesce(F.col("number"), F.lit(""))).alias("norm"),
-        F.format_number("score", "0.0000").alias("score_text"),
+        F.format_string("%.4f", F.col("score")).alias("score_text"),
         F.substring(F.coalesce("title", F.lit("")), 1, 90).alias("title"),
         F.coalesce("url", F.lit("")).alias("url"),
     )
