@@ -9,16 +9,11 @@ from pyspark.sql import functions as F
 
 from lexmill import fixed
 from lexmill.functions.html import MARK, SILENT, TAG, decode_entities
-from lexmill.functions.text import fold, present, strip
+from lexmill.functions.text import fold, let, present, strip
 
 END = "\u0002"
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate `value` once and pass it to `body`."""
-    return F.transform(F.array(value), body)[0]
-
-
 def contains_any(c: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
 
@@ -137,7 +132,8 @@ def has_repeal_note(block: Column) -> Column:
 def without_note(block: Column) -> Column:
     """Body before the first `(*)`; a very short body falls back to the opening of the block."""
     body = strip(F.regexp_replace(block, "(?sU)" + fixed.NOTE_TAIL, ""))
-    return F.when(F.length(body) < fixed.MIN_BODY_CHARS, F.substring(block, 1, fixed.FALLBACK_BODY_CHARS)).otherwise(body)
+    opening = F.substring(block, 1, fixed.FALLBACK_BODY_CHARS)
+    return let(body, lambda b: F.when(F.length(b) < fixed.MIN_BODY_CHARS, opening).otherwise(b))
 
 
 def label_article(df: DataFrame, block: str = "block") -> DataFrame:

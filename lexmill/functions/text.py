@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -16,6 +17,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and pass it to `body`."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (`trim` removes spaces only)."""
     return F.regexp_replace(_col(c), OUTER_WHITESPACE, "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.fixed import TITLE_STOPWORDS
-from lexmill.functions.text import WHITESPACE
+from lexmill.functions.text import WHITESPACE, let
 
 WORD = r"(?U)\b\w\w+\b"
 TITLE_WORD = r"(?U)\w[\w']*"
@@ -46,3 +46,17 @@ def title_words(c: Column | str, stopwords: list[str] | None = None) -> Column:
     """Words of a title without stopwords; repeats stay."""
     words = F.regexp_extract_all(F.lower(_col(c)), F.lit(TITLE_WORD), 0)
     return F.filter(words, lambda w: ~w.isin(stopwords or TITLE_STOPWORDS))
+
+
+def term_counts(tokens: Column) -> Column:
+    """(term, tf) of one document as an array: the tokens sorted, then cut where the term changes."""
+
+    def cut(s, starts):
+        last = lambda j: F.coalesce(F.get(starts, j + 1), F.size(s))
+        return F.transform(starts, lambda p, j: F.struct(F.get(s, p).alias("term"), (last(j) - p).cast("long").alias("tf")))
+
+    def runs(s):
+        places = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(places, lambda starts: cut(s, starts))
+
+    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), runs))

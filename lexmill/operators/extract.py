@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lexmill import fixed
 from lexmill.functions.html import MARK, html_to_text
-from lexmill.functions.rules import END, contains_any, let
-from lexmill.functions.text import squash, strip
+from lexmill.functions.rules import END, contains_any
+from lexmill.functions.text import let, squash, strip
 from lexmill.functions.tokens import tokens_ngrams, tokens_ws
 
 LINE_FLAGS = "(?iuU)(?dm)"
@@ -70,10 +70,10 @@ def _pattern_matches(text: Column, index: int, pattern: str, label: str) -> Colu
             start = F.greatest(i + 2 - CONTEXT_PIECES, F.lit(1))
             before = F.array_join(F.slice(tails, start, i + 2 - start), "")
             return F.struct(
-                strip(squash(F.substring_index(piece, END, 1))).alias("target_text"),
+                squash(F.substring_index(piece, END, 1)).alias("target_text"),
                 F.lit(index).alias("pattern"),
                 i.alias("pos"),
-                citation_type(F.lower(F.right(before, F.lit(n)))).alias("citation_type"),
+                let(F.lower(F.right(before, F.lit(n))), citation_type).alias("citation_type"),
                 F.lit(label).alias("source_type"),
             )
 
@@ -92,15 +92,17 @@ def citations_of(text: Column) -> Column:
     Everything stays inside the row: repeats are dropped by sorting on the target
     and comparing neighbours, so no shuffle is needed.
     """
-    text = F.translate(text, MARK + END, "")
-    found = F.concat(*[_pattern_matches(text, i, p, label) for i, (p, label) in enumerate(fixed.CITATION_PATTERNS)])
+
+    def found(t):
+        return F.concat(*[_pattern_matches(t, i, p, label) for i, (p, label) in enumerate(fixed.CITATION_PATTERNS)])
 
     def first_per_target(s):
         kept = F.filter(s, lambda x, i: (i == 0) | (x["target_text"] != F.get(s, i - 1)["target_text"]))
-        return F.array_sort(F.transform(kept, lambda x: F.struct(
+        return F.sort_array(F.transform(kept, lambda x: F.struct(
             x["pattern"], x["pos"], x["target_text"], x["citation_type"], x["source_type"])))
 
-    return let(F.array_sort(found), first_per_target)
+    matches = let(F.translate(text, MARK + END, ""), found)
+    return let(F.sort_array(matches), first_per_target)
 
 
 def extract_citations(df: DataFrame, id: str, text: str, max_citations: int | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill import fixed
-from lexmill.functions.tokens import tokens_ws
+from lexmill.functions.tokens import term_counts, tokens_ws
 from lexmill.operators.skew import BROADCAST_ROWS
 
 SCORE_DIGITS = 9
@@ -159,10 +159,15 @@ class Bm25Index(NamedTuple):
 
 
 def bm25_postings(df: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, term, tf, dl. Whole documents are moved once by id; counting then needs no further shuffle."""
-    docs = df.select(F.col(id).alias("doc_id"), tokens_ws(text).alias("_t")).repartition("doc_id")
-    tokens = docs.select("doc_id", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
-    return tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
+    """doc_id, term, tf, dl. Whole documents are moved once by id, so that later work per document stays in place."""
+    docs = df.select(F.col(id).alias("doc_id"), F.col(text).alias("_x")).repartition("doc_id")
+    counted = docs.select("doc_id", tokens_ws("_x").alias("_t")).select("doc_id", F.size("_t").alias("dl"), F.explode(term_counts(F.col("_t"))).alias("p"))
+    return counted.select("doc_id", "p.term", "p.tf", "dl")
+
+
+def document_frequency(df: DataFrame, text: str) -> DataFrame:
+    """term, df. Each document lists its distinct terms where it lies; only counts are shuffled."""
+    return df.select(F.explode(F.array_distinct(tokens_ws(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def raw_idf(n: Column, df: Column) -> Column:
@@ -175,7 +180,7 @@ def bm25_index(df: DataFrame, id: str, text: str) -> Bm25Index:
     lengths = df.select(F.col(id).alias("doc_id"), F.size(tokens_ws(text)).alias("dl"))
     sizes = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     n = sizes.select("n").scalar()
-    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_raw", raw_idf(n, F.col("df")))
+    dfs = document_frequency(df, text).withColumn("_raw", raw_idf(n, F.col("df")))
     stats = dfs.agg(F.avg("_raw").alias("mean_idf"), F.count(F.lit(1)).alias("n_terms")).select(
         n.alias("n"), sizes.select("avgdl").scalar().alias("avgdl"), "mean_idf", "n_terms"
     )

@@ -18,6 +18,15 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan that yields fewer tasks than there are cores is dealt out to all of them; a larger one stays as it is.
+
+    For work that costs far more per row than moving the row, on input of few files.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def order_slices(df: DataFrame, col: str, n: int = 64) -> Column:
     """Slice number that grows with a numeric or time column and cuts the rows into about equal parts."""
     value = F.col(col).cast("timestamp").cast("double") if dict(df.dtypes)[col].startswith("timestamp") else F.col(col).cast("double")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.plans.registry import table
+from lexmill.plans.registry import table, wide_table
 
 
 def _text(expr: str) -> str:
@@ -52,7 +52,7 @@ NORMS_SQL = "select " + ",\n ".join(f'{e} as "{n}"' for n, e in NORM_COLUMNS.ite
 
 
 def norms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} as `{n}`" for n, e in NORM_COLUMNS.items()])
+    return wide_table(spark, sf_dir, "orders").selectExpr(*[f"{e} as `{n}`" for n, e in NORM_COLUMNS.items()])
 
 
 ARTICLES_SQL = "select " + """n.id, i.i as "order", trim(string_split(n.raw_text, chr(10))[i.i + 1]) as content

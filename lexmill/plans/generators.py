@@ -8,7 +8,7 @@ from lexmill import fixed
 from lexmill.functions.tokens import title_words
 from lexmill.operators import extract
 from lexmill.plans.corpus import ARTICLES_SQL, CODE_BLOCKS_SQL, NORMS_SQL, codes, norms
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import query, table, wide_table
 
 _CUES = {k: " or ".join(f"contains(ctx, '{w}')" for w in ws) for k, ws in fixed.CITATION_CUES}
 
@@ -37,7 +37,7 @@ def t1_articles(spark, sf):
 @query("t1_articles_pages", "select page_id as id, 0 as n from pages where false")
 def t1_articles_pages(spark, sf):
     """HTML in, no article heading inside: no rows."""
-    arts = extract.extract_articles(table(spark, sf, "pages").withColumnRenamed("page_id", "id"), "id", "html")
+    arts = extract.extract_articles(wide_table(spark, sf, "pages").withColumnRenamed("page_id", "id"), "id", "html")
     return arts.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -66,7 +66,7 @@ def t4_capped_norms(spark, sf):
 
 @query("t5_tokens", "select doc_id, term, count(*) as n from (select doc_id, unnest(regexp_split_to_array(lower(text), '\\s+')) as term from documents) where term <> '' group by all")
 def t5_tokens(spark, sf):
-    return extract.explode_tokens(table(spark, sf, "documents"), "doc_id", "text").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    return extract.explode_tokens(wide_table(spark, sf, "documents"), "doc_id", "text").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 _WORDS = "select {id}, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') as w from {t}"
@@ -79,7 +79,7 @@ def grams_sql(t: str, id: str) -> str:
 
 @query("t6_ngrams", f"select doc_id, term, count(*) as n from ({grams_sql('documents', 'doc_id')}) group by all")
 def t6_ngrams(spark, sf):
-    return extract.explode_tokens(table(spark, sf, "documents"), "doc_id", "text", "ngrams").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    return extract.explode_tokens(wide_table(spark, sf, "documents"), "doc_id", "text", "ngrams").groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 STOP_SQL = ", ".join(f"'{w}'" for w in fixed.TITLE_STOPWORDS)

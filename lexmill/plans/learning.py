@@ -10,7 +10,7 @@ from lexmill.operators import classify, dataset, features
 from lexmill.operators.extract import split_code_articles
 from lexmill.plans.corpus import CODE_BLOCKS_SQL, codes
 from lexmill.plans.generators import grams_sql
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import query, table, wide_table
 from lexmill.session import scratch_path, stage
 
 
@@ -34,7 +34,7 @@ def m1_balance_events(spark, sf):
 
 @query("m2_split", f"select doc_id, lang, case when ('0x' || left({_digest('doc_id')}, 8))::ubigint / 4294967296.0 < 0.15 then 'test' else 'train' end as part from documents")
 def m2_split(spark, sf):
-    return dataset.stratified_split(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id")
+    return dataset.stratified_split(wide_table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id")
 
 
 @query("m2_split_exact", f"""with c as (select lang, count(*) as n from documents group by lang), t as (select sum(n) as total, ceil(sum(n) * 0.15) as want from c),
@@ -43,7 +43,7 @@ q2 as (select lang, low + (row_number() over (order by round(e - low, 9) desc, l
 r as (select doc_id, lang, row_number() over (partition by lang order by {_digest('doc_id')}) as rn from documents)
 select doc_id, r.lang, case when rn <= quota then 'test' else 'train' end as part from r join q2 on q2.lang = r.lang""")
 def m2_split_exact(spark, sf):
-    return dataset.stratified_split(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", exact=True)
+    return dataset.stratified_split(wide_table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", exact=True)
 
 
 @query("m2_folds", f"select doc_id, quality, (row_number() over (partition by quality order by {_digest('doc_id')}) - 1) % 5 as fold from labels")
@@ -60,24 +60,24 @@ tfidf as (select doc_id, term, idx, w / sqrt(sum(w * w) over (partition by doc_i
 
 
 def _vocabulary(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = wide_table(spark, sf, "documents")
     postings = features.ngram_postings(docs, "doc_id", "text")
-    return postings, features.fit_vocabulary(postings, docs.select(F.count(F.lit(1))).scalar(), VOCAB)
+    return features.fit_vocabulary(postings, docs.select(F.count(F.lit(1))).scalar(), VOCAB)
 
 
 @query("m3_vocabulary", f"with {TFIDF_SQL} select term, idx, df, round(idf, 6) as idf from idf")
 def m3_vocabulary(spark, sf):
-    return _vocabulary(spark, sf)[1].withColumn("idf", F.round("idf", 6))
+    return _vocabulary(spark, sf).withColumn("idf", F.round("idf", 6))
 
 
 @query("m3_tfidf", f"with {TFIDF_SQL} select doc_id, term, idx, round(weight, 6) as weight from tfidf")
 def m3_tfidf(spark, sf):
-    return features.tfidf(table(spark, sf, "documents"), "doc_id", "text", VOCAB).withColumn("weight", F.round("weight", 6))
+    return features.tfidf(wide_table(spark, sf, "documents"), "doc_id", "text", VOCAB).withColumn("weight", F.round("weight", 6))
 
 
 @query("m4_weights", "select lang, round(sum(count(*)) over () / (count(*) over () * count(*)), 6) as weight from documents group by lang")
 def m4_weights(spark, sf):
-    return dataset.class_weights(table(spark, sf, "documents"), "lang").withColumn("weight", F.round("weight", 6))
+    return dataset.class_weights(wide_table(spark, sf, "documents"), "lang").withColumn("weight", F.round("weight", 6))
 
 
 _PRED_SQL = "pred as (select quality as label, 1 - toxic as prediction from labels)"
@@ -117,7 +117,7 @@ a as (select term, (inside + (n - nnz) * abs(coef * mean)) / n as attribution fr
 select term, round(attribution, 6) as attribution from a order by a.attribution desc, term limit 20""")
 def m12_linear_shap(spark, sf):
     """Attribution of a centroid rule: each term weighs its sum over good documents less its sum over the rest."""
-    docs = table(spark, sf, "documents")
+    docs = wide_table(spark, sf, "documents")
     weights = stage(features.tfidf(docs, "doc_id", "text", VOCAB), "tfidf")
     good = table(spark, sf, "labels").where("quality = 1").select("doc_id", F.lit(1).alias("good"))
     sign = F.when(F.col("good") == 1, 1).otherwise(-1)
@@ -138,7 +138,7 @@ def m14_require(spark, sf):
 def article_samples(spark, sf):
     """Balanced, labelled articles of the derived codes: doc_id, label, text (note removed), raw_text."""
     labelled = label_article(split_code_articles(codes(spark, sf), "code_id", "text"))
-    keyed = labelled.withColumn("doc_id", F.concat_ws("#", "code_id", "article_num"))
+    keyed = stage(labelled.withColumn("doc_id", F.concat_ws("#", "code_id", "article_num")), "labelled")
     return dataset.balance(keyed, "label", "doc_id").select("doc_id", "label", "text", "raw_text")
 
 
@@ -167,7 +167,7 @@ def m5_logreg(spark, sf):
 @query("m5_logreg_documents")
 def m5_logreg_documents(spark, sf):
     """Quality of whole documents from their text."""
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    docs = wide_table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
     parts = stage(dataset.stratified_split(docs, "label", "doc_id"), "parts")
     postings = stage(features.ngram_postings(parts, "doc_id", "text"), "postings")
     trained = classify.fit_text_model(parts.where("part = 'train'").select("doc_id", "label"), postings, "label", VOCAB, 2, classify.train_logreg)
@@ -217,7 +217,7 @@ LANGS = ["de", "en", "es", "fr"]
 
 def _forest(spark, sf):
     code = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang")).cast("int") - 1
-    docs = dataset.keep_common_classes(table(spark, sf, "documents").select("doc_id", "text", code.alias("label")), "label", 5, 0, len(LANGS) - 1)
+    docs = dataset.keep_common_classes(wide_table(spark, sf, "documents").select("doc_id", "text", code.alias("label")), "label", 5, 0, len(LANGS) - 1)
     parts = stage(dataset.stratified_split(docs, "label", "doc_id"), "parts")
     postings = stage(features.ngram_postings(parts, "doc_id", "text"), "postings")
     trained = classify.fit_text_model(parts.where("part = 'train'").select("doc_id", "label"), postings, "label", 15_000, 2, classify.train_forest)

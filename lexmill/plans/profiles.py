@@ -10,7 +10,7 @@ from lexmill.operators.extract import extract_articles, extract_citations, split
 from lexmill.plans.corpus import ARTICLES_SQL, CODE_BLOCKS_SQL, NORMS_SQL, codes, norms
 from lexmill.plans.generators import CITATIONS_SQL, TITLE_WORDS_SQL
 from lexmill.plans.joins import OUTCOMES_SQL, j5_outcomes, versions
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import query, table, wide_table
 
 
 @query("a1_type_counts", f"with norms as ({NORMS_SQL}) select coalesce(nullif(type, 'LEY'), 'Sin tipo') as type, count(*) as n from norms group by all order by n desc, type limit 12")
@@ -36,7 +36,7 @@ def a3_top_words(spark, sf):
 @query("a3_top_words_documents", """select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_][\\p{L}\\p{N}_'']*')) as word from documents)
  where word not in ('the', 'de') group by word order by n desc, word limit 80""")
 def a3_top_words_documents(spark, sf):
-    return profile.top_words(table(spark, sf, "documents"), "text", stopwords=["the", "de"])
+    return profile.top_words(wide_table(spark, sf, "documents"), "text", stopwords=["the", "de"])
 
 
 @query("a4_pivot", """select d.lang, count(*) filter (quality = 0) as "Derogado", count(*) filter (quality = 1) as "Vigente", count(*) as total from documents d join labels l on l.doc_id = d.doc_id group by d.lang""")

@@ -9,7 +9,7 @@ from lexmill.functions import html, rules, text
 from lexmill.operators import ingest, profile
 from lexmill.operators.extract import min_length
 from lexmill.plans.corpus import CODE_BLOCKS_SQL, NORMS_SQL, norms
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import query, table, wide_table
 from lexmill.plans.scans import details, search_documents
 
 WS = "' ' || chr(9) || chr(10) || chr(13)"
@@ -24,12 +24,12 @@ def _plain_html_sql(sep: str) -> str:
 
 @query("p1_html_lines", f"select page_id, {_plain_html_sql('chr(10)')} as text from pages")
 def p1_html_lines(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.html_to_text("html", "\n").alias("text"))
+    return wide_table(spark, sf, "pages").select("page_id", html.html_to_text("html", "\n").alias("text"))
 
 
 @query("p1_html_spaces", f"select page_id, {_plain_html_sql(chr(39) + ' ' + chr(39))} as text from pages")
 def p1_html_spaces(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html.html_to_text("html", " ", always=True).alias("text"))
+    return wide_table(spark, sf, "pages").select("page_id", html.html_to_text("html", " ", always=True).alias("text"))
 
 
 @query("p2_squash", f"select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as text from documents")
@@ -39,7 +39,7 @@ def p2_squash(spark, sf):
 
 @query("p3_fold", "select doc_id, strip_accents(lower(text)) as text from documents")
 def p3_fold(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.fold("text").alias("text"))
+    return wide_table(spark, sf, "documents").select("doc_id", text.fold("text").alias("text"))
 
 
 def _level_case(c: str) -> str:
@@ -74,7 +74,7 @@ def p6_hash(spark, sf):
 
 @query("p7_urls", """select page_id, regexp_extract(rtrim(url, '/'), '[^/]*$') as tail, concat('https://example.org/#/detallenorma/', page_id) as detail from pages""")
 def p7_urls(spark, sf):
-    return table(spark, sf, "pages").select("page_id", text.url_tail("url").alias("tail"), text.detail_url("page_id").alias("detail"))
+    return wide_table(spark, sf, "pages").select("page_id", text.url_tail("url").alias("tail"), text.detail_url("page_id").alias("detail"))
 
 
 @query("p8_titles", f"""with norms as ({NORMS_SQL}) select id, case id % 4 when 0 then title when 1 then concat('R ', title) when 2 then number else cast(id as varchar) end as picked from norms""")
@@ -164,7 +164,7 @@ _PHRASES = ["nicht", "the ", "que", " la "]
 @query("p18_banner", f"""with a as ({_BANNER_SQL}), d as (select page_id, trim(replace(replace(replace(replace(ad, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&')) as ad from a)
 select page_id, case when {' or '.join(f"contains(lower(ad), '{p}')" for p in _PHRASES)} then concat('DEROGADA: ', left(ad, 80)) end as status from d""")
 def p18_banner(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = wide_table(spark, sf, "pages")
     return pages.select("page_id", rules.banner_status("html", [("class", "ad")], _PHRASES).alias("s")).select("page_id", "s.status")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill import fixed
 from lexmill.operators import irmetrics, retrieval
 from lexmill.plans.corpus import NORMS_SQL, norms
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import query, table, wide_table
 
 # --- Text search: benchmark texts against documents -------------------------------
 
@@ -35,7 +35,7 @@ def _queries(spark, sf):
 
 
 def _bm25(spark, sf, k=5, keep=None):
-    index = retrieval.bm25_index(table(spark, sf, "documents"), "doc_id", "text")
+    index = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text")
     return retrieval.bm25_topk(_queries(spark, sf), index, k, keep=keep)
 
 
@@ -45,13 +45,13 @@ def _rounded(hits):
 
 @query("r4_bm25_stats", f"with {_BM25} select n, round(avgdl, 6) as avgdl, round(mean_idf, 6) as mean_idf, n_terms from bm_stat, bm_mean")
 def r4_bm25_stats(spark, sf):
-    stats = retrieval.bm25_index(table(spark, sf, "documents"), "doc_id", "text").stats
+    stats = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text").stats
     return stats.select("n", F.round("avgdl", 6).alias("avgdl"), F.round("mean_idf", 6).alias("mean_idf"), "n_terms")
 
 
 @query("r4_bm25_terms", f"with {_BM25} select term, df, round(idf, 6) as idf from bm_idf")
 def r4_bm25_terms(spark, sf):
-    terms = retrieval.bm25_index(table(spark, sf, "documents"), "doc_id", "text").terms
+    terms = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text").terms
     return terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -71,7 +71,7 @@ def r5_bm25_valid(spark, sf):
 @query("f7_positive", f"with {_BM25} select query_id, count(*) as n from bm_score where score > 0 group by query_id")
 def f7_positive(spark, sf):
     """How many documents score above zero for each query: the size of the full ranking, before any cut."""
-    index = retrieval.bm25_index(table(spark, sf, "documents"), "doc_id", "text")
+    index = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text")
     weights = retrieval.query_terms(_queries(spark, sf), "query_id", "query").join(index.terms, "term")
     out = None
     for matched in retrieval.match_terms(weights.select("query_id", "term", "qtf", "idf"), index.postings):
@@ -83,7 +83,7 @@ def f7_positive(spark, sf):
 
 @query("j8_terms", f"with {_BM25} select query_id, count(*) as matches, sum(tf)::bigint as occurrences from bm_q join bm_post using (term) group by query_id")
 def j8_terms(spark, sf):
-    postings = retrieval.bm25_postings(table(spark, sf, "documents"), "doc_id", "text")
+    postings = retrieval.bm25_postings(wide_table(spark, sf, "documents"), "doc_id", "text")
     weights = retrieval.query_terms(_queries(spark, sf), "query_id", "query")
     blocks = [m.groupBy("query_id").agg(F.count(F.lit(1)).alias("matches"), F.sum("tf").alias("occurrences")) for m in retrieval.match_terms(weights, postings)]
     out = blocks[0]
@@ -180,7 +180,7 @@ def _hashed_sql(name: str, source: str, id: str, text: str) -> str:
 
 @query("r1_encode", f"with {_hashed_sql('e', 'documents', 'doc_id', 'text')} select id as doc_id, count(*) as filled, round(max(x), 5) as largest, round(sum(x * (d + 1)), 3) as mixed from e group by id")
 def r1_encode(spark, sf):
-    vectors = retrieval.encode(table(spark, sf, "documents").select("doc_id", "text"), "text", retrieval.hashed_terms_encoder(DIM))
+    vectors = retrieval.encode(wide_table(spark, sf, "documents").select("doc_id", "text"), "text", retrieval.hashed_terms_encoder(DIM))
     x = F.col("embedding").cast("array<double>")
     filled = F.size(F.filter(x, lambda v: v != 0)).cast("long")
     mixed = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
@@ -193,7 +193,7 @@ ds as (select q.id as query_id, e.id as doc_id, round(sum(q.x * e.x), 9) as scor
 
 def _dense_text(spark, sf, k=5):
     encoder = retrieval.hashed_terms_encoder(DIM)
-    index = retrieval.encode(table(spark, sf, "documents").select("doc_id", "text"), "text", encoder)
+    index = retrieval.encode(wide_table(spark, sf, "documents").select("doc_id", "text"), "text", encoder)
     queries = retrieval.encode(_queries(spark, sf), "query", encoder)
     return retrieval.dense_topk(queries, index, k)
 
@@ -235,7 +235,7 @@ def _judgements(spark, sf):
 
 
 def _systems(spark, sf):
-    meta = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"), F.col("lang").alias("type"))
+    meta = wide_table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"), F.col("lang").alias("type"))
     return {name: hits.join(meta, "doc_id") for name, hits in (("dense", _dense_text(spark, sf)), ("bm25", _bm25(spark, sf)))}
 
 
