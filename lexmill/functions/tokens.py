@@ -18,7 +18,7 @@ def _col(c: Column | str) -> Column:
 
 def tokens_ws(c: Column | str) -> Column:
     """Lower-cased pieces between whitespace; punctuation stays on."""
-    return F.filter(F.split(F.lower(_col(c)), WHITESPACE), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_col(c)), WHITESPACE), "")
 
 
 def tokens_words(c: Column | str) -> Column:
@@ -39,7 +39,7 @@ def ngrams(words: Column, low: int = 1, high: int = 2) -> Column:
 
 
 def tokens_ngrams(c: Column | str, low: int = 1, high: int = 2) -> Column:
-    return ngrams(tokens_words(c), low, high)
+    return let(tokens_words(c), lambda words: ngrams(words, low, high))
 
 
 def title_words(c: Column | str, stopwords: list[str] | None = None) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lexmill import fixed, schemas
 from lexmill.functions.text import present
 from lexmill.operators.skew import first_by, hash_rank, lag_sliced, order_slices
+from lexmill.session import stage
 
 
 # --- Fields -------------------------------------------------------------------
@@ -135,10 +136,11 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
 
     Items of one url are taken in `seq` order. A changed hash replaces the
     metadata and adds a version; the validity fields are set when a norm is
-    added and never by an update; an unchanged item touches nothing.
+    added and never by an update; an unchanged item touches nothing. The judged
+    items feed norms, versions and outcomes, so they are staged once.
     """
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
-    items = merge_outcomes(norms, truncate_fields(batch).drop("cut_fields"), slices=slices)
+    items = stage(merge_outcomes(norms, truncate_fields(batch).drop("cut_fields"), slices=slices), "items")
     changed = items.where(F.col("outcome") != "unchanged")
     valid = F.coalesce(F.col("is_valid").cast("int"), F.lit(1))
     per_url = changed.groupBy("url").agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import fixed
+from lexmill.session import stage
 
 KEY = ["system", "query_id"]
 
@@ -86,11 +87,14 @@ def keyword_recall_at_k(judged: DataFrame, queries: DataFrame, k: int, systems:
 
 
 def evaluate(queries: DataFrame, systems: dict[str, DataFrame], k: int) -> DataFrame:
-    """All metrics per system and query. Each system's hits carry query_id, rank, title, type."""
+    """All metrics per system and query. Each system's hits carry query_id, rank, title, type.
+
+    The judged hits feed two branches and are few, so they are staged once.
+    """
     hits = reduce(DataFrame.unionByName, [
         df.select(F.lit(name).alias("system"), "query_id", "rank", "title", "type") for name, df in systems.items()
     ])
-    judged = judge(hits, queries)
+    judged = stage(judge(hits, queries), "judged")
     base = finish_ndcg(_per_query(_top(judged, k), queries, list(systems), [precision_col(k), mrr_col(), *ndcg_cols()]))
     return base.join(keyword_recall_at_k(judged, queries, k, list(systems)), KEY)
 

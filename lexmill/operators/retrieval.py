@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lexmill import fixed
 from lexmill.functions.tokens import term_counts, tokens_ws
 from lexmill.operators.skew import BROADCAST_ROWS
+from lexmill.session import stage
 
 SCORE_DIGITS = 9
 
@@ -210,11 +211,12 @@ def bm25_topk(queries: DataFrame, index: Bm25Index, k: int, query_id: str = "que
     """Top k positive scores per query: query_id, doc_id, score, rank. `keep` (doc_id) filters after scoring.
 
     Postings lie together by document, so a document is scored where it is, and
-    each task passes on at most k rows per query.
+    each task passes on at most k rows per query. The query weights are staged,
+    because their number decides how they are handed out.
     """
-    weights = query_terms(queries, query_id, text).join(index.terms.select("term", "idf"), "term")
+    weights = stage(query_terms(queries, query_id, text).join(index.terms.select("term", "idf"), "term"), "weights")
     k1, b = fixed.BM25_K1, fixed.BM25_B
-    avgdl = index.stats.select("avgdl").scalar()
+    avgdl = index.lengths.select(F.avg("dl")).scalar()
     tf, dl = F.col("tf"), F.col("dl")
     part = F.col("qtf") * F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
     tops = []

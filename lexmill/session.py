@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def build_session(app: str = "lexmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -45,7 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", schema: StructType | None = None) -> DataFrame:
     """Write `df` once under the shared folder and read it back, with short lineage.
 
     Used where one result feeds several branches; the files outlive lost executors.
@@ -53,4 +54,4 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

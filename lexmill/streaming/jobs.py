@@ -46,8 +46,7 @@ def ingest_stream(items: DataFrame, root: str, checkpoint: str, now: Column | No
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         old = {name: snapshot(spark, root, name, epoch - 1) for name in STREAM_TABLES}
-        items_now = stage(batch, "batch")
-        merged = merge_versions(old["norms"], old["norm_versions"], items_now, now)
+        merged = merge_versions(old["norms"], old["norm_versions"], batch, now)
         paths = {name: f"{root}/{name}/epoch-{epoch}" for name in STREAM_TABLES}
         merged.norms.write.mode("overwrite").parquet(paths["norms"])
         merged.versions.write.mode("overwrite").parquet(paths["norm_versions"])
