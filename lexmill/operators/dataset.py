@@ -20,8 +20,8 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """label, weight = n / (classes * n_c)."""
     counts = class_counts(df, label)
-    whole = Window.partitionBy()
-    return counts.select(label, (F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n"))).alias("weight"))
+    total, classes = (counts.select(f).scalar() for f in (F.sum("n"), F.count(F.lit(1))))
+    return counts.select(label, (total / (classes * F.col("n"))).alias("weight"))
 
 
 def keep_common_classes(df: DataFrame, label: str, at_least: int = 5, low: int | None = None, high: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexmill import fixed, schemas
 from lexmill.functions.text import present
-from lexmill.operators.skew import first_by, hash_rank, lag_sliced, order_slices
+from lexmill.operators.skew import first_by, hash_rank, lag_sliced, order_slices, salted_join
 from lexmill.session import stage
 
 
@@ -119,15 +119,15 @@ def merge_outcomes(norms: DataFrame, batch: DataFrame, key: str = "url", seq: st
                    slices: Column | None = None) -> DataFrame:
     """The batch with `norm_id` (null for new keys) and `outcome`: added, updated or unchanged, item by item."""
     slices = order_slices(batch, seq) if slices is None else slices
-    items = lag_sliced(batch, [key], [seq], F.col(hash), slices, "_prev")
     known = norms.select(key, F.col("id").alias("norm_id"), F.col("last_hash").alias("_known"))
+    items = lag_sliced(batch, [key], [seq], F.col(hash), slices, "_prev", attach=known)
     before = F.when(F.col("_prev").isNotNull(), F.col("_prev.v")).otherwise(F.col("_known"))
     outcome = (
         F.when(F.col("_prev").isNull() & F.col("norm_id").isNull(), "added")
         .when(~before.eqNullSafe(F.col(hash)), "updated")
         .otherwise("unchanged")
     )
-    return items.join(known, key, "left").withColumn("outcome", outcome).drop("_prev", "_known")
+    return items.withColumn("outcome", outcome).drop("_prev", "_known")
 
 
 def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now: datetime | Column,
@@ -181,16 +181,14 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
     )
 
     snap = F.to_json(F.struct("url", *META))
-    added_versions = changed.drop("norm_id").join(changes.select("url", "norm_id"), "url")
+    added_versions = salted_join(changed.drop("norm_id"), changes.select("url", "norm_id"), "url", "seq")
     vbase = F.coalesce(versions.select(F.max("id")).scalar(), F.lit(0))
     digest = F.sha2(F.concat_ws("|", "url", F.col("seq").cast("string")), 256)
     numbered = hash_rank(added_versions, digest, out="rank")
     appended = numbered.select(
         (vbase + F.col("rank")).alias("id"), "norm_id", now.alias("version_date"), "text_hash", "raw_text", snap.alias("metadata_json")
     )
-    outcomes = items.drop("norm_id").join(
-        merged.select("url", F.col("id").alias("norm_id")), "url"
-    )
+    outcomes = salted_join(items, new_ids, "url", "seq", "left").withColumn("norm_id", F.coalesce("norm_id", "new_id")).drop("new_id")
     return Merge(merged, versions.unionByName(schemas.conform(appended, schemas.VERSIONS)), outcomes)
 
 

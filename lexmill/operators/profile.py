@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill import fixed
-from lexmill.functions.text import present, short_hash, type_and_number
+from lexmill.functions.text import number_token, short_hash, type_and_number
 from lexmill.functions.tokens import title_words
+from lexmill.operators.skew import first_by
 
 
 def count_by(df: DataFrame, col: str, fill: str = fixed.TYPE_MISSING, n: int | None = 12) -> DataFrame:
@@ -39,9 +40,9 @@ def label_pivot(df: DataFrame, group: str, label: str, names: dict | None = None
 
 
 def share_by(df: DataFrame, col: str, fill: str = fixed.CITATION_DEFAULT) -> DataFrame:
-    """Rows per value and their percentage. The total is summed over the counts, one row per value."""
+    """Rows per value and their percentage."""
     counts = df.groupBy(F.coalesce(F.col(col), F.lit(fill)).alias(col)).agg(F.count(F.lit(1)).alias("n"))
-    pct = F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1)
+    pct = F.round(100.0 * F.col("n") / counts.select(F.sum("n")).scalar(), 1)
     return counts.withColumn("pct", pct)
 
 
@@ -116,12 +117,12 @@ def display_versions(versions: DataFrame) -> DataFrame:
 
 def find_by_number(targets: DataFrame, docs: DataFrame, id: str, number: str = "number", title: str = "title") -> DataFrame:
     """For each target number the first document (by id) with the same number token whose title holds
-    the full number in any case; `found` is false where there is none.
+    the full number in any case; `found` is false where there is none. Copies of a
+    title are folded to their first document before the join.
     """
-    from lexmill.functions.text import number_token
-
     t = targets.select(number).distinct().withColumn("_token", F.coalesce(number_token(number), F.col(number)))
     d = docs.select(F.col(id), F.col(title).alias("_title"), F.coalesce(number_token(number), F.col(number)).alias("_token"))
+    d = d.groupBy("_token", "_title").agg(F.min(id).alias(id))
     hits = t.join(d, "_token").where(F.upper("_title").contains(F.upper(number)))
     first = hits.groupBy(number).agg(F.min(id).alias(id))
     return targets.join(first, number, "left").withColumn("found", F.col(id).isNotNull())
@@ -129,10 +130,4 @@ def find_by_number(targets: DataFrame, docs: DataFrame, id: str, number: str = "
 
 def distinct_first(df: DataFrame, cols: list[str], order: list[str]) -> DataFrame:
     """One row per value of `cols`, the first by an order."""
-    from lexmill.operators.skew import first_by
-
     return first_by(df, cols, order)
-
-
-def blank_to_null(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: present(c) for c in cols})

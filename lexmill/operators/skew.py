@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+from lexmill.functions.text import let
 
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only for a side counted to be small; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+BROADCAST_ROWS = 200_000
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -27,28 +21,48 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def order_slices(df: DataFrame, col: str, n: int = 64) -> Column:
-    """Slice number that grows with a numeric or time column and cuts the rows into about equal parts."""
-    value = F.col(col).cast("timestamp").cast("double") if dict(df.dtypes)[col].startswith("timestamp") else F.col(col).cast("double")
-    bounds = df.select(value.alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 1 / (4 * n))
-    cuts = sorted(set(bounds))
+def order_slices(df: DataFrame, col: str, n: int | None = None) -> Column:
+    """Slice number that grows with a numeric or time column and cuts the rows into about equal parts.
+
+    There are as many slices as shuffle partitions (64 at least), so one hot key
+    still fills every task. The cuts are looked up in two steps, among groups of
+    cuts and then within one.
+    """
+    spark = df.sparkSession
+    n = n or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    is_time = dict(df.dtypes)[col].startswith("timestamp")
+    value = (F.col(col).cast("timestamp") if is_time else F.col(col)).cast("double")
+    cuts = sorted(set(df.select(value.alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 1 / (4 * n))))
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in cuts]), lambda b: b <= value))
+    step = max(1, isqrt(len(cuts)))
+    groups = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+
+    def below(bounds: Column, v: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b <= v))
 
+    firsts = F.array(*[F.lit(g[0]) for g in groups])
+    all_groups = F.array(*[F.array(*[F.lit(b) for b in g]) for g in groups])
+    within = lambda v, g: F.when(g == 0, 0).otherwise((g - 1) * step + below(F.get(all_groups, g - 1), v))
+    return let(value, lambda v: let(below(firsts, v), lambda g: within(v, g)))
 
-def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, slice_by: Column, out: str) -> DataFrame:
+
+def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, slice_by: Column, out: str,
+               attach: DataFrame | None = None) -> DataFrame:
     """The previous row's `value` within `key`, as a struct with field v, null on the first row.
 
     A plain `lag` sorts each key in one task. Here each key is cut into slices
     along the order; the last value of a slice is carried to the first row of
-    the next through a table of one row per key and slice.
+    the next through a table of one row per key and slice. Columns of `attach`
+    (one row per key) travel with that table, so no join meets a hot key.
     """
     sliced = df.withColumn("_slice", slice_by)
     near = F.lag(F.struct(value.alias("v"))).over(Window.partitionBy(*key, "_slice").orderBy(*order))
     tails = sliced.groupBy(*key, "_slice").agg(F.max_by(F.struct(value.alias("v")), F.struct(*order)).alias("_tail"))
     far = F.lag("_tail").over(Window.partitionBy(*key).orderBy("_slice"))
     carried = tails.select(*key, "_slice", far.alias("_far"))
+    if attach is not None:
+        carried = carried.join(attach, key, "left")
     return (
         sliced.withColumn("_near", near)
         .join(carried, [*key, "_slice"], "left")
@@ -57,6 +71,16 @@ def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, s
     )
 
 
+def salted_join(rows: DataFrame, per_key: DataFrame, key: str, spread_by: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join rows, of which one key may hold very many, to a table of one row per key.
+
+    Each key is cut into `salts` parts by a hash of `spread_by`, and the one-row side is repeated for each part.
+    """
+    cut = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    repeated = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return cut.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def hash_rank(df: DataFrame, digest: Column, by: list[str] = (), out: str = "rank", width: int = 3,
               at_most: Column | None = None) -> DataFrame:
     """Exact rank by a hex digest, overall or within `by`, without one task sorting a whole group.
