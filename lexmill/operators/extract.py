@@ -61,7 +61,7 @@ def citation_type(context: Column) -> Column:
 
 
 def _pattern_matches(text: Column, index: int, pattern: str, label: str) -> Column:
-    """Matches of one pattern with their type, as an array in text order."""
+    """Matches of one pattern with the characters before them, as an array in text order."""
     n = fixed.CITATION_CONTEXT_CHARS
     pieces = F.split(F.regexp_replace(text, "(?iuU)" + pattern, MARK + "$0" + END), MARK)
 
@@ -73,7 +73,7 @@ def _pattern_matches(text: Column, index: int, pattern: str, label: str) -> Colu
                 squash(F.substring_index(piece, END, 1)).alias("target_text"),
                 F.lit(index).alias("pattern"),
                 i.alias("pos"),
-                let(F.lower(F.right(before, F.lit(n))), citation_type).alias("citation_type"),
+                F.right(before, F.lit(n)).alias("context"),
                 F.lit(label).alias("source_type"),
             )
 
@@ -98,8 +98,10 @@ def citations_of(text: Column) -> Column:
 
     def first_per_target(s):
         kept = F.filter(s, lambda x, i: (i == 0) | (x["target_text"] != F.get(s, i - 1)["target_text"]))
-        return F.sort_array(F.transform(kept, lambda x: F.struct(
-            x["pattern"], x["pos"], x["target_text"], x["citation_type"], x["source_type"])))
+        in_order = F.sort_array(F.transform(kept, lambda x: F.struct(
+            x["pattern"], x["pos"], x["target_text"], x["context"], x["source_type"])))
+        return F.transform(in_order, lambda x: F.struct(
+            x["target_text"], let(F.lower(x["context"]), citation_type).alias("citation_type"), x["source_type"]))
 
     matches = let(F.translate(text, MARK + END, ""), found)
     return let(F.sort_array(matches), first_per_target)
