@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE = r"(?U)\s+"
-OUTER_WHITESPACE = r"(?U)^\s+|\s+$"
+OUTER_WHITESPACE = r"(?U)^\s+|(?<!\s)\s+$"
 
 
 def _col(c: Column | str) -> Column:

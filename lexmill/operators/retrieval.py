@@ -61,9 +61,10 @@ def encode(df: DataFrame, text: str, encoder: Callable[[pd.Series], np.ndarray]
 def _local_topk(scores: np.ndarray, doc_ids: np.ndarray, query_ids: np.ndarray, k: int) -> pd.DataFrame:
     """Best k documents of one block for each query; ties by document id."""
     scores = np.round(scores, SCORE_DIGITS)
+    place = np.unique(doc_ids, return_inverse=True)[1]
     parts = []
     for j, qid in enumerate(query_ids):
-        best = np.lexsort((doc_ids, -scores[:, j]))[:k]
+        best = np.lexsort((place, -scores[:, j]))[:k]
         parts.append(pd.DataFrame({"query_id": qid, "doc_id": doc_ids[best], "score": scores[best, j]}))
     return pd.concat(parts, ignore_index=True)
 

@@ -55,6 +55,7 @@ def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, s
     along the order; the last value of a slice is carried to the first row of
     the next through a table of one row per key and slice. Columns of `attach`
     (one row per key) travel with that table, so no join meets a hot key.
+    Keys must not be null.
     """
     sliced = df.withColumn("_slice", slice_by)
     near = F.lag(F.struct(value.alias("v"))).over(Window.partitionBy(*key, "_slice").orderBy(*order))

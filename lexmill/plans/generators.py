@@ -34,11 +34,14 @@ def t1_articles(spark, sf):
     return extract.extract_articles(norms(spark, sf), "id", "raw_text")
 
 
-@query("t1_articles_pages", "select page_id as id, 0 as n from pages where false")
-def t1_articles_pages(spark, sf):
-    """HTML in, no article heading inside: no rows."""
-    arts = extract.extract_articles(wide_table(spark, sf, "pages").withColumnRenamed("page_id", "id"), "id", "html")
-    return arts.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+@query("t1_articles_html", f"""with norms as ({NORMS_SQL}), arts as ({ARTICLES_SQL}) select id, count(*) as n, max("order") as last, sha256(string_agg(content, '|' order by "order")) as digest from arts group by id""")
+def t1_articles_html(spark, sf):
+    """The same texts published as HTML, one paragraph per line, accents as entities."""
+    lines = F.regexp_replace(F.replace("raw_text", F.lit("í"), F.lit("&iacute;")), "\n", "</p>\n<!-- x --><p class='a>b'>")
+    pages = norms(spark, sf).select("id", F.concat(F.lit("<html><style>p{}</style><body><p>"), lines, F.lit("</p></body></html>")).alias("html"))
+    arts = extract.extract_articles(pages, "id", "html")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("order", "content"))), lambda x: x["content"]), "|")
+    return arts.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("order").alias("last"), F.sha2(joined, 256).alias("digest"))
 
 
 @query("t2_citations", f"with norms as ({NORMS_SQL}), {CITATIONS_SQL} select * from citations")

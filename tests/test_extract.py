@@ -130,3 +130,14 @@ def test_articles_rebuild_the_text(spark, docs):
         if found:
             squeezed = "".join("".join(r["content"].split()) for r in mine)
             assert squeezed == "".join(value[found[0].start():].split())
+
+
+def test_very_long_text(spark):
+    """Whole texts of megabytes pass, and cost grows with their length only."""
+    n = 30_000
+    value = "<p>" + "</p>\n<p>".join(f"Artículo {i}.- Modifica la Ley N° {i % 5000} y &eacute;l" for i in range(n)) + "</p><script>" + "x" * 1_000_000 + "</script>" + " \n" * 20_000
+    df = texts(spark, value)
+    assert extract_articles(df, "id", "text").count() == n
+    rows = extract_citations(df, "id", "text")
+    assert rows.count() == 5000
+    assert rows.where("citation_type = 'modifies'").count() == 5000
