@@ -174,11 +174,12 @@ def train_text_classifier(docs: DataFrame, train, vocab: int, positive: int | No
     """Split, cross-validate on the training part, fit, and report on the held-out part. `docs`: doc_id, label, text."""
     dataset.require_rows(docs)
     parts = stage(dataset.stratified_split(docs, "label", "doc_id", share, seed, exact=True), "parts")
-    postings = stage(features.ngram_postings(parts, "doc_id", "text"), "postings")
+    postings = stage(features.ngram_postings(parts, "doc_id", "text", keep=["part"]), "postings")
     fit_on, held_out = (parts.where(F.col("part") == p).select("doc_id", "label") for p in ("train", "test"))
-    cv = classify.fold_stats(classify.cross_validate(fit_on, postings, "label", train, folds, vocab, min_df, positive, seed))
-    trained = classify.fit_text_model(fit_on, postings, "label", vocab, min_df, train)
-    matrix = stage(classify.confusion(classify.score(trained, held_out, postings)), "confusion")
+    fit_postings, held_postings = (postings.where(F.col("part") == p).drop("part") for p in ("train", "test"))
+    cv = classify.fold_stats(classify.cross_validate(fit_on, fit_postings, "label", train, folds, vocab, min_df, positive, seed))
+    trained = classify.fit_text_model(fit_on, fit_postings, "label", vocab, min_df, train)
+    matrix = stage(classify.confusion(classify.score(trained, held_out, held_postings)), "confusion")
     return TrainingReport(trained, classify.classification_report(matrix), matrix, cv)
 
 

@@ -142,15 +142,16 @@ def article_samples(spark, sf):
     return dataset.balance(keyed, "label", "doc_id").select("doc_id", "label", "text", "raw_text")
 
 
-def _split_samples(spark, sf):
-    samples = stage(dataset.stratified_split(article_samples(spark, sf), "label", "doc_id"), "samples")
-    postings = stage(features.ngram_postings(samples, "doc_id", "raw_text"), "postings")
-    return samples.where("part = 'train'").select("doc_id", "label"), samples.where("part = 'test'").select("doc_id", "label"), postings
+def _parts(df, text):
+    """Training and held-out documents, each with its postings."""
+    parts = stage(dataset.stratified_split(df, "label", "doc_id"), "parts")
+    postings = stage(features.ngram_postings(parts, "doc_id", text, keep=["part"]), "postings")
+    return [(parts.where(F.col("part") == p).select("doc_id", "label"), postings.where(F.col("part") == p).drop("part")) for p in ("train", "test")]
 
 
 def _validity_model(spark, sf):
-    train, test, postings = _split_samples(spark, sf)
-    return classify.fit_text_model(train, postings, "label", VOCAB, 2, classify.train_logreg), test, postings
+    train, test = _parts(article_samples(spark, sf), "raw_text")
+    return classify.fit_text_model(*train, "label", VOCAB, 2, classify.train_logreg), *test
 
 
 def _report(pred):
@@ -168,16 +169,14 @@ def m5_logreg(spark, sf):
 def m5_logreg_documents(spark, sf):
     """Quality of whole documents from their text."""
     docs = wide_table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
-    parts = stage(dataset.stratified_split(docs, "label", "doc_id"), "parts")
-    postings = stage(features.ngram_postings(parts, "doc_id", "text"), "postings")
-    trained = classify.fit_text_model(parts.where("part = 'train'").select("doc_id", "label"), postings, "label", VOCAB, 2, classify.train_logreg)
-    return _report(classify.score(trained, parts.where("part = 'test'").select("doc_id", "label"), postings))
+    train, test = _parts(docs, "text")
+    return _report(classify.score(classify.fit_text_model(*train, "label", VOCAB, 2, classify.train_logreg), *test))
 
 
 @query("m7_cross_validation")
 def m7_cross_validation(spark, sf):
-    train, _, postings = _split_samples(spark, sf)
-    return classify.cross_validate(train, postings, "label", classify.train_logreg)
+    train, _ = _parts(article_samples(spark, sf), "raw_text")
+    return classify.cross_validate(*train, "label", classify.train_logreg)
 
 
 @query("m10_ablation")
@@ -218,10 +217,8 @@ LANGS = ["de", "en", "es", "fr"]
 def _forest(spark, sf):
     code = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang")).cast("int") - 1
     docs = dataset.keep_common_classes(wide_table(spark, sf, "documents").select("doc_id", "text", code.alias("label")), "label", 5, 0, len(LANGS) - 1)
-    parts = stage(dataset.stratified_split(docs, "label", "doc_id"), "parts")
-    postings = stage(features.ngram_postings(parts, "doc_id", "text"), "postings")
-    trained = classify.fit_text_model(parts.where("part = 'train'").select("doc_id", "label"), postings, "label", 15_000, 2, classify.train_forest)
-    return trained, parts.where("part = 'test'").select("doc_id", "label"), postings
+    train, test = _parts(docs, "text")
+    return classify.fit_text_model(*train, "label", 15_000, 2, classify.train_forest), *test
 
 
 @query("m6_forest")
