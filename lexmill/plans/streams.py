@@ -90,7 +90,8 @@ def x4_monitor_recent_stream(spark, sf):
 
 
 @query("x4_monitor_totals", """with r as (select date_trunc('minute', ts) as window_start, count(*) as n, count(*) filter (event_type <> 'error') as valid, count(*) filter (event_type = 'error') as invalid from events group by 1)
-select window_start, n as new, sum(n) over w::bigint as total, sum(valid) over w::bigint as valid, sum(invalid) over w::bigint as invalid from r window w as (order by window_start)""".replace("over w::bigint", "over w"))
+select window_start, n as new, cast(sum(n) over w as bigint) as total, cast(sum(valid) over w as bigint) as valid, cast(sum(invalid) over w as bigint) as invalid
+from r window w as (order by window_start)""")
 def x4_monitor_totals(spark, sf):
     rates = jobs.monitor_rate(table(spark, sf, "events"), "ts", F.col("event_type") != "error")
     return jobs.monitor_totals(rates).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
