@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lexmill.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 # Training takes a minute or more; set TEST_ALL=1 to include it.
 SLOW = {"m7_cross_validation", "m10_ablation", "s13_save_model", "o5_top_features", "m12_linear_shap_model", "m13_score"}
-NAMES = [n for n in entry.queries() if n not in SLOW or os.environ.get("TEST_ALL")]
+NAMES = [n for n in QUERIES if n not in SLOW or os.environ.get("TEST_ALL")]
 
 
 @pytest.fixture(scope="module")
