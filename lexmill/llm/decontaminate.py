@@ -130,8 +130,9 @@ def _hits(rows: DataFrame, marks: DataFrame, n: int, k: int) -> DataFrame:
     each = kept.select("row", "id", "w", F.explode("fp").alias("fp"))
     known = F.broadcast(marks.withColumn("known", F.lit(True)))
     met = each.withColumn("hash", _hash_of(F.col("fp"))).join(known, "hash", "left").where("fp is null or known")
-    at = _position_of(F.col("fp"))
-    first, last = F.greatest(at - (n - k), F.lit(0)), F.least(at, F.size("w") - n)
+    at = F.coalesce(_position_of(F.col("fp")), F.lit(0))
+    first = F.greatest(at - (n - k), F.lit(0))
+    last = F.greatest(F.least(at, F.size("w") - n), first)
     around = F.transform(F.sequence(first, last), lambda s: F.struct(
         s.alias("start"), F.concat_ws(" ", F.slice("w", s + 1, F.lit(n))).alias("content")))
     return met.select(
