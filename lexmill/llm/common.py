@@ -58,3 +58,19 @@ def number_rows(df: DataFrame, by: list[str], out: str = "row_number") -> tuple[
     starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
     numbered = placed.join(F.broadcast(starts), "_range").withColumn(out, F.col("_start") + F.col("_at"))
     return numbered.drop("_range", "_at", "_start"), placed.count()
+
+
+def text_key(id: str, text: str) -> Column:
+    """Hash of a row's id and whole text, by which a decision finds its rows again."""
+    return F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame, id: str, text: str) -> DataFrame:
+    """`docs` without the rows named by `gone` (columns id and text_key); nulls in id equal each other.
+
+    Only these two columns of `gone` are moved where it is small enough to broadcast by Spark's own bound.
+    """
+    keyed = docs.withColumn("_key", text_key(id, text))
+    gone = gone.select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
+    same = (F.col("_key") == F.col("_gone_key")) & F.col(id).eqNullSafe(F.col("_gone_id"))
+    return keyed.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
