@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries are registered."""
 
-from lexmill.llm import decontaminate, quality, sharding, simhash, urlfilter  # noqa: F401
+from lexmill.llm import decontaminate, quality, sharding, simhash, tokenfiles, urlfilter  # noqa: F401
 from lexmill.llm.common import ORACLE, QUERIES  # noqa: F401
