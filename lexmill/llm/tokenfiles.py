@@ -173,7 +173,10 @@ def _scan(spark: SparkSession, path: str, row, schema: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1)):
                 found = frames(content.as_py())
-                header = json.loads(bytes(next(found)[1]))
+                first = next(found, None)
+                if first is None:  # Spark's writer leaves an empty file for an empty table
+                    continue
+                header = json.loads(bytes(first[1]))
                 tokens, rows = header["tokens"], []
                 for offset, payload in found:
                     record = unpack_record(payload, header["dtype"])
