@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import heapq
-import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -36,11 +38,18 @@ class Choice(NamedTuple):
 
 
 class Segmented(NamedTuple):
+    """The best way to segment a run, what the next best loses (infinite if there is none), and all next best."""
+
     score: float
     ids: bytes
+    loss: float
     others: tuple[Choice, ...]
 
 
+_SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
+_NO_PREFIX = object()
+
+
 class Lattice:
     """Segmentations of a text into pieces, ranked by the sum of the pieces' scores.
 
@@ -64,35 +73,45 @@ class Lattice:
         for piece, (i, _) in self.pieces.items():
             self.text_of[i] = piece.replace(SPACE, " ").encode()
         self.dtype = np.dtype("<u2" if len(size) <= 1 << 16 else "<u4")
-        self.longest = max(map(len, self.pieces))
+        #: Every beginning of a piece, with the piece where it is one.
+        self.prefixes = dict.fromkeys((p[:i] for p in self.pieces for i in range(1, len(p) + 1)), None) | self.pieces
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         #: Ten below the worst piece of a single character, for each byte of one that has no piece.
         self.byte_score = min(s for p, (_, s) in self.pieces.items() if len(p) == 1) - 10.0
         self.runs: dict[str, Segmented] = {}
-        self.words: dict[str, Segmented] = {}
+        self.words: dict[str, tuple[Segmented, ...]] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array(self.dtype.char, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
-    def _spell(self, char: str) -> tuple[list[int], float]:
+    def _spell(self, char: str) -> tuple[tuple[int, ...], float]:
         data = char.encode()
-        return [self.bytes[b] for b in data], self.byte_score * len(data)
+        return tuple(self.bytes[b] for b in data), self.byte_score * len(data)
 
     def segment(self, text: str, literal: bool = False) -> Segmented:
         """The N best of a run by A* from its end, led by the exact scores of the best way from its start."""
-        n, get = len(text), self.pieces.get
-        best = [0.0] + [float("-inf")] * n
-        arcs: list[list[tuple[int, float, list[int]]]] = [[] for _ in range(n + 1)]
+        n, get = len(text), self.prefixes.get
+        best = [float("-inf")] * (n + 1)
+        best[0] = 0.0
+        arcs: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
         for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                if (found := get(text[i:j])) is not None and not literal:
-                    arcs[j].append((i, found[1], [found[0]]))
-                    if best[i] + found[1] > best[j]:
-                        best[j] = best[i] + found[1]
-            if literal or get(text[i]) is None:
+            here = best[i]
+            for j in range(i + 1, n + 1):
+                found = _NO_PREFIX if literal else get(text[i:j], _NO_PREFIX)
+                if found is _NO_PREFIX:
+                    break
+                if found is not None:
+                    piece, score = found
+                    arcs[j].append((i, score, (piece,)))
+                    if here + score > best[j]:
+                        best[j] = here + score
+            if literal or text[i] not in self.pieces:
                 ids, score = self._spell(text[i])
                 arcs[i + 1].append((i, score, ids))
-                best[i + 1] = max(best[i + 1], best[i] + score)
+                best[i + 1] = max(best[i + 1], here + score)
         ways: list[tuple[float, list[int]]] = []
         # Entries: minus the score of the best whole that goes on from here, a number that puts the
         # latest first among equals, place, score of what follows, and what follows as nested pairs.
@@ -113,34 +132,39 @@ class Lattice:
             for i, score, own in arcs[at]:
                 pushed -= 1
                 heapq.heappush(queue, (-(best[i] + score + behind), pushed, i, score + behind, (own, tail)))
-        return Segmented(ways[0][0], self._pack(ways[0][1]), tuple(Choice(ways[0][0] - s, self._pack(ids)) for s, ids in ways[1:]))
+        others = tuple(Choice(ways[0][0] - s, self._pack(ids)) for s, ids in ways[1:])
+        return Segmented(ways[0][0], self._pack(ways[0][1]), others[0].loss if others else float("inf"), others)
 
     def _ranked(self, parts: list[Segmented]) -> list[tuple[float, dict[int, int]]]:
         """The N best wholes as (loss, which other choice is taken in which part).
 
         Only the N - 1 parts whose second choice loses least can differ from their best.
         """
-        least = heapq.nsmallest(self.n_best - 1, ((p.others[0].loss, k) for k, p in enumerate(parts) if p.others))
         ranked: list[tuple[float, dict[int, int]]] = [(0.0, {})]
-        for _, k in least:
-            ranked = heapq.nsmallest(self.n_best, ((loss + more, taken | {k: c} if more or c >= 0 else taken) for loss, taken in ranked
-                                                    for c, more in enumerate([0.0, *(o.loss for o in parts[k].others)], -1)), key=lambda w: w[0])
+        for k in self._least(np.fromiter(map(_LOSS, parts), np.float64, len(parts))):
+            ways = [(loss, taken) for loss, taken in ranked]
+            for c, other in enumerate(parts[k].others):
+                ways += [(loss + other.loss, taken | {k: c}) for loss, taken in ranked]
+            ranked = sorted(ways, key=_SCORE)[:self.n_best]
         return ranked
 
+    def _least(self, losses: np.ndarray) -> list[int]:
+        """Places of the N - 1 smallest finite losses, earlier ones first among equals."""
+        want = self.n_best - 1
+        if want < 1 or not len(losses):
+            return []
+        bound = np.partition(losses, want - 1)[want - 1] if len(losses) > want else np.inf
+        below = np.flatnonzero(losses < bound)
+        level = np.flatnonzero(losses == bound)[:want - len(below)] if np.isfinite(bound) else below[:0]
+        return [*below.tolist(), *level.tolist()]
+
     @staticmethod
     def _joined(parts: list[Segmented], taken: dict[int, int]) -> bytes:
-        ids = [p.ids for p in parts]
+        ids = list(map(_IDS, parts))
         for k, c in taken.items():
-            if c >= 0:
-                ids[k] = parts[k].others[c].ids
+            ids[k] = parts[k].others[c].ids
         return b"".join(ids)
 
-    def _whole(self, parts: list[Segmented]) -> Segmented:
-        if len(parts) == 1:
-            return parts[0]
-        ranked = self._ranked(parts)
-        return Segmented(sum(p.score for p in parts), self._joined(parts, {}), tuple(Choice(loss, self._joined(parts, taken)) for loss, taken in ranked[1:]))
-
     def _run(self, run: str) -> Segmented:
         if len(run) > KEEP_CHARS:
             return self.segment(run)
@@ -150,8 +174,8 @@ class Lattice:
             known = self.runs[run] = self.segment(run)
         return known
 
-    def _word(self, spaces: int, word: str) -> Segmented:
-        """A word and the spaces before it."""
+    def _word(self, spaces: int, word: str) -> tuple[Segmented, ...]:
+        """The segments of a word and the spaces before it."""
         parts = []
         for k, piece in enumerate(word.split(SPACE)):
             if k:
@@ -164,9 +188,9 @@ class Lattice:
                     start = i
             if text:
                 parts.append(self._run(text[start:]))
-        return self._whole(parts)
+        return tuple(parts)
 
-    def _known(self, word: str) -> Segmented:
+    def _known(self, word: str) -> tuple[Segmented, ...]:
         if (known := self.words.get(word)) is None:
             known = self._word(1, word)
             if len(word) <= KEEP_CHARS:
@@ -176,18 +200,19 @@ class Lattice:
         return known
 
     def parts(self, text: str) -> list[Segmented]:
-        """The words of a text, each with the spaces before it; every word follows one space at least."""
+        """The segments of a text; every word follows one space at least."""
         words = text.split(" ")
         if "" not in words:
             get = self.words.get
-            return [get(w) or self._known(w) for w in words]
+            return list(chain.from_iterable([get(w) or self._known(w) for w in words]))
+        out: list[Segmented] = []
         if not text:
-            return []
-        out, spaces = [], 0
+            return out
+        spaces = 0
         for word in words:
             spaces += 1
             if word:
-                out.append(self._known(word) if spaces == 1 else self._word(spaces, word))
+                out += self._known(word) if spaces == 1 else self._word(spaces, word)
                 spaces = 0
         if spaces:
             out.append(self._run(SPACE * spaces))
@@ -196,7 +221,7 @@ class Lattice:
     def encode(self, text: str) -> tuple[bytes, float, list[tuple[float, bytes]]]:
         """Packed ids and score of the best segmentation, and (score, packed ids) of the N best, the best first."""
         parts = self.parts(text)
-        score = sum(p.score for p in parts)
+        score = sum(map(_SCORE, parts))
         ranked = [(score - loss, self._joined(parts, taken)) for loss, taken in self._ranked(parts)]
         return ranked[0][1], score, ranked
 
