@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.text import let
-from lexmill.llm.common import lower_ascii, query, table
+from lexmill.llm.common import lower_ascii, query, table, text_key, without
 from lexmill.session import stage
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -74,7 +74,7 @@ def _marks(windows: DataFrame, length: int, window: int, k: int) -> DataFrame:
 
 def find_contamination(docs: DataFrame, id: str, text: str, benchmark: DataFrame, item: str, item_text: str,
                        window: int = WINDOW, k: int = GRAM, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each row of `docs`.
+    """id, n_words, n_hit, n_items, items_sha256, contaminated, text_key: one row for each row of `docs`.
 
     A document's kept fingerprints are looked up among those of the benchmark.
     Each hit is extended to the windows around it, which are compared with
@@ -94,8 +94,8 @@ def find_contamination(docs: DataFrame, id: str, text: str, benchmark: DataFrame
     marks = {n: stage(_marks(windows, n, window, k), "benchmark-marks") for n in lengths}
 
     rows = docs.select(
-        F.col(id).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text)).alias("w"))
-    hits = [rows.select("row", "id", F.size("w").cast("long").alias("n_words"), F.lit(None).cast("int").alias("length"),
+        F.col(id).alias("id"), F.monotonically_increasing_id().alias("row"), text_key(id, text).alias("text_key"), words(F.col(text)).alias("w"))
+    hits = [rows.select("row", "id", "text_key", F.size("w").cast("long").alias("n_words"), F.lit(None).cast("int").alias("length"),
                         F.array().cast("array<struct<start:int,content:string>>").alias("around"))] if not lengths else []
     for n in lengths:
         parts = max(1, -(-marks[n].count() // broadcast_rows))
@@ -115,19 +115,26 @@ def find_contamination(docs: DataFrame, id: str, text: str, benchmark: DataFrame
     pairs = taken.select("row", "content").distinct().join(windows.select("content", "item").distinct(), "content")
     listed = F.array_sort(F.collect_set(F.col("item").cast("string")))
     items = pairs.groupBy("row").agg(listed.alias("items"))
-    base = found.where(F.col("length").isNull()).select("row", "id", "n_words").distinct()
+    base = found.where(F.col("length").isNull()).select("row", "id", "text_key", "n_words").distinct()
     n = F.coalesce("n_hit", F.lit(0).cast("long"))
     return base.join(n_hit, "row", "left").join(items, "row", "left").select(
         F.col("id").alias(id), "n_words", n.alias("n_hit"),
         F.coalesce(F.size("items").cast("long"), F.lit(0).cast("long")).alias("n_items"),
         F.sha2(F.concat_ws(",", F.coalesce("items", F.array().cast("array<string>"))), 256).alias("items_sha256"),
-        (n > 0).alias("contaminated"))
+        (n > 0).alias("contaminated"), "text_key")
+
+
+def drop_contaminated(docs: DataFrame, id: str, text: str, benchmark: DataFrame, item: str, item_text: str) -> DataFrame:
+    """Rows of `docs` that hold no window of the benchmark, with all their columns."""
+    found = find_contamination(docs, id, text, benchmark, item, item_text)
+    gone = found.where("contaminated").select(F.col(id).alias("id"), "text_key")
+    return without(docs, stage(gone, "contaminated"), id, text)
 
 
 def _hits(rows: DataFrame, marks: DataFrame, n: int, k: int) -> DataFrame:
     """One row per document (length null), and one per kept fingerprint that is also in `marks`, with the windows around it."""
     kept = rows.withColumn("fp", F.concat(F.array(F.lit(None).cast("long")), winnow(F.col("w"), n, k)))
-    each = kept.select("row", "id", "w", F.explode("fp").alias("fp"))
+    each = kept.select("row", "id", "text_key", "w", F.explode("fp").alias("fp"))
     known = F.broadcast(marks.withColumn("known", F.lit(True)))
     met = each.withColumn("hash", _hash_of(F.col("fp"))).join(known, "hash", "left").where("fp is null or known")
     at = F.coalesce(_position_of(F.col("fp")), F.lit(0))
@@ -136,7 +143,7 @@ def _hits(rows: DataFrame, marks: DataFrame, n: int, k: int) -> DataFrame:
     around = F.transform(F.sequence(first, last), lambda s: F.struct(
         s.alias("start"), F.concat_ws(" ", F.slice("w", s + 1, F.lit(n))).alias("content")))
     return met.select(
-        "row", "id", F.size("w").cast("long").alias("n_words"), F.when(F.col("fp").isNotNull(), F.lit(n)).alias("length"),
+        "row", "id", "text_key", F.size("w").cast("long").alias("n_words"), F.when(F.col("fp").isNotNull(), F.lit(n)).alias("length"),
         F.when(F.col("fp").isNotNull(), around).otherwise(F.array().cast("array<struct<start:int,content:string>>")).alias("around"))
 
 
@@ -155,4 +162,4 @@ from d left join cover using (doc_id) left join items using (doc_id)"""
 @query("op2_decontamination", CONTAMINATION_SQL)
 def op2_decontamination(spark, sf):
     """Words of every document that lie in passages of ten benchmark words."""
-    return find_contamination(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "benchmark"), "item_id", "text")
+    return find_contamination(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "benchmark"), "item_id", "text").drop("text_key")

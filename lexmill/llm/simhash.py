@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import query, table
+from lexmill.llm.common import query, table, text_key, without
 from lexmill.llm.components import connected_components
 from lexmill.session import stage
 
@@ -40,16 +40,17 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, id: str, text: str, words: int = 4, seed: int = 42) -> DataFrame:
-    """id, fp (long) for every row, from the whole text; null counts as empty."""
+    """id, text_key, fp (long) for every row, from the whole text; null counts as empty."""
     id_type = df.schema[id].dataType
 
     def hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             fps = pa.array((fingerprint(t.as_py() or b"", words, seed) for t in texts), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), fps], ["id", "text_key", "fp"])
 
-    return df.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(hash_batches, f"id {id_type.simpleString()}, fp long")
+    slim = df.select(F.col(id).alias("id"), F.col(text).alias("text"), text_key(id, text).alias("text_key"))
+    return slim.mapInArrow(hash_batches, f"id {id_type.simpleString()}, text_key long, fp long")
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -185,7 +186,7 @@ def near_links(classes: DataFrame, distance: int = 4, segments: int | None = Non
 
 
 def simhash_components(df: DataFrame, id: str, text: str, distance: int = 4, words: int = 4) -> DataFrame:
-    """id, fp, component_id for every row of `df`.
+    """id, text_key, fp, component_id for every row of `df`.
 
     Equal fingerprints form one class and are represented by their smallest id.
     A text that is null, empty or blank has fingerprint 0 and links like any
@@ -199,7 +200,23 @@ def simhash_components(df: DataFrame, id: str, text: str, distance: int = 4, wor
     components = connected_components(links, "a", "b")
     placed = classes.join(components, classes["rep"] == components["node"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(placed, "fp").select(F.col("id").alias(id), "fp", "component_id")
+    return fps.join(placed, "fp").select(F.col("id").alias(id), "text_key", "fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, id: str, text: str, distance: int = 4, words: int = 4) -> DataFrame:
+    """`docs` with one document of each component, that of the smallest id, and all its columns.
+
+    Of rows that share that id one stays. Rows without id stay only where no row of their fingerprint has one.
+    """
+    found = stage(simhash_components(docs, id, text, distance, words), "components")
+    own = F.col(id) == F.col("component_id")
+    gone = found.where(F.col("component_id").isNotNull() & ~F.coalesce(own, F.lit(False))).select(F.col(id).alias("id"), "text_key")
+    kept = without(docs, stage(gone.distinct(), "duplicates"), id, text)
+    repeated = stage(found.where(own).groupBy(id).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    rest, again = (kept.join(repeated, id, how).select(*docs.columns) for how in ("left_anti", "left_semi"))
+    return rest.union(again.dropDuplicates([id]))
 
 
 def hex_fingerprint(fp: Column) -> Column:
