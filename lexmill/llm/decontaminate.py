@@ -26,12 +26,17 @@ def _shifted(a: Column, by: Column | int) -> Column:
     return F.slice(a, F.lit(by) + 1, F.greatest(F.size(a) - by, F.lit(0)))
 
 
+def _with_shifted(values: Column, by: int, join) -> Column:
+    """`join` of each value and the one `by` places after it."""
+    return let(values, lambda v: let(_shifted(v, by), lambda rest: F.zip_with(F.slice(v, F.lit(1), F.size(rest)), rest, join)))
+
+
 def _doubled(values: Column, width: int, join) -> Column:
     """`join` over every `width` consecutive values, by doubling: 1, 2, 4 ... values and then an overlapping pair."""
     have = 1
     while have < width:
         by = min(have, width - have)
-        values = let(values, lambda v, by=by: let(_shifted(v, by), lambda rest: F.zip_with(F.slice(v, F.lit(1), F.size(rest)), rest, join)))
+        values = _with_shifted(values, by, join)
         have += by
     return values
 
