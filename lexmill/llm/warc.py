@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
 from datetime import datetime
@@ -39,6 +41,18 @@ class ArcRecord(NamedTuple):
     block: bytes
 
 
+def zipped(record: bytes) -> bytes:
+    """A record as a gzip member of its own, as both formats have it."""
+    return gzip.compress(record, 1, mtime=0)
+
+
+def unzipped(content: bytes) -> bytes:
+    """The records of a file, gzipped or not; the line feed after the last gzip member goes."""
+    if content[:2] != b"\x1f\x8b":
+        return content
+    return gzip.GzipFile(fileobj=io.BytesIO(content.removesuffix(b"\n"))).read()
+
+
 def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -103,8 +117,8 @@ def write_arc(pages: DataFrame, id: str, url: str, html: str, path: str, date: s
         version = lambda number: (b"1", b"2")[number % 2]
         for part, batch in enumerate(batches):
             rows = zip(batch.column(0), batch.column(1), batch.column(2).cast(pa.large_binary()))
-            records = (arc_record(version(part), i.as_py(), u.as_py(), h.as_py() or b"", date) for i, u, h in rows)
-            yield from as_batches(packed(records, lambda number, part=part: arc_head(version(part), f"{part}-{number}.arc", date)))
+            records = (zipped(arc_record(version(part), i.as_py(), u.as_py(), h.as_py() or b"", date)) for i, u, h in rows)
+            yield from as_batches(packed(records, lambda number, part=part: zipped(arc_head(version(part), f"{part}-{number}.arc.gz", date))))
 
     write_files(pages.select(F.col(id).cast("long"), F.col(url).cast("string"), F.col(html)).mapInArrow(write, "content binary"), path)
 
@@ -171,7 +185,7 @@ def _read_arc(spark: SparkSession, path: str, with_payload: bool) -> DataFrame:
     names = [c.split()[0] for c in _PARSED.split(", ")]
 
     def rows(content: bytes) -> Iterator[tuple]:
-        for r in parse_arc(content):
+        for r in parse_arc(unzipped(content)):
             http, blank, payload = r.block.partition(b"\r\n\r\n")
             page = _fields(http).get(_PAGE.lower(), "")
             yield (int(page) if page else None, r.url, r.ip, r.date, base32_sha1(payload), *((http + blank, payload) if with_payload else (None, None)))
@@ -206,8 +220,8 @@ def arc_to_warc(spark: SparkSession, source: str, target: str, min_bytes: int =
     ready = parsed.select("url", "ip", "date", "page_id", "digest", F.when(other, F.col("first")).alias("refers_to"), "http", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records = (warc_record(*(v.as_py() for v in row)) for batch in batches for row in zip(*batch.columns))
-        return as_batches(packed(records, lambda number: warc_info(f"{number}.warc")))
+        records = (zipped(warc_record(*(v.as_py() for v in row))) for batch in batches for row in zip(*batch.columns))
+        return as_batches(packed(records, lambda number: zipped(warc_info(f"{number}.warc.gz"))))
 
     write_files(ready.mapInArrow(write, "content binary"), target)
 
@@ -221,7 +235,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def rows(content: bytes) -> Iterator[tuple]:
-        for head, block in parse_warc(content):
+        for head, block in parse_warc(unzipped(content)):
             if head["warc-type"] not in ("response", "revisit"):
                 continue
             http, _, payload = block.partition(b"\r\n\r\n")
