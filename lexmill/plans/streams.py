@@ -7,38 +7,27 @@ from pyspark.sql import functions as F
 from lexmill.plans.corpus import ITEMS_SQL, items
 from lexmill.plans.registry import query, table
 from lexmill.session import scratch_path
-from lexmill.streaming import jobs
+from lexmill.streaming import epochs, jobs
 
 _OUTCOMES = f"""items as (select *, sha256(raw_text) as text_hash from ({ITEMS_SQL})), lagged as (select *, lag(text_hash) over w as prev, row_number() over w as rn from items window w as (partition by url order by seq)),
 outcomes as (select *, case when rn = 1 then 'added' when prev <> text_hash then 'updated' else 'unchanged' end as outcome from lagged)"""
 
 
-def _events_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return jobs.read_files(spark, sf, schema, "events.parquet")
-
-
-def _run_to_table(stream, spark, mode="append"):
-    """Write a stream to Parquet until the landed files are used up, and read the result."""
-    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
-    stream.writeStream.outputMode(mode).option("checkpointLocation", state).option("path", out).format("parquet").trigger(
-        availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+def _events_stream(spark, sf, files_per_trigger=1000):
+    return jobs.read_files(spark, f"{sf.rstrip('/')}/events.parquet", table(spark, sf, "events").schema, files_per_trigger=files_per_trigger)
 
 
 def _run_complete(stream, spark):
-    """Windows at their final state: each micro-batch rewrites the whole result."""
-    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
-    stream.writeStream.outputMode("complete").option("checkpointLocation", state).foreachBatch(
-        lambda df, epoch: df.write.mode("overwrite").parquet(f"{out}/epoch-{epoch % 2}")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/epoch-0")
+    """Windows at their final state."""
+    root = scratch_path(spark, "windows")
+    jobs.complete_stream(stream, root, f"{root}/checkpoint").awaitTermination()
+    return epochs.state(spark, root, "result", stream.schema)
 
 
 def _ingested(spark, sf, name):
-    root, state = scratch_path(spark, "ingest"), scratch_path(spark, "state")
-    run = jobs.ingest_stream(items(_events_stream(spark, sf)), root, state)
-    run.awaitTermination()
-    return jobs.snapshot(spark, root, name, run.lastProgress["batchId"])
+    root = scratch_path(spark, "ingest")
+    jobs.ingest_stream(items(_events_stream(spark, sf)), root, f"{root}/checkpoint").awaitTermination()
+    return jobs.snapshot(spark, root, name)
 
 
 @query("x1_ingest_norms", f"""with {_OUTCOMES}, l as (select *, row_number() over (partition by url order by seq desc) as r from outcomes where outcome <> 'unchanged'), f as (select url, is_valid from outcomes where outcome = 'added')
@@ -60,13 +49,16 @@ def x1_ingest_citations(spark, sf):
 
 @query("x2_dedup", "select count(distinct event_id) as n, sum(distinct event_id)::bigint as total from events")
 def x2_dedup(spark, sf):
-    once = _run_to_table(jobs.dedup_stream(_events_stream(spark, sf), "event_id", "ts"), spark)
-    return once.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+    root, events = scratch_path(spark, "dedup"), _events_stream(spark, sf)
+    jobs.dedup_stream(events, "event_id", "ts", root, f"{root}/checkpoint").awaitTermination()
+    return jobs.deduplicated(spark, root, events.schema).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
 
 
 @query("x3_hash_state", f"with {_OUTCOMES} select url, seq, outcome from outcomes")
 def x3_hash_state(spark, sf):
-    return _run_to_table(jobs.hash_state_stream(items(_events_stream(spark, sf)), "url", "seq", "text_hash"), spark)
+    root, stream = scratch_path(spark, "hash-state"), items(_events_stream(spark, sf))
+    jobs.hash_state_stream(stream, "url", "seq", "text_hash", root, f"{root}/checkpoint").awaitTermination()
+    return jobs.outcomes(spark, root, stream.schema["url"], stream.schema["seq"])
 
 
 @query("x4_monitor_rate", """select date_trunc('minute', ts) as window_start, count(*) as n, count(*) filter (event_type <> 'error') as valid, count(*) filter (event_type = 'error') as invalid from events group by 1""")

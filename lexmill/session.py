@@ -28,12 +28,16 @@ def build_session(app: str = "lexmill", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in spark.checkpoint.dir.
 
-    Only where the cluster names none (local tests) is a temporary folder made and set.
+    Only where none is named and all runs in one local process is a temporary
+    folder made and set; on a cluster staging then stops with an error, as
+    executors would not see each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -46,6 +50,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote, wherever Spark can reach it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, name: str = "stage", schema: StructType | None = None) -> DataFrame:
     """Write `df` once under the shared folder and read it back, with short lineage.
 

@@ -2,98 +2,134 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lexmill import schemas
 from lexmill.operators.extract import extract_articles, extract_citations
-from lexmill.operators.ingest import merge_versions, replace_children
+from lexmill.operators.ingest import merge_outcomes, merge_versions
+from lexmill.operators.skew import first_by
 from lexmill.session import stage
+from lexmill.streaming import epochs
 
 STREAM_TABLES = ("norms", "norm_versions", "norm_articles", "norm_citations")
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
-    """Landed Parquet files as a stream under a fixed schema."""
+    """Landed Parquet files (a folder or one file) as a stream under a fixed schema."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(path)
+    path = path.rstrip("/")
+    # The source takes a plain path for a folder; only a pattern may also stand for a file.
+    return reader.parquet(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
+
 
+def snapshot(spark: SparkSession, root: str, name: str, epoch: int | None = None) -> DataFrame:
+    """Table state after a micro-batch, by default the last finished one; empty before the first.
 
-def snapshot(spark: SparkSession, root: str, name: str, epoch: int) -> DataFrame:
-    """Table state after a micro-batch; empty before the first."""
+    Each epoch holds only rows that its batch added or changed: the newest row of a
+    norm counts, every version, and the children of a norm from its newest epoch that has any.
+    """
     schema = schemas.TABLES[name]
-    return schemas.empty(spark, schema) if epoch < 0 else spark.read.schema(schema).parquet(f"{root}/{name}/epoch-{epoch}")
+    rows = epochs.history(spark, root, name, schema, epoch)
+    if name == "norms":
+        return first_by(rows, ["url"], [epochs.EPOCH], last=True).select(*schema.names)
+    if name == "norm_versions":
+        return rows.select(*schema.names)
+    newest = rows.groupBy("norm_id").agg(F.max(epochs.EPOCH).alias(epochs.EPOCH))
+    return rows.join(newest, ["norm_id", epochs.EPOCH]).select(*schema.names)
 
 
 def ingest_stream(items: DataFrame, root: str, checkpoint: str, now: Column | None = None,
-                  max_articles: int | None = None, max_citations: int | None = None) -> StreamingQuery:
+                  max_articles: int | None = None, max_citations: int | None = None, limits: dict[str, int] | None = None) -> StreamingQuery:
     """Merge a stream of items (url, seq, metadata, raw_text) into norms, versions, articles and citations.
 
-    Each micro-batch reads the state left by the one before and writes a new
-    one beside it, so a batch that is run again overwrites only its own output.
-    Only added and updated norms are split into articles and citations.
+    A micro-batch writes the norms it changed, the versions it added and the
+    children of the norms it changed, so what is written follows the batch and not
+    the tables. A batch that is run again overwrites only its own output; readers
+    are pointed to it when all four tables are written.
     """
     now = F.current_timestamp() if now is None else now
+    epochs.start(items.sparkSession, root, {name: schemas.TABLES[name] for name in STREAM_TABLES})
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        old = {name: snapshot(spark, root, name, epoch - 1) for name in STREAM_TABLES}
-        merged = merge_versions(old["norms"], old["norm_versions"], batch, now)
-        paths = {name: f"{root}/{name}/epoch-{epoch}" for name in STREAM_TABLES}
-        merged.norms.write.mode("overwrite").parquet(paths["norms"])
-        merged.versions.write.mode("overwrite").parquet(paths["norm_versions"])
+        norms, versions = (snapshot(spark, root, name, epoch - 1) for name in ("norms", "norm_versions"))
+        merged = merge_versions(norms, versions, batch, now, limits=limits)
+        epochs.write(merged.changed_norms, root, "norms", epoch)
+        epochs.write(merged.new_versions, root, "norm_versions", epoch)
         touched = merged.outcomes.where(F.col("outcome") != "unchanged")
-        latest = touched.groupBy("norm_id").agg(F.max_by("raw_text", "seq").alias("raw_text"))
-        changed = stage(latest, "changed")
+        changed = stage(touched.groupBy("norm_id").agg(F.max_by("raw_text", "seq").alias("raw_text")), "changed")
         for name, rows in (
             ("norm_articles", extract_articles(changed, "norm_id", "raw_text", max_articles)),
             ("norm_citations", extract_citations(changed, "norm_id", "raw_text", max_citations)),
         ):
-            new = schemas.conform(rows, schemas.TABLES[name])
-            replace_children(old[name], new, changed).write.mode("overwrite").parquet(paths[name])
+            epochs.write(schemas.conform(rows, schemas.TABLES[name]), root, name, epoch)
+        epochs.finish(spark, root, epoch)
 
     return (
         items.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def dedup_stream(items: DataFrame, id: str, ts: str, delay: str = "1 hour") -> DataFrame:
-    """The first row of each id within the watermark, across restarts."""
-    return items.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark([id])
+def dedup_stream(items: DataFrame, id: str, ts: str, root: str, checkpoint: str) -> StreamingQuery:
+    """The first row ever seen of each id, however late a repeat comes; of several in one micro-batch the earliest.
+
+    Rows are appended under `root`/rows; the ids stored there are what is known. Rows with a null id are dropped.
+    """
+    epochs.start(items.sparkSession, root, {"rows": items.schema})
+
+    def keep_new(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        known = epochs.history(spark, root, "rows", items.schema, epoch - 1).select(id)
+        fresh = first_by(batch.where(F.col(id).isNotNull()), [id], [ts]).select(*items.columns)
+        epochs.write(fresh.join(known, id, "left_anti").select(*items.columns), root, "rows", epoch)
+        epochs.finish(spark, root, epoch)
+
+    return items.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
+def deduplicated(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """What `dedup_stream` has let through so far."""
+    return epochs.history(spark, root, "rows", schema).select(*schema.names)
 
-def hash_state_stream(items: DataFrame, key: str, seq: str, hash: str) -> DataFrame:
-    """key, seq, outcome (added, updated, unchanged) against the last hash kept per key.
 
-    Rows of a key are put in order within a micro-batch, so its size is set by
-    the file limit of the source and not by the key.
+def hash_state_stream(items: DataFrame, key: str, seq: str, hash: str, root: str, checkpoint: str) -> StreamingQuery:
+    """Appends key, seq, outcome (added, updated, unchanged) to `root`/outcomes, against the last hash kept per key.
+
+    A key's rows are cut into slices along `seq` in each micro-batch, so a hot
+    key fills many tasks. Null hashes equal each other. The state holds one row for each key and batch in which it came.
     """
-    types = dict(items.dtypes)
-    out = f"{key} {types[key]}, {seq} {types[seq]}, outcome string"
-
-    def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(seq)
-        last = state.get[0] if state.exists else None
-        before = rows[hash].shift(1)
-        if last is not None:
-            before.iloc[0] = last
-        outcome = before.eq(rows[hash]).map({True: "unchanged", False: "updated"})
-        if last is None:
-            outcome.iloc[0] = "added"
-        state.update((rows[hash].iloc[-1],))
-        yield pd.DataFrame({key: rows[key], seq: rows[seq], "outcome": outcome})
-
-    return items.select(key, seq, hash).groupBy(key).applyInPandasWithState(
-        step, out, "last string", "append", GroupStateTimeout.NoTimeout
-    )
+    types = {c: items.schema[c].dataType for c in (key, seq, hash)}
+    outcome = T.StructType([T.StructField(key, types[key]), T.StructField(seq, types[seq]), T.StructField("outcome", T.StringType())])
+    state = T.StructType([T.StructField(key, types[key]), T.StructField("last_hash", types[hash])])
+    epochs.start(items.sparkSession, root, {"outcomes": outcome, "state": state})
+
+    def judge(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        last = first_by(epochs.history(spark, root, "state", state, epoch - 1), [key], [epochs.EPOCH], last=True)
+        judged = merge_outcomes(last.withColumn("id", F.lit(1)), batch.select(key, seq, hash), key, seq, hash)
+        epochs.write(judged.select(*outcome.names), root, "outcomes", epoch)
+        epochs.write(batch.groupBy(key).agg(F.max_by(F.struct(hash), seq)[hash].alias("last_hash")), root, "state", epoch)
+        epochs.finish(spark, root, epoch)
+
+    return items.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def outcomes(spark: SparkSession, root: str, key: T.StructField, seq: T.StructField) -> DataFrame:
+    """What `hash_state_stream` has judged so far."""
+    schema = T.StructType([key, seq, T.StructField("outcome", T.StringType())])
+    return epochs.history(spark, root, "outcomes", schema).select(*schema.names)
+
+
+def complete_stream(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """An aggregated stream whose whole result each micro-batch replaces; read it with `epochs.state`."""
+    epochs.start(stream.sparkSession, root, {"result": stream.schema})
+    return stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, epoch: epochs.replace(df, root, "result", epoch)).trigger(availableNow=True).start()
 
 
 def _tally(valid: Column) -> list[Column]:

@@ -24,13 +24,10 @@ ROWS = [[("a", 0, "1"), ("b", 1, "1"), ("a", 2, "1"), ("a", 3, "2")], [("a", 4,
 
 def test_ingest_resumes(spark, tmp_path):
     landing, root, state = (str(tmp_path / n) for n in ("landing", "tables", "state"))
-    last = None
     for rows in ROWS:
         land(spark, landing, rows)
-        run = jobs.ingest_stream(jobs.read_files(spark, landing, ITEM), root, state)
-        run.awaitTermination()
-        last = run.lastProgress["batchId"] if run.lastProgress["numInputRows"] else last
-    tables = {name: jobs.snapshot(spark, root, name, last) for name in jobs.STREAM_TABLES}
+        jobs.ingest_stream(jobs.read_files(spark, landing, ITEM), root, state).awaitTermination()
+    tables = {name: jobs.snapshot(spark, root, name) for name in jobs.STREAM_TABLES}
     whole = ingest.merge_versions(
         schemas.empty(spark, schemas.NORMS), schemas.empty(spark, schemas.VERSIONS),
         spark.read.schema(ITEM).parquet(landing), F.current_timestamp())
@@ -45,23 +42,50 @@ def test_ingest_resumes(spark, tmp_path):
 
 
 def test_hash_state_survives_restart(spark, tmp_path):
-    landing, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
+    landing, root, state = (str(tmp_path / n) for n in ("landing", "root", "state"))
     for rows in ROWS:
         land(spark, landing, rows)
-        stream = jobs.hash_state_stream(jobs.read_files(spark, landing, ITEM), "url", "seq", "text_hash")
-        stream.writeStream.option("checkpointLocation", state).option("path", out).format("parquet").trigger(availableNow=True).start().awaitTermination()
-    got = {r["seq"]: r["outcome"] for r in spark.read.parquet(out).collect()}
+        jobs.hash_state_stream(jobs.read_files(spark, landing, ITEM), "url", "seq", "text_hash", root, state).awaitTermination()
+    got = {r["seq"]: r["outcome"] for r in jobs.outcomes(spark, root, ITEM["url"], ITEM["seq"]).collect()}
     assert got == {0: "added", 1: "added", 2: "unchanged", 3: "updated", 4: "unchanged", 5: "updated", 6: "added", 7: "unchanged", 8: "updated"}
 
 
-def test_dedup_across_restart(spark, tmp_path):
-    landing, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
+def test_hash_state_takes_null_hashes_as_equal(spark, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    schema = schemas.fields(k="string", seq="long", h="string")
+    for rows in ([("a", 0, None), ("a", 1, None)], [("a", 2, None), ("a", 3, "x")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        jobs.hash_state_stream(jobs.read_files(spark, landing, schema), "k", "seq", "h", root, str(tmp_path / "state")).awaitTermination()
+    got = {r["seq"]: r["outcome"] for r in jobs.outcomes(spark, root, schema["k"], schema["seq"]).collect()}
+    assert got == {0: "added", 1: "unchanged", 2: "unchanged", 3: "updated"}
+
+
+def test_dedup_lets_no_late_repeat_through(spark, tmp_path):
+    landing, root, state = (str(tmp_path / n) for n in ("landing", "root", "state"))
     schema = schemas.fields(id="long", ts="timestamp")
-    for first in (0, 5):
-        spark.range(first, first + 10).select("id", F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts")).coalesce(1).write.mode("append").parquet(landing)
-        stream = jobs.dedup_stream(jobs.read_files(spark, landing, schema), "id", "ts")
-        stream.writeStream.option("checkpointLocation", state).option("path", out).format("parquet").trigger(availableNow=True).start().awaitTermination()
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(15))
+    # The second file lies hours before the first, the third repeats it a day later.
+    for first, at in ((5, 1_700_100_000), (0, 1_700_000_000), (3, 1_700_200_000)):
+        spark.range(first, first + 10).select("id", F.timestamp_seconds(F.col("id") + at).alias("ts")).coalesce(1).write.mode("append").parquet(landing)
+        jobs.dedup_stream(jobs.read_files(spark, landing, schema), "id", "ts", root, state).awaitTermination()
+    assert sorted(r["id"] for r in jobs.deduplicated(spark, root, schema).collect()) == list(range(15))
+
+
+@pytest.mark.parametrize("files, per_trigger", [(1, 1000), (4, 1000), (2, 1), (3, 1)])
+def test_streams_over_folders_and_micro_batches(spark, sf_dir, tmp_path, monkeypatch, files, per_trigger):
+    """A table as one file, as a folder of parts, and in two or three micro-batches gives the same."""
+    from lexmill.plans import streams
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    folder = str(tmp_path / "sf")
+    events.repartition(files, "event_id").write.parquet(f"{folder}/events.parquet")
+    whole = streams._events_stream
+    monkeypatch.setattr(streams, "_events_stream", lambda s, sf: whole(s, sf, per_trigger))
+    totals = events.agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids")).first()
+    assert streams.x4_monitor_rate(spark, folder).agg(F.sum("n")).first()[0] == totals["n"]
+    assert streams.x2_dedup(spark, folder).first()["n"] == totals["ids"]
+    assert streams.x3_hash_state(spark, folder).count() == totals["n"]
+    if files == 3:
+        assert streams.x1_ingest_norms(spark, folder).count() == events.select("user_id").distinct().count()
 
 
 def events(spark):
