@@ -39,12 +39,15 @@ def _status(valid: bool, message: Column) -> Column:
     return F.struct(F.lit(valid).alias("is_valid"), message.alias("status"))
 
 
-def marker_status(text: Column | str) -> Column:
-    """Status from an in-text `(*) DEROGADO` style marker, null when there is none."""
+def marker_status(text: Column | str, reason_chars: int | None = fixed.MARKER_REASON_CHARS) -> Column:
+    """Status from an in-text `(*) DEROGADO` style marker, null when there is none.
+
+    The message quotes the text from the marker on for `reason_chars` characters, or to its end for None.
+    """
     text = F.col(text) if isinstance(text, str) else text
     hit = F.regexp_extract(text, "(?iuU)" + fixed.STATUS_MARKER, 0)
     kind = F.when(F.upper(hit).contains("DEROGADO"), F.lit("DEROGADA")).otherwise("SIN EFECTO")
-    reason = F.substring(text, F.instr(text, hit), F.lit(fixed.MARKER_REASON_CHARS))
+    reason = F.substring(text, F.instr(text, hit), F.lit(reason_chars) if reason_chars else F.length(text))
     return F.when(hit != "", _status(False, F.concat(kind, F.lit(": "), reason)))
 
 
@@ -129,19 +132,25 @@ def has_repeal_note(block: Column) -> Column:
     return block.rlike("(?iuU)" + fixed.REPEAL_NOTE)
 
 
-def without_note(block: Column) -> Column:
-    """Body before the first `(*)`; a very short body falls back to the opening of the block."""
+def without_note(block: Column, fallback_chars: int | None = None) -> Column:
+    """Body before the first `(*)`; a body of under `fixed.MIN_BODY_CHARS` falls back to the block, or its opening of `fallback_chars` (300 in the original)."""
     body = strip(F.regexp_replace(block, "(?sU)" + fixed.NOTE_TAIL, ""))
-    opening = F.substring(block, 1, fixed.FALLBACK_BODY_CHARS)
+    opening = F.substring(block, 1, fallback_chars) if fallback_chars else block
     return let(body, lambda b: F.when(F.length(b) < fixed.MIN_BODY_CHARS, opening).otherwise(b))
 
 
-def label_article(df: DataFrame, block: str = "block") -> DataFrame:
-    """Adds label (1 in force, 0 repealed), text (note removed) and raw_text."""
+def label_article(df: DataFrame, block: str = "block", text_chars: int | None = None, raw_chars: int | None = None,
+                  fallback_chars: int | None = None) -> DataFrame:
+    """Adds label (1 in force, 0 repealed), text (note removed) and raw_text.
+
+    Texts are whole unless a number of characters is given; the original dataset
+    has `fixed.SAMPLE_TEXT_CHARS`, `fixed.SAMPLE_RAW_CHARS` and `fixed.FALLBACK_BODY_CHARS`.
+    """
     b = F.col(block)
+    cut = lambda c, n: F.substring(c, 1, n) if n else c
     return df.select(
         "*",
         F.when(has_repeal_note(b), 0).otherwise(1).alias("label"),
-        F.substring(without_note(b), 1, fixed.SAMPLE_TEXT_CHARS).alias("text"),
-        F.substring(b, 1, fixed.SAMPLE_RAW_CHARS).alias("raw_text"),
+        cut(without_note(b, fallback_chars), text_chars).alias("text"),
+        cut(b, raw_chars).alias("raw_text"),
     ).drop(block)

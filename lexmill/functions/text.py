@@ -92,16 +92,20 @@ def number_token(c: Column | str) -> Column:
     return present(F.regexp_extract(_col(c), r"(\d+)", 1))
 
 
-def embedding_text(kind: Column, number: Column, title: Column, clean: Column, max_chars: int = 1000) -> Column:
-    """Type, number, title and the opening of the text, blanks skipped."""
+def _opening(c: Column, max_chars: int | None) -> Column:
+    return c if max_chars is None else F.substring(c, 1, max_chars)
+
+
+def embedding_text(kind: Column, number: Column, title: Column, clean: Column, max_chars: int | None = None) -> Column:
+    """Type, number, title and the text, blanks skipped; `max_chars` (1,000 for the original encoder) takes its opening only."""
     numbered = F.concat(F.lit("N° "), present(number))
-    return F.concat_ws(". ", present(kind), numbered, present(title), present(F.substring(clean, 1, max_chars)))
+    return F.concat_ws(". ", present(kind), numbered, present(title), present(_opening(clean, max_chars)))
 
 
-def classifier_text(title: Column, clean: Column, max_chars: int = 2500, kind: Column | None = None) -> Column:
-    """Title and opening of the text. `kind` gives the older form, which leaks the label."""
+def classifier_text(title: Column, clean: Column, max_chars: int | None = None, kind: Column | None = None) -> Column:
+    """Title and text; `max_chars` (2,500 for the original classifier) takes its opening only. `kind` gives the older form, which leaks the label."""
     parts = [] if kind is None else [present(kind)]
-    return F.concat_ws(" ", *parts, present(title), present(F.substring(clean, 1, max_chars)))
+    return F.concat_ws(" ", *parts, present(title), present(_opening(clean, max_chars)))
 
 
 def short_hash(c: Column | str, n: int = 10) -> Column:

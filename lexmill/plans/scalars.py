@@ -95,18 +95,38 @@ def p9_dates(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", text.safe_date(raw).alias("date"), text.year_of(text.safe_date(raw)).cast("long").alias("year"))
 
 
-@query("p10_embedding_text", f"""with norms as ({NORMS_SQL}) select id, concat_ws('. ', type, concat('N° ', number), nullif(title, ''),
- nullif(left(trim(regexp_replace(raw_text, '\\s+', ' ', 'g')), 1000), '')) as text from norms""")
-def p10_embedding_text(spark, sf):
+_P10_SQL = f"""with norms as ({NORMS_SQL}) select id, concat_ws('. ', type, concat('N° ', number), nullif(title, ''),
+ nullif(CUT(trim(regexp_replace(raw_text, '\\s+', ' ', 'g'))), '')) as text from norms"""
+
+
+def _p10(spark, sf, n):
     clean = text.squash(html.html_to_text("raw_text", " "))
-    return norms(spark, sf).select("id", text.embedding_text(F.col("type"), F.col("number"), F.col("title"), clean).alias("text"))
+    return norms(spark, sf).select("id", text.embedding_text(F.col("type"), F.col("number"), F.col("title"), clean, n).alias("text"))
+
+
+@query("p10_embedding_text", _P10_SQL.replace("CUT", ""))
+def p10_embedding_text(spark, sf):
+    return _p10(spark, sf, None)
 
 
-@query("p11_classifier_text", """select doc_id, concat_ws(' ', nullif(source, ''), nullif(left(text, 2500), '')) as text, concat_ws(' ', nullif(lang, ''), nullif(source, ''), nullif(left(text, 2000), '')) as older from documents""")
+@query("p10_embedding_text_cut", _P10_SQL.replace("CUT(", "left(").replace("'g'))), '')", "'g')), 100), '')"))
+def p10_embedding_text_cut(spark, sf):
+    return _p10(spark, sf, 100)
+
+
+@query("p11_classifier_text", """select doc_id, concat_ws(' ', nullif(source, ''), nullif(text, '')) as text, concat_ws(' ', nullif(lang, ''), nullif(source, ''), nullif(text, '')) as older from documents""")
 def p11_classifier_text(spark, sf):
     c = F.col
     return table(spark, sf, "documents").select(
         "doc_id", text.classifier_text(c("source"), c("text")).alias("text"),
+        text.classifier_text(c("source"), c("text"), kind=c("lang")).alias("older"))
+
+
+@query("p11_classifier_text_cut", """select doc_id, concat_ws(' ', nullif(source, ''), nullif(left(text, 2500), '')) as text, concat_ws(' ', nullif(lang, ''), nullif(source, ''), nullif(left(text, 2000), '')) as older from documents""")
+def p11_classifier_text_cut(spark, sf):
+    c = F.col
+    return table(spark, sf, "documents").select(
+        "doc_id", text.classifier_text(c("source"), c("text"), 2500).alias("text"),
         text.classifier_text(c("source"), c("text"), 2000, kind=c("lang")).alias("older"))
 
 
@@ -179,15 +199,31 @@ def p19_status(spark, sf):
     return n.select("id", status.alias("s")).select("id", "s.*")
 
 
-@query("p20_article_labels", f"""with {CODE_BLOCKS_SQL}, b as (select *, strpos(block, '(*)') as p from blocks)
-select code_id, article_num, case when p > 0 then 0 else 1 end as label, left(case when p = 0 then block when length(trim(left(block, p - 1))) < 30 then left(block, 300) else trim(left(block, p - 1)) end, 6000) as text,
- left(block, 8000) as raw_text from b""")
-def p20_article_labels(spark, sf):
+_P20_SQL = f"""with {CODE_BLOCKS_SQL}, b as (select *, strpos(block, '(*)') as p from blocks)
+select code_id, article_num, case when p > 0 then 0 else 1 end as label, left(case when p = 0 then block when length(trim(left(block, p - 1))) < 30 then left(block, FALLBACK) else trim(left(block, p - 1)) end, TEXT) as text,
+ left(block, RAW) as raw_text from b"""
+
+
+def _p20_sql(fallback, text, raw):
+    return _P20_SQL.replace("FALLBACK", str(fallback)).replace("TEXT", str(text)).replace("RAW", str(raw))
+
+
+def _p20(spark, sf, **cuts):
     from lexmill.operators.extract import split_code_articles
     from lexmill.plans.corpus import codes
 
     blocks = split_code_articles(codes(spark, sf), "code_id", "text")
-    return rules.label_article(blocks).select("code_id", "article_num", "label", "text", "raw_text")
+    return rules.label_article(blocks, **cuts).select("code_id", "article_num", "label", "text", "raw_text")
+
+
+@query("p20_article_labels", _p20_sql(1 << 30, 1 << 30, 1 << 30))
+def p20_article_labels(spark, sf):
+    return _p20(spark, sf)
+
+
+@query("p20_article_labels_cut", _p20_sql(20, 60, 80))
+def p20_article_labels_cut(spark, sf):
+    return _p20(spark, sf, fallback_chars=20, text_chars=60, raw_chars=80)
 
 
 @query("p22_number", "select doc_id, nullif(regexp_extract(text, '(\\d+)', 1), '') as token from documents")

@@ -126,7 +126,9 @@ def test_repeal_note_and_body(spark):
 
 def test_short_body_falls_back_to_raw(spark):
     block = "Artículo 6.- Nada. (*) Numeral dejado sin efecto " + "y" * 400
-    got = rules.label_article(spark.createDataFrame([(block,)], "block string")).first()
+    frame = spark.createDataFrame([(block,)], "block string")
+    assert rules.label_article(frame).first()["text"] == block
+    got = rules.label_article(frame, fallback_chars=300).first()
     assert got["label"] == 0 and got["text"] == block[:300]
 
 
@@ -137,9 +139,25 @@ def test_number_token(spark, value, expected):
 
 def test_embedding_text_skips_blanks(spark):
     got = one(spark, text.embedding_text(F.col("a"), F.col("b"), F.col("c"), F.col("d")), a="LEY", b=None, c="", d="x" * 1200)
+    assert got == "LEY. " + "x" * 1200
+    got = one(spark, text.embedding_text(F.col("a"), F.col("b"), F.col("c"), F.col("d"), 1000), a="LEY", b=None, c="", d="x" * 1200)
     assert got == "LEY. " + "x" * 1000
 
 
+def test_entities_as_browsers_read_them(spark):
+    import html as standard
+    from html.entities import html5
+
+    from lexmill.functions.html import decode_entities
+
+    forms = [f"a&{name} b" for name in html5] + [f"x&{name}y" for name in ("amp", "nbsp", "copy2020", "notin", "notit;", "frac12", "unknown;", "AMP", "ampamp;")]
+    forms += [f"&#{n};z" for n in (0, 9, 10, 13, 65, 127, 128, 129, 145, 150, 159, 160, 55296, 65534, 128512, 1114111, 1114112, 99999999999)]
+    forms += [f"&#x{n}" for n in ("41", "96;", "d800;", "1F600;", "ffffffff;", "0000041;")] + ["&;", "& b", "&#;", "&#x;", "a&b&lt", "&#65", "&amp;lt;"]
+    got = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i int, t string").select("i", decode_entities(F.col("t")).alias("d")).collect()
+    wrong = [(forms[r["i"]], r["d"], standard.unescape(forms[r["i"]])) for r in got if r["d"] != standard.unescape(forms[r["i"]])]
+    assert not wrong, wrong[:10]
+
+
 def test_tokens(spark):
     assert one(spark, tokens.tokens_ws("t"), t=" La ley, LEY \n 5 ") == ["la", "ley,", "ley", "5"]
     assert one(spark, tokens.tokens_words("t"), t="La ley N° 5, año_1 y él") == ["la", "ley", "año_1", "él"]
