@@ -31,21 +31,32 @@ class Corpus(NamedTuple):
 
 
 def ingest_batch(stored: Corpus, docs: DataFrame, details: DataFrame, now: Column, seq: str = "seq", only_valid: bool = False,
-                 max_articles: int | None = None, max_citations: int | None = None, max_chars: int = fixed.MAX_TEXT_CHARS) -> Corpus:
+                 max_articles: int | None = None, max_citations: int | None = None, max_chars: int | None = None,
+                 article_chars: int | None = None, target_chars: int | None = None, limits: dict[str, int] | None = None,
+                 pages: DataFrame | None = None) -> Corpus:
     """Landed documents and details to the next state of all four tables.
 
-    Documents carry `seq`, their order of arrival. Oversized and empty texts are
-    left out, invalid norms too when asked. Only added and updated norms are
-    taken apart again; one that yields no article or citation keeps its old ones.
+    Documents carry `seq`, their order of arrival; blank ids are left out, and of repeated ids the first counts.
+    `pages` (id, html, error) adds the banner of a landed page, or the error met when fetching it, to a norm's status.
+    Texts of any length stay unless `max_chars` is given (the sampling collector has
+    `fixed.MAX_TEXT_CHARS`), which also drops empty ones; invalid norms are left out when asked.
+    Counts (`fixed.MAX_ARTICLES`, `fixed.MAX_CITATIONS`), characters (`fixed.ARTICLE_CHARS`,
+    `fixed.TARGET_CHARS`) and field limits (`fixed.FIELD_LIMITS`) apply only where given. Only added
+    and updated norms are taken apart again; one that yields no article or citation keeps its old ones.
     """
-    items = landing.build_items(docs, details).join(docs.select("id", seq), "id")
-    items = ingest.keep_sized(items, "raw_text", max_chars)
+    once = ingest.keep_new_ids(docs, "id", [seq])
+    page = error = None
+    if pages is not None:
+        once = once.join(ingest.first_seen(pages.select("id", F.col("html").alias("_html"), F.col("error").alias("_error")), "id", ["_html"]), "id", "left")
+        page, error = F.col("d._html"), F.col("d._error")
+    items = landing.build_items(once, details, page_html=page, error=error, keep=[seq])
+    items = items if max_chars is None else ingest.keep_sized(items, "raw_text", max_chars)
     items = ingest.drop_invalid(items) if only_valid else items
-    merged = ingest.merge_versions(stored.norms, stored.versions, with_level(items), now)
+    merged = ingest.merge_versions(stored.norms, stored.versions, with_level(items), now, limits=limits)
     touched = merged.outcomes.where(F.col("outcome") != "unchanged")
     changed = stage(touched.groupBy("norm_id").agg(F.max_by("raw_text", seq).alias("raw_text")), "changed")
-    articles = extract_articles(changed, "norm_id", "raw_text", max_articles, fixed.ARTICLE_CHARS if max_articles else None)
-    citations = extract_citations(changed, "norm_id", "raw_text", max_citations, fixed.TARGET_CHARS if max_citations else None)
+    articles = extract_articles(changed, "norm_id", "raw_text", max_articles, article_chars)
+    citations = extract_citations(changed, "norm_id", "raw_text", max_citations, target_chars)
     return Corpus(
         merged.norms, merged.versions,
         ingest.replace_children(stored.articles, schemas.conform(articles, schemas.ARTICLES), changed),
@@ -54,6 +65,21 @@ def ingest_batch(stored: Corpus, docs: DataFrame, details: DataFrame, now: Colum
     )
 
 
+def collect_sample(stored: Corpus, docs: DataFrame, details: DataFrame, now: Column, group: str = "group", date: str = "fechaPublicacion",
+                   plan: list[tuple[str, str]] = tuple(fixed.SAMPLING_PLAN), per_entry: int = 100, target: int = 700,
+                   known: DataFrame | None = None, max_chars: int = fixed.MAX_TEXT_CHARS, **options) -> Corpus:
+    """The sampling collector: norms by a plan of groups, quotas counted on norms that can be added.
+
+    Before the quotas, ids collected earlier (`known`: id), documents without a
+    detail, and texts that are empty or over `max_chars` drop out.
+    """
+    fit = ingest.keep_sized(details.select("id", "textoCompleto"), "textoCompleto", max_chars).select("id").distinct()
+    able = docs.join(fit, "id", "left_semi")
+    able = able if known is None else ingest.skip_known(able, known, "id")
+    chosen = stage(ingest.quota_sample(able, "id", group, date, list(plan), per_entry, target), "sample").select("id")
+    return ingest_batch(stored, docs.join(chosen, "id", "left_semi"), details, now, max_chars=max_chars, **options)
+
+
 # --- Validation -----------------------------------------------------------------
 
 def validate(norms: DataFrame, versions: DataFrame, now: Column, force: bool = False, limit: int = 0,
@@ -92,15 +118,16 @@ def apply_validation(norms: DataFrame, judged: DataFrame) -> DataFrame:
 
 def list_versions(norms: DataFrame, versions: DataFrame) -> DataFrame:
     """Every version with its norm, short hash and state, newest first."""
-    state = profile.newest_first(ingest.version_state(versions))
-    joined = ingest.versions_with_norms(state, norms)
-    return profile.display_versions(joined.select("v.*", "n.type", "n.number"))
+    state = ingest.version_state(versions.select("id", "norm_id", "version_date", "text_hash"))
+    joined = ingest.versions_with_norms(state, norms.select("id", "type", "number")).select("v.*", "n.type", "n.number")
+    return profile.display_versions(profile.newest_first(joined))
 
 
 # --- Index and search -----------------------------------------------------------
 
-def index_rows(norms: DataFrame, versions: DataFrame, level: int | None = None, only_valid: bool = True, limit: int = 0) -> DataFrame:
-    """Norms to index with the text to encode."""
+def index_rows(norms: DataFrame, versions: DataFrame, level: int | None = None, only_valid: bool = True, limit: int = 0,
+               text_chars: int | None = None) -> DataFrame:
+    """Norms to index with the text to encode, whole unless `text_chars` takes its opening."""
     rows = ingest.keep_valid(norms, level) if only_valid else norms if level is None else norms.where(F.col("level") == level)
     rows = profile.recent(rows, "updated_at", "id", limit) if limit else rows
     latest = ingest.latest_version(rows, versions)
@@ -108,14 +135,14 @@ def index_rows(norms: DataFrame, versions: DataFrame, level: int | None = None,
     c = F.col
     return latest.select(
         c("id").alias("norm_id"), "title", "type", "number", "url", "level", c("is_valid").cast("boolean").alias("is_valid"), "status",
-        embedding_text(c("type"), c("number"), c("title"), clean).alias("text"),
+        embedding_text(c("type"), c("number"), c("title"), clean, text_chars).alias("text"),
     )
 
 
 def build_index(norms: DataFrame, versions: DataFrame, encoder: Callable[[pd.Series], np.ndarray] | None = None,
-                level: int | None = None, only_valid: bool = True, limit: int = 0) -> DataFrame:
+                level: int | None = None, only_valid: bool = True, limit: int = 0, text_chars: int | None = None) -> DataFrame:
     """Index metadata with a unit vector per norm, ready to be written."""
-    return retrieval.encode(index_rows(norms, versions, level, only_valid, limit), "text", encoder)
+    return retrieval.encode(index_rows(norms, versions, level, only_valid, limit, text_chars), "text", encoder)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool = True, level: int | None = None,
@@ -146,19 +173,19 @@ def evaluate_search(index: DataFrame, queries: DataFrame, k: int = 5, encoder: C
 
 # --- Datasets and training --------------------------------------------------------
 
-def validity_dataset(codes: DataFrame, ratio: float = 1.5, seed: int = 42) -> DataFrame:
-    """Balanced article samples from the published texts of codes (code_id, code_name, html)."""
-    plain = codes.select("code_id", F.substring("code_name", 1, 256).alias("code_name"), html_to_text("html", " ", always=True).alias("text"))
-    labelled = label_article(split_code_articles(plain, "code_id", "text", ["code_name"]))
+def validity_dataset(codes: DataFrame, ratio: float = 1.5, seed: int = 42, **cuts: int) -> DataFrame:
+    """Balanced article samples from the published texts of codes (code_id, code_name, html); `cuts` are those of `label_article`."""
+    plain = codes.select("code_id", "code_name", html_to_text("html", " ", always=True).alias("text"))
+    labelled = label_article(split_code_articles(plain, "code_id", "text", ["code_name"]), **cuts)
     keyed = stage(labelled.withColumn("sample_id", F.concat_ws("#", "code_id", F.col("pos").cast("string"))).drop("pos"), "labelled")
     return dataset.balance(keyed, "label", "sample_id", ratio, seed)
 
 
-def hierarchy_dataset(norms: DataFrame, versions: DataFrame) -> DataFrame:
-    """Title and opening text of each norm with its level; the type is left out because the level comes from it."""
+def hierarchy_dataset(norms: DataFrame, versions: DataFrame, text_chars: int | None = None) -> DataFrame:
+    """Title and text (its opening where `text_chars` is given) of each norm with its level; the type is left out because the level comes from it."""
     latest = ingest.latest_version(norms, versions)
     clean = html_to_text("raw_text", " ")
-    rows = latest.select(F.col("id").alias("doc_id"), classifier_text(F.col("title"), clean).alias("text"), F.coalesce("level", F.lit(fixed.LEVEL_DEFAULT)).alias("label"))
+    rows = latest.select(F.col("id").alias("doc_id"), classifier_text(F.col("title"), clean, text_chars).alias("text"), F.coalesce("level", F.lit(fixed.LEVEL_DEFAULT)).alias("label"))
     return dataset.keep_common_classes(rows, "label", 5, 1, 5)
 
 

@@ -37,7 +37,8 @@ def keep_valid(df: DataFrame, level: int | None = None, valid: str = "is_valid",
     return out if level is None else out.where(F.col(level_col) == level)
 
 
-def keep_sized(df: DataFrame, text: str, max_chars: int = fixed.MAX_TEXT_CHARS) -> DataFrame:
+def keep_sized(df: DataFrame, text: str, max_chars: int) -> DataFrame:
+    """Texts of one character up to `max_chars` (in the sampling collector `fixed.MAX_TEXT_CHARS`)."""
     return df.where(F.length(text).between(1, max_chars))
 
 
@@ -107,9 +108,17 @@ def change_points(df: DataFrame, key: list[str], seq: list[str], value: str, sli
 
 
 class Merge(NamedTuple):
+    """The next state of both tables, what became of each item, and the rows by which the state differs from the last."""
+
     norms: DataFrame
     versions: DataFrame
     outcomes: DataFrame
+    changed_norms: DataFrame
+    new_versions: DataFrame
+
+
+#: Fields that name a norm or its text; cut, they would make different norms or texts equal.
+UNCUT = ("url", "text_hash")
 
 
 META = ["type", "number", "title", "date", "source", "status", "text_hash", "level"]
@@ -131,16 +140,21 @@ def merge_outcomes(norms: DataFrame, batch: DataFrame, key: str = "url", seq: st
 
 
 def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now: datetime | Column,
-                   slices: Column | None = None) -> Merge:
+                   slices: Column | None = None, limits: dict[str, int] | None = None) -> Merge:
     """Merge a batch of items (url, seq, metadata, raw_text) into norms and versions.
 
+    Fields stay whole unless `limits` (such as `fixed.FIELD_LIMITS`) are given; url and text_hash
+    are never cut. Outcomes carry `cut_fields`, the number of fields cut in the item.
+
     Items of one url are taken in `seq` order. A changed hash replaces the
     metadata and adds a version; the validity fields are set when a norm is
     added and never by an update; an unchanged item touches nothing. The judged
     items feed norms, versions and outcomes, so they are staged once.
     """
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
-    items = stage(merge_outcomes(norms, truncate_fields(batch).drop("cut_fields"), slices=slices), "items")
+    limits = {k: n for k, n in (limits or {}).items() if k not in UNCUT}
+    cut = truncate_fields(batch, limits) if limits else batch.withColumn("cut_fields", F.lit(0))
+    items = stage(merge_outcomes(norms, cut, slices=slices), "items")
     changed = items.where(F.col("outcome") != "unchanged")
     valid = F.coalesce(F.col("is_valid").cast("int"), F.lit(1))
     per_url = changed.groupBy("url").agg(
@@ -156,12 +170,12 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
     )
 
     old, new = norms.alias("o"), changes.alias("c")
-    hit, is_new = F.col("c.url").isNotNull(), F.col("o.url").isNull()
+    is_new = F.col("o.url").isNull()
 
     def pick(name: str) -> Column:
         o = F.col(f"o.{name}")
         if name in META:
-            return F.when(hit, F.col(f"c.m.{name}")).otherwise(o)
+            return F.col(f"c.m.{name}")
         added = {
             "id": F.col("c.norm_id"),
             "url": F.col("c.url"),
@@ -173,12 +187,13 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
         if name in added:
             return F.when(is_new, added[name]).otherwise(o)
         if name == "last_hash":
-            return F.when(hit, F.col("c.m.text_hash")).otherwise(o)
-        return F.when(hit, now).otherwise(o)  # updated_at, last_updated_at
+            return F.col("c.m.text_hash")
+        return now  # updated_at, last_updated_at
 
-    merged = old.join(new, F.col("o.url") == F.col("c.url"), "full_outer").select(
+    changed_norms = new.join(old, F.col("o.url") == F.col("c.url"), "left").select(
         *[pick(f.name).cast(f.dataType).alias(f.name) for f in schemas.NORMS.fields]
     )
+    merged = norms.join(changes.select("url"), "url", "left_anti").select(*schemas.NORMS.names).unionByName(changed_norms)
 
     snap = F.to_json(F.struct("url", *META))
     added_versions = salted_join(changed.drop("norm_id"), changes.select("url", "norm_id"), "url", "seq")
@@ -189,7 +204,8 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
         (vbase + F.col("rank")).alias("id"), "norm_id", now.alias("version_date"), "text_hash", "raw_text", snap.alias("metadata_json")
     )
     outcomes = salted_join(items, new_ids, "url", "seq", "left").withColumn("norm_id", F.coalesce("norm_id", "new_id")).drop("new_id")
-    return Merge(merged, versions.unionByName(schemas.conform(appended, schemas.VERSIONS)), outcomes)
+    new_versions = schemas.conform(appended, schemas.VERSIONS)
+    return Merge(merged, versions.unionByName(new_versions), outcomes, changed_norms, new_versions)
 
 
 def replace_children(children: DataFrame, new: DataFrame, changed: DataFrame, key: str = "norm_id",
@@ -246,32 +262,18 @@ def quota_sample(df: DataFrame, id: str, group: str, date: str, plan: list[tuple
     """Sample by a plan of (group, "1" newest first | "2" oldest first): at most `per_entry` rows each,
     an id taken by an earlier entry is skipped, `target` rows in all.
 
-    Entry i can lose at most `per_entry * i` rows to the entries before it, so
-    its first `per_entry * (i + 1)` rows decide. Only those go on, a number set
-    by the plan and not by the data; who takes which row is then settled in order.
+    Entries are settled in turn: each drops the ids taken so far and takes its
+    first rows, so only ids and dates move and no more than the plan's rows are kept.
     """
-    candidates = []
+    taken: list[DataFrame] = []
     for i, (name, how) in enumerate(plan):
         first = F.col(date).asc_nulls_last() if how == "2" else F.col(date).desc_nulls_last()
-        top = df.where(F.col(group) == name).select(id, date).orderBy(first, F.col(id)).limit(per_entry * (i + 1))
-        entry = top.withColumn("entry", F.lit(i))
+        open_rows = df.where((F.col(group) == name) & F.col(id).isNotNull()).select(id, date)
+        for earlier in taken:
+            open_rows = open_rows.join(earlier.select(id), id, "left_anti")
+        once = open_rows.groupBy(id).agg((F.min if how == "2" else F.max)(date).alias(date))
+        top = once.orderBy(first, F.col(id)).limit(per_entry)
         place = F.row_number().over(Window.partitionBy("entry").orderBy(first, F.col(id)))
-        candidates.append(entry.select(id, "entry", place.alias("pos")))
-    pool = reduce(DataFrame.unionByName, candidates)
-    id_type = df.schema[id].dataType.simpleString()
-
-    def settle(pdf):
-        pdf = pdf.sort_values(["entry", "pos"])
-        taken, rows = set(), []
-        for entry, part in pdf.groupby("entry", sort=True):
-            picked = 0
-            for value in part[id]:
-                if picked == per_entry or len(rows) == target:
-                    break
-                if value not in taken:
-                    taken.add(value)
-                    picked += 1
-                    rows.append((value, entry, picked))
-        return type(pdf)(rows, columns=[id, "entry", "rank"])
-
-    return pool.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(settle, f"{id} {id_type}, entry int, rank int")
+        taken.append(stage(top.withColumn("entry", F.lit(i)).withColumn("rank", place).select(id, "entry", "rank"), "entry"))
+    every = reduce(DataFrame.unionByName, taken)
+    return every.orderBy("entry", "rank").limit(target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -55,7 +56,7 @@ def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, s
     along the order; the last value of a slice is carried to the first row of
     the next through a table of one row per key and slice. Columns of `attach`
     (one row per key) travel with that table, so no join meets a hot key.
-    Keys must not be null.
+    A null key is a key like any other.
     """
     sliced = df.withColumn("_slice", slice_by)
     near = F.lag(F.struct(value.alias("v"))).over(Window.partitionBy(*key, "_slice").orderBy(*order))
@@ -64,11 +65,14 @@ def lag_sliced(df: DataFrame, key: list[str], order: list[str], value: Column, s
     carried = tails.select(*key, "_slice", far.alias("_far"))
     if attach is not None:
         carried = carried.join(attach, key, "left")
+    names = {k: f"_carried_{k}" for k in [*key, "_slice"]}
+    carried = carried.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()])
     return (
         sliced.withColumn("_near", near)
-        .join(carried, [*key, "_slice"], "left")
+        .join(carried, same, "left")
         .withColumn(out, F.coalesce("_near", "_far"))
-        .drop("_near", "_far", "_slice")
+        .drop("_near", "_far", "_slice", *names.values())
     )
 
 

@@ -138,7 +138,7 @@ def m14_require(spark, sf):
 def article_samples(spark, sf):
     """Balanced, labelled articles of the derived codes: doc_id, label, text (note removed), raw_text."""
     labelled = label_article(split_code_articles(codes(spark, sf), "code_id", "text"))
-    keyed = stage(labelled.withColumn("doc_id", F.concat_ws("#", "code_id", "article_num")), "labelled")
+    keyed = stage(labelled.withColumn("doc_id", F.concat_ws("#", "code_id", F.col("pos").cast("string"))), "labelled")
     return dataset.balance(keyed, "label", "doc_id").select("doc_id", "label", "text", "raw_text")
 
 

@@ -72,7 +72,7 @@ def k3_list_versions(spark, sf):
 
 
 DIM = 64
-_TEXT_SQL = f"""norms as ({NORMS_SQL}), lev as ({LEVEL_SQL}), idx as (select id as norm_id, title, is_valid, level, concat_ws('. ', type, concat('N° ', number), title, left(trim(regexp_replace(raw_text, '\\s+', ' ', 'g')), 1000)) as text
+_TEXT_SQL = f"""norms as ({NORMS_SQL}), lev as ({LEVEL_SQL}), idx as (select id as norm_id, title, is_valid, level, concat_ws('. ', type, concat('N° ', number), title, trim(regexp_replace(raw_text, '\\s+', ' ', 'g'))) as text
   from lev where is_valid = 1)"""
 
 
@@ -137,7 +137,7 @@ def k7_validity_dataset(spark, sf):
     return jobs.validity_dataset(published).select("code_id", "article_num", "label")
 
 
-@query("k8_hierarchy_dataset", f"""with norms as ({NORMS_SQL}), lev as ({LEVEL_SQL}) select id as doc_id, concat_ws(' ', title, left(raw_text, 2500)) as text, level as label from lev
+@query("k8_hierarchy_dataset", f"""with norms as ({NORMS_SQL}), lev as ({LEVEL_SQL}) select id as doc_id, concat_ws(' ', title, raw_text) as text, level as label from lev
  where level in (select level from lev group by level having count(*) >= 5)""")
 def k8_hierarchy_dataset(spark, sf):
     return jobs.hierarchy_dataset(*_stored(spark, sf))

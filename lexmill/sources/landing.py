@@ -77,8 +77,8 @@ def with_detail(docs: DataFrame, details: DataFrame, id: str) -> DataFrame:
 
 
 def build_items(docs: DataFrame, details: DataFrame, base_url: str = "https://example.org/#/detallenorma/",
-                page_html: Column | None = None, error: Column | None = None) -> DataFrame:
-    """Norm items from search documents and their details.
+                page_html: Column | None = None, error: Column | None = None, keep: list[str] = ()) -> DataFrame:
+    """Norm items from search documents and their details, with the columns `keep` of the documents.
 
     Titles and summaries lose their tags, the status comes from banner and
     marker, and the hash is that of the published text.
@@ -106,4 +106,5 @@ def build_items(docs: DataFrame, details: DataFrame, base_url: str = "https://ex
         F.to_json(F.struct(F.col("t.ruta").alias("agrupacion"), F.struct(
             F.col("d.id").alias("id"), F.col("d.palabra").alias("palabra"), F.col("d.highlights").alias("highlight")
         ).alias("solr_doc"))).alias("metadata_json"),
+        *[F.col(f"d.{c}").alias(c) for c in keep],
     ).select("*", "_status.status", "_status.is_valid", "_status.outcome").drop("_status")

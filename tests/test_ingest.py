@@ -179,3 +179,8 @@ def test_keep_new_ids(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("", 0), (None, 0), ("b", 5), ("c", 1)], "id string, s int")
     known = spark.createDataFrame([("c",)], "id string")
     assert sorted(tuple(r) for r in ingest.keep_new_ids(df, "id", ["s"], known).collect()) == [("a", 1), ("b", 5)]
+
+
+def test_null_keys_are_one_key(spark):
+    rows = spark.range(200).select(F.lit(None).cast("string").alias("k"), "id", F.lit("same").alias("v"))
+    assert ingest.change_points(rows, ["k"], ["id"], "v").count() == 1
