@@ -154,14 +154,14 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool =
     if level is not None:
         keep = (F.col("level") == level) if keep is None else keep & (F.col("level") == level)
     vectors = retrieval.encode(queries.select("query_id", "query"), "query", encoder)
-    hits = retrieval.dense_topk(vectors, index, k, mode, keep, doc_id="norm_id")
+    hits = stage(retrieval.dense_topk(vectors, index, k, mode, keep, doc_id="norm_id"), "hits")
     return hits.join(index.drop("embedding").withColumnRenamed("norm_id", "doc_id"), "doc_id")
 
 
 def search_bm25(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool = True, text: str = "title") -> DataFrame:
     """BM25 hits over the titles of the index, with metadata."""
     keep = index.where(F.coalesce(F.col("is_valid"), F.lit(True))).select(F.col("norm_id").alias("doc_id")) if only_valid else None
-    hits = retrieval.bm25_topk(queries, retrieval.bm25_index(index, "norm_id", text), k, keep=keep)
+    hits = stage(retrieval.bm25_topk(queries, retrieval.bm25_index(index, "norm_id", text), k, keep=keep), "hits")
     return hits.join(index.drop("embedding").withColumnRenamed("norm_id", "doc_id"), "doc_id")
 
 

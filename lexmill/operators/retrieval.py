@@ -64,7 +64,10 @@ def _local_topk(scores: np.ndarray, doc_ids: np.ndarray, query_ids: np.ndarray,
     place = np.unique(doc_ids, return_inverse=True)[1]
     parts = []
     for j, qid in enumerate(query_ids):
-        best = np.lexsort((place, -scores[:, j]))[:k]
+        column = scores[:, j]
+        # Only rows at or above the k-th score are sorted, all ties with it among them.
+        able = np.flatnonzero(column >= np.partition(column, -k)[-k]) if len(column) > k else np.arange(len(column))
+        best = able[np.lexsort((place[able], -column[able]))[:k]]
         parts.append(pd.DataFrame({"query_id": qid, "doc_id": doc_ids[best], "score": scores[best, j]}))
     return pd.concat(parts, ignore_index=True)
 
@@ -160,16 +163,20 @@ class Bm25Index(NamedTuple):
     stats: DataFrame
 
 
-def bm25_postings(df: DataFrame, id: str, text: str) -> DataFrame:
-    """doc_id, term, tf, dl. Whole documents are moved once by id, so that later work per document stays in place."""
-    docs = df.select(F.col(id).alias("doc_id"), F.col(text).alias("_x")).repartition("doc_id")
-    counted = docs.select("doc_id", tokens_ws("_x").alias("_t")).select("doc_id", F.size("_t").alias("dl"), F.explode(term_counts(F.col("_t"))).alias("p"))
-    return counted.select("doc_id", "p.term", "p.tf", "dl")
+def counted_documents(df: DataFrame, id: str, text: str) -> DataFrame:
+    """doc_id, dl and the counted terms of each document in one row, written once: texts are cut into tokens here only and are not moved."""
+    cut = df.select(F.col(id).alias("doc_id"), tokens_ws(text).alias("_t"))
+    return stage(cut.select("doc_id", F.size("_t").alias("dl"), term_counts(F.col("_t")).alias("terms")), "counted")
 
 
-def document_frequency(df: DataFrame, text: str) -> DataFrame:
-    """term, df. Each document lists its distinct terms where it lies; only counts are shuffled."""
-    return df.select(F.explode(F.array_distinct(tokens_ws(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def bm25_postings(counted: DataFrame) -> DataFrame:
+    """doc_id, term, tf, dl. Rows of counts are moved once by id, so that later work per document stays in place."""
+    return counted.repartition("doc_id").select("doc_id", "dl", F.explode("terms").alias("p")).select("doc_id", "p.term", "p.tf", "dl")
+
+
+def document_frequency(counted: DataFrame) -> DataFrame:
+    """term, df. Only counts are shuffled."""
+    return counted.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def raw_idf(n: Column, df: Column) -> Column:
@@ -178,11 +185,12 @@ def raw_idf(n: Column, df: Column) -> Column:
 
 def bm25_index(df: DataFrame, id: str, text: str) -> Bm25Index:
     """Index statistics over all rows. Negative idf values become a fraction of the mean idf."""
-    postings = bm25_postings(df, id, text)
-    lengths = df.select(F.col(id).alias("doc_id"), F.size(tokens_ws(text)).alias("dl"))
+    counted = counted_documents(df, id, text)
+    postings = bm25_postings(counted)
+    lengths = counted.select("doc_id", "dl")
     sizes = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     n = sizes.select("n").scalar()
-    dfs = document_frequency(df, text).withColumn("_raw", raw_idf(n, F.col("df")))
+    dfs = document_frequency(counted).withColumn("_raw", raw_idf(n, F.col("df")))
     stats = dfs.agg(F.avg("_raw").alias("mean_idf"), F.count(F.lit(1)).alias("n_terms")).select(
         n.alias("n"), sizes.select("avgdl").scalar().alias("avgdl"), "mean_idf", "n_terms"
     )
@@ -207,22 +215,30 @@ def match_terms(weights: DataFrame, postings: DataFrame, max_rows: int = BROADCA
     return [postings.join(F.broadcast(marked.where(F.col("_b") == b).drop("_b")), "term") for b in range(blocks)]
 
 
-def bm25_topk(queries: DataFrame, index: Bm25Index, k: int, query_id: str = "query_id", text: str = "query",
-              keep: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Top k positive scores per query: query_id, doc_id, score, rank. `keep` (doc_id) filters after scoring.
+def bm25_scores(queries: DataFrame, index: Bm25Index, query_id: str = "query_id", text: str = "query",
+                max_rows: int = BROADCAST_ROWS) -> list[DataFrame]:
+    """query_id, doc_id, score of all documents that share a term with a query, as one frame per block of queries.
 
-    Postings lie together by document, so a document is scored where it is, and
-    each task passes on at most k rows per query. The query weights are staged,
-    because their number decides how they are handed out.
+    Postings lie together by document, so a document is scored where it is. The query
+    weights are staged, because their number decides how they are handed out.
     """
     weights = stage(query_terms(queries, query_id, text).join(index.terms.select("term", "idf"), "term"), "weights")
     k1, b = fixed.BM25_K1, fixed.BM25_B
     avgdl = index.lengths.select(F.avg("dl")).scalar()
     tf, dl = F.col("tf"), F.col("dl")
     part = F.col("qtf") * F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+    return [matched.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+            for matched in match_terms(weights, index.postings, max_rows)]
+
+
+def bm25_topk(queries: DataFrame, index: Bm25Index, k: int, query_id: str = "query_id", text: str = "query",
+              keep: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Top k positive scores per query: query_id, doc_id, score, rank. `keep` (doc_id) filters after scoring.
+
+    Each task passes on at most k rows per query.
+    """
     tops = []
-    for matched in match_terms(weights, index.postings, max_rows):
-        scores = matched.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+    for scores in bm25_scores(queries, index, query_id, text, max_rows):
         scores = positive(scores)
         if keep is not None:
             scores = scores.join(keep.select("doc_id"), "doc_id", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexmill import fixed
 from lexmill.operators import irmetrics, retrieval
 from lexmill.plans.corpus import NORMS_SQL, norms
+from lexmill.session import stage
 from lexmill.plans.registry import query, table, wide_table
 
 # --- Text search: benchmark texts against documents -------------------------------
@@ -72,10 +73,8 @@ def r5_bm25_valid(spark, sf):
 def f7_positive(spark, sf):
     """How many documents score above zero for each query: the size of the full ranking, before any cut."""
     index = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text")
-    weights = retrieval.query_terms(_queries(spark, sf), "query_id", "query").join(index.terms, "term")
     out = None
-    for matched in retrieval.match_terms(weights.select("query_id", "term", "qtf", "idf"), index.postings):
-        scored = matched.groupBy("query_id", "doc_id").agg(F.sum(F.col("idf") * F.col("tf")).alias("score"))
+    for scored in retrieval.bm25_scores(_queries(spark, sf), index):
         counts = retrieval.positive(scored).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
         out = counts if out is None else out.unionByName(counts)
     return out
@@ -83,7 +82,7 @@ def f7_positive(spark, sf):
 
 @query("j8_terms", f"with {_BM25} select query_id, count(*) as matches, sum(tf)::bigint as occurrences from bm_q join bm_post using (term) group by query_id")
 def j8_terms(spark, sf):
-    postings = retrieval.bm25_postings(wide_table(spark, sf, "documents"), "doc_id", "text")
+    postings = retrieval.bm25_postings(retrieval.counted_documents(wide_table(spark, sf, "documents"), "doc_id", "text"))
     weights = retrieval.query_terms(_queries(spark, sf), "query_id", "query")
     blocks = [m.groupBy("query_id").agg(F.count(F.lit(1)).alias("matches"), F.sum("tf").alias("occurrences")) for m in retrieval.match_terms(weights, postings)]
     out = blocks[0]
@@ -236,7 +235,8 @@ def _judgements(spark, sf):
 
 def _systems(spark, sf):
     meta = wide_table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"), F.col("lang").alias("type"))
-    return {name: hits.join(meta, "doc_id") for name, hits in (("dense", _dense_text(spark, sf)), ("bm25", _bm25(spark, sf)))}
+    # Hits are few and staged, so Spark sees their size and sends them to the texts.
+    return {name: stage(hits, "hits").join(meta, "doc_id") for name, hits in (("dense", _dense_text(spark, sf)), ("bm25", _bm25(spark, sf)))}
 
 
 def _judged(spark, sf):
