@@ -50,7 +50,12 @@ def r4_bm25_stats(spark, sf):
     return stats.select("n", F.round("avgdl", 6).alias("avgdl"), F.round("mean_idf", 6).alias("mean_idf"), "n_terms")
 
 
-@query("r4_bm25_terms", f"with {_BM25} select term, df, round(idf, 6) as idf from bm_idf")
+_TERMS_SQL = f"""t as materialized (select list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') as toks from documents),
+d as materialized (select term, count(*) as df from (select unnest(list_distinct(toks)) as term from t) group by term),
+r as materialized (select term, df, ln(n - df + 0.5) - ln(df + 0.5) as r from d, (select count(*) as n from t))"""
+
+
+@query("r4_bm25_terms", f"with {_TERMS_SQL} select term, df, round(case when r < 0 then {fixed.BM25_EPSILON} * m else r end, 6) as idf from r, (select avg(r) as m from r)")
 def r4_bm25_terms(spark, sf):
     terms = retrieval.bm25_index(wide_table(spark, sf, "documents"), "doc_id", "text").terms
     return terms.select("term", "df", F.round("idf", 6).alias("idf"))
@@ -214,20 +219,26 @@ def j11_side_by_side(spark, sf):
 
 # Judgements: the longer words of a benchmark text, looked for in whole documents.
 _KW_SQL = "kw as (select item_id as query_id, list_distinct(list_filter(string_split(lower(text), ' '), lambda w: length(w) > 9)) as keywords from benchmark)"
-_JUDGED = f"""{_DENSE_TEXT}, {_BM25}, {_KW_SQL},
-hits as (select 'dense' as system, query_id, doc_id, rank from {_ranked_sql('ds', 5)} union all select 'bm25', query_id, doc_id, rank from bm25),
-judged as (select h.*, d.text as title, kw.keywords, len(list_filter(kw.keywords, lambda w: contains(lower(d.text) || ' ' || lower(d.lang), w))) > 0 as rel
-  from hits h join documents d on d.doc_id = h.doc_id join kw on kw.query_id = h.query_id),
+
+
+def metrics_sql(docs: str, id: str, title: str, kind: str) -> str:
+    """Metrics per system and query from ds (dense scores), bm25 and kw (query_id, keywords) over titles and types of `docs`."""
+    return f"""hits as (select 'dense' as system, query_id, doc_id, rank from {_ranked_sql('ds', 5)} union all select 'bm25', query_id, doc_id, rank from bm25),
+judged as (select h.*, d.{title} as title, kw.keywords, len(list_filter(kw.keywords, lambda w: contains(lower(d.{title}) || ' ' || lower(d.{kind}), lower(w)))) > 0 as rel
+  from hits h join {docs} d on d.{id} = h.doc_id join kw on kw.query_id = h.query_id),
 grid as (select query_id, system from kw, (values ('dense'), ('bm25')) s(system)),
 met as (select system, query_id, count(*) filter (rel) / 5.0 as precision, coalesce(1.0 / min(rank) filter (rel), 0) as mrr,
   coalesce(sum(1.0 / log2(rank + 1)) filter (rel), 0) as dcg, count(*) filter (rel) as nrel from judged group by system, query_id),
-found as (select system, query_id, count(distinct w) as f from (select system, query_id, title, unnest(keywords) as w from judged) where contains(lower(title), w) group by system, query_id),
+found as (select system, query_id, count(distinct w) as f from (select system, query_id, title, unnest(keywords) as w from judged) where contains(lower(title), lower(w)) group by system, query_id),
 metrics as (select g.system, g.query_id, coalesce(m.precision, 0) as precision, coalesce(m.mrr, 0) as mrr,
   coalesce(m.dcg / nullif(list_sum(list_transform(range(1, m.nrel + 1), lambda i: 1.0 / log2(i + 1))), 0), 0) as ndcg,
   case when len(kw.keywords) > 0 then coalesce(f.f, 0) / len(kw.keywords) else 0 end as keyword_recall
   from grid g left join met m on m.system = g.system and m.query_id = g.query_id left join found f on f.system = g.system and f.query_id = g.query_id join kw on kw.query_id = g.query_id)"""
 
 
+_JUDGED = f"{_DENSE_TEXT}, {_BM25}, {_KW_SQL}, {metrics_sql('documents', 'doc_id', 'text', 'lang')}"
+
+
 def _judgements(spark, sf):
     words = F.array_distinct(F.filter(F.split(F.lower("text"), " "), lambda w: F.length(w) > 9))
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), words.alias("keywords"))

@@ -13,7 +13,7 @@ from lexmill.plans.learning import TFIDF_SQL, VOCAB
 from lexmill.plans.registry import query, table, wide_table
 from lexmill.plans.scalars import LEVEL_SQL
 from lexmill.plans.scans import details, search_documents
-from lexmill.plans.search import _hashed_sql, _ranked_sql, bm25_sql
+from lexmill.plans.search import _MEAN, _QSET_SQL, _hashed_sql, _ranked_sql, bm25_sql, metrics_sql
 from lexmill.session import scratch_path
 from lexmill.sources import tables
 
@@ -119,7 +119,12 @@ def k5_search_bm25(spark, sf):
     return hits.select("query_id", "doc_id", F.round("score", 5).alias("score"), "rank", "title")
 
 
-@query("k6_evaluate_search")
+_K6_SQL = f"""{_TEXT_SQL}, {_QSET_SQL}, kw as (select query_id, keywords from eval), {_hashed_sql('e', 'idx', 'norm_id', 'text')}, {_hashed_sql('q', 'eval', 'query_id', 'query')},
+ds as (select q.id as query_id, e.id as doc_id, round(sum(q.x * e.x), 9) as score, 0 as label from q join e using (d) group by q.id, e.id),
+{bm25_sql('idx', 'norm_id', 'title', 'eval', 'query_id', 'query', 5)}, {metrics_sql('norms', 'id', 'title', 'type')}"""
+
+
+@query("k6_evaluate_search", f"with {_K6_SQL} {_MEAN}")
 def k6_evaluate_search(spark, sf):
     """The fixed evaluation set on the derived norms."""
     out = jobs.evaluate_search(_index(spark, sf), irmetrics.evaluation_queries(spark), encoder=retrieval.hashed_terms_encoder(DIM))
