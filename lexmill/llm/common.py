@@ -45,19 +45,19 @@ def number_rows(df: DataFrame, by: list[str], out: str = "row_number") -> tuple[
     in one task; no data row is.
     """
     spark = df.sparkSession
-    slim = stage(df.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id())), "numbered-in")
+    slim = stage(df.withColumn("_lexmill_tie", F.xxhash64(F.monotonically_increasing_id())), "numbered-in")
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = [*[F.col(c).asc_nulls_first() for c in by], F.col("_tie")]
-    ordered = slim.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop("_tie")
+    keys = [*[F.col(c).asc_nulls_first() for c in by], F.col("_lexmill_tie")]
+    ordered = slim.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop("_lexmill_tie")
     placed = stage(
-        ordered.withColumn("_range", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        ordered.withColumn("_lexmill_range", F.spark_partition_id())
+        .withColumn("_lexmill_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
         "numbered",
     )
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
-    numbered = placed.join(F.broadcast(starts), "_range").withColumn(out, F.col("_start") + F.col("_at"))
-    return numbered.drop("_range", "_at", "_start"), placed.count()
+    sizes = placed.groupBy("_lexmill_range").agg(F.count(F.lit(1)).alias("_lexmill_n"))
+    starts = sizes.select("_lexmill_range", (F.sum("_lexmill_n").over(Window.orderBy("_lexmill_range")) - F.col("_lexmill_n")).alias("_lexmill_start"))
+    numbered = placed.join(F.broadcast(starts), "_lexmill_range").withColumn(out, F.col("_lexmill_start") + F.col("_lexmill_at"))
+    return numbered.drop("_lexmill_range", "_lexmill_at", "_lexmill_start"), placed.count()
 
 
 def text_key(id: str, text: str) -> Column:
@@ -70,7 +70,7 @@ def without(docs: DataFrame, gone: DataFrame, id: str, text: str) -> DataFrame:
 
     Only these two columns of `gone` are moved where it is small enough to broadcast by Spark's own bound.
     """
-    keyed = docs.withColumn("_key", text_key(id, text))
-    gone = gone.select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
-    same = (F.col("_key") == F.col("_gone_key")) & F.col(id).eqNullSafe(F.col("_gone_id"))
+    keyed = docs.withColumn("_lexmill_key", text_key(id, text))
+    gone = gone.select(F.col("id").alias("_lexmill_gone_id"), F.col("text_key").alias("_lexmill_gone_key"))
+    same = (F.col("_lexmill_key") == F.col("_lexmill_gone_key")) & F.col(id).eqNullSafe(F.col("_lexmill_gone_id"))
     return keyed.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

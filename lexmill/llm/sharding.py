@@ -71,12 +71,12 @@ def assign_shards(df: DataFrame, order: list[str], n_shards: int = 16, seed: int
     equal in all of `order` (repeated rows) take different places; which takes
     which does not show. Nulls count as smallest. Empty input gives no rows.
     """
-    numbered, n = number_rows(df, order, "_row")
-    place = permuted(F.col("_row"), n, seed)
-    return numbered.withColumn("_place", place).withColumns({
-        "shard": (F.col("_place") % n_shards).cast("int"),
-        "slot": ((F.col("_place") - F.col("_place") % n_shards) / n_shards).cast("long"),
-    }).drop("_row", "_place")
+    numbered, n = number_rows(df, order, "_lexmill_row")
+    place = permuted(F.col("_lexmill_row"), n, seed)
+    return numbered.withColumn("_lexmill_place", place).withColumns({
+        "shard": (F.col("_lexmill_place") % n_shards).cast("int"),
+        "slot": ((F.col("_lexmill_place") - F.col("_lexmill_place") % n_shards) / n_shards).cast("long"),
+    }).drop("_lexmill_row", "_lexmill_place")
 
 
 def _places_sql(n_shards: int, seed: int) -> str:

@@ -135,8 +135,8 @@ def judge_urls(df: DataFrame, url: str, rules: Sequence[Rule], defaults: Sequenc
 
     judged = F.pandas_udf(judge, "rule string, verdict string")
     parsed = df.withColumns({"host": parse_host(F.col(url)), "path": parse_path(F.col(url))})
-    return parsed.withColumn("_judged", judged("host", "path")).withColumns(
-        {"rule": F.col("_judged.rule"), "verdict": F.col("_judged.verdict")}).drop("_judged")
+    return parsed.withColumn("_lexmill_judged", judged("host", "path")).withColumns(
+        {"rule": F.col("_lexmill_judged.rule"), "verdict": F.col("_lexmill_judged.verdict")}).drop("_lexmill_judged")
 
 
 RULES = [
