@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.common import table
 from lexmill.llm.decontaminate import drop_contaminated
-from lexmill.llm.pieces import encode_and_check
+from lexmill.llm.pieces import encode_texts
 from lexmill.llm.quality import keep_good
 from lexmill.llm.simhash import keep_one_of_each
 from lexmill.session import stage
@@ -33,7 +33,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, score, nbest, round_trip of what is left."""
-    return encode_and_check(docs, "doc_id", "text", PIECES)
+    # Workers still hold memory of the stages before, so they keep fewer words.
+    return encode_texts(docs.select("doc_id", "text"), "text", PIECES, cache=200_000).drop("text")
 
 
 STAGES = [

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import string
+import sys
+import types
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def kept_by_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What `make` gave when this Python worker first asked for `key`; its later tasks get the same object."""
+    kept = sys.modules.setdefault("_lexmill_kept", types.ModuleType("_lexmill_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z; other letters stay as they are."""
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
@@ -68,7 +79,7 @@ def text_key(id: str, text: str) -> Column:
 def without(docs: DataFrame, gone: DataFrame, id: str, text: str) -> DataFrame:
     """`docs` without the rows named by `gone` (columns id and text_key); nulls in id equal each other.
 
-    Only these two columns of `gone` are moved where it is small enough to broadcast by Spark's own bound.
+    What goes grows with the documents, so it is never broadcast: both sides meet by id and key at any size.
     """
     keyed = docs.withColumn("_lexmill_key", text_key(id, text))
     gone = gone.select(F.col("id").alias("_lexmill_gone_id"), F.col("text_key").alias("_lexmill_gone_key"))

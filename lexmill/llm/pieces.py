@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import heapq
 import sys
-import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -19,31 +18,27 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import query, table
+from lexmill.llm.common import kept_by_worker, query, table
 
 SPACE = "▁"
 #: Segmentations that are ranked for each text.
 N_BEST = 3
-#: Entries of a worker's table of segments; a table that is full starts anew.
-CACHE_SEGMENTS = 400_000
+#: Entries of a worker's tables of words and of runs; a table that is full starts anew. 100,000 of each take about 60 MB.
+CACHE_SEGMENTS = 600_000
 #: Longer ones are not kept.
 KEEP_CHARS = 64
-
-
-class Choice(NamedTuple):
-    """A way to segment: what it scores less than the best one, and its ids, packed."""
-
-    loss: float
-    ids: bytes
+#: Rows that are worked on, and passed on, at once.
+ROWS = 512
 
 
 class Segmented(NamedTuple):
-    """The best way to segment a run, what the next best loses (infinite if there is none), and all next best."""
+    """The best way to segment a run: its score, its ids, packed, and what the next best way loses (infinite if there is none)."""
 
     score: float
     ids: bytes
     loss: float
-    others: tuple[Choice, ...]
+    run: str
+    literal: bool
 
 
 _SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
@@ -61,23 +56,24 @@ class Lattice:
     segmentations of a whole are picked from those of its segments.
     """
 
-    def __init__(self, model: str, n_best: int = N_BEST):
+    def __init__(self, model: str, n_best: int = N_BEST, cache: int = CACHE_SEGMENTS):
         read = sentencepiece.SentencePieceProcessor(model_file=model)
         size = range(read.get_piece_size())
-        self.n_best = n_best
+        self.n_best, self.cache = n_best, cache
         self.bytes = {int(read.id_to_piece(i)[1:-1], 16): i for i in size if read.is_byte(i)}
-        self.pieces = {read.id_to_piece(i): (i, read.get_score(i)) for i in size if not (read.is_byte(i) or read.is_control(i) or read.is_unknown(i))}
+        #: Id, score and (as an arc has them) ids of each piece.
+        self.pieces = {read.id_to_piece(i): (i, read.get_score(i), (i,)) for i in size if not (read.is_byte(i) or read.is_control(i) or read.is_unknown(i))}
         self.text_of = [b""] * len(size)
         for byte, i in self.bytes.items():
             self.text_of[i] = bytes([byte])
-        for piece, (i, _) in self.pieces.items():
+        for piece, (i, *_) in self.pieces.items():
             self.text_of[i] = piece.replace(SPACE, " ").encode()
         self.dtype = np.dtype("<u2" if len(size) <= 1 << 16 else "<u4")
         #: Every beginning of a piece, with the piece where it is one.
         self.prefixes = dict.fromkeys((p[:i] for p in self.pieces for i in range(1, len(p) + 1)), None) | self.pieces
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         #: Ten below the worst piece of a single character, for each byte of one that has no piece.
-        self.byte_score = min(s for p, (_, s) in self.pieces.items() if len(p) == 1) - 10.0
+        self.byte_score = min(s for p, (_, s, _) in self.pieces.items() if len(p) == 1) - 10.0
         self.runs: dict[str, Segmented] = {}
         self.words: dict[str, tuple[Segmented, ...]] = {}
 
@@ -91,61 +87,94 @@ class Lattice:
         data = char.encode()
         return tuple(self.bytes[b] for b in data), self.byte_score * len(data)
 
-    def segment(self, text: str, literal: bool = False) -> Segmented:
-        """The N best of a run by A* from its end, led by the exact scores of the best way from its start."""
-        n, get = len(text), self.prefixes.get
+    def _arcs(self, run: str, literal: bool) -> tuple[list[float], list[list[tuple]], list[tuple]]:
+        """Score of the best way to each place, the arcs (start, score, ids) that end there, and the one that is best."""
+        n, get, single = len(run), self.prefixes.get, self.pieces
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
-        arcs: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
+        arcs: list[list[tuple]] = [[] for _ in range(n + 1)]
+        chosen: list[tuple] = [()] * (n + 1)
         for i in range(n):
             here = best[i]
             for j in range(i + 1, n + 1):
-                found = _NO_PREFIX if literal else get(text[i:j], _NO_PREFIX)
+                found = _NO_PREFIX if literal else get(run[i:j], _NO_PREFIX)
                 if found is _NO_PREFIX:
                     break
                 if found is not None:
-                    piece, score = found
-                    arcs[j].append((i, score, (piece,)))
+                    score = found[1]
+                    arc = (i, score, found[2])
+                    arcs[j].append(arc)
                     if here + score > best[j]:
                         best[j] = here + score
-            if literal or text[i] not in self.pieces:
-                ids, score = self._spell(text[i])
-                arcs[i + 1].append((i, score, ids))
-                best[i + 1] = max(best[i + 1], here + score)
-        ways: list[tuple[float, list[int]]] = []
+                        chosen[j] = arc
+            if literal or run[i] not in single:
+                ids, score = self._spell(run[i])
+                arc = (i, score, ids)
+                arcs[i + 1].append(arc)
+                if here + score > best[i + 1]:
+                    best[i + 1] = here + score
+                    chosen[i + 1] = arc
+        return best, arcs, chosen
+
+    def segment(self, run: str, literal: bool = False) -> Segmented:
+        """The best way by forward scores, and the loss of the next best: the best that has an arc not on it, by scores from both ends."""
+        best, arcs, chosen = self._arcs(run, literal)
+        n = len(run)
+        after = [float("-inf")] * (n + 1)
+        after[n] = 0.0
+        path, ids, second = n, [], float("-inf")
+        for j in range(n, 0, -1):
+            behind, taken = after[j], None
+            if j == path:
+                taken = chosen[j]
+                path = taken[0]
+                ids.append(taken[2])
+            for arc in arcs[j]:
+                i, score, _ = arc
+                score += behind
+                if score > after[i]:
+                    after[i] = score
+                if arc is not taken and best[i] + score > second:
+                    second = best[i] + score
+        return Segmented(best[n], self._pack([x for part in reversed(ids) for x in part]), best[n] - second, run, literal)
+
+    def ways(self, run: str, count: int, literal: bool = False) -> list[tuple[float, bytes]]:
+        """The best `count` ways to segment a run, as (score, packed ids), by A* from its end, led by the exact scores of the best way from its start."""
+        best, arcs, _ = self._arcs(run, literal)
+        ways: list[tuple[float, bytes]] = []
         # Entries: minus the score of the best whole that goes on from here, a number that puts the
         # latest first among equals, place, score of what follows, and what follows as nested pairs.
-        pops, pushed = [0] * (n + 1), 0
-        queue: list[tuple] = [(-best[n], 0, n, 0.0, None)]
-        while queue and len(ways) < self.n_best:
+        pops, pushed = [0] * (len(run) + 1), 0
+        queue: list[tuple] = [(-best[-1], 0, len(run), 0.0, None)]
+        while queue and len(ways) < count:
             total, _, at, behind, tail = heapq.heappop(queue)
             if not at:
-                ids = []
+                ids: list[int] = []
                 while tail:
                     ids += tail[0]
                     tail = tail[1]
-                ways.append((-total, ids))
+                ways.append((-total, self._pack(ids)))
                 continue
-            if pops[at] == self.n_best:
-                continue  # the N best through a place leave it by its N best ends
+            if pops[at] == count:
+                continue  # the best through a place leave it by its best ends, as many as are asked for
             pops[at] += 1
             for i, score, own in arcs[at]:
                 pushed -= 1
                 heapq.heappush(queue, (-(best[i] + score + behind), pushed, i, score + behind, (own, tail)))
-        others = tuple(Choice(ways[0][0] - s, self._pack(ids)) for s, ids in ways[1:])
-        return Segmented(ways[0][0], self._pack(ways[0][1]), others[0].loss if others else float("inf"), others)
+        return ways
 
-    def _ranked(self, parts: list[Segmented]) -> list[tuple[float, dict[int, int]]]:
-        """The N best wholes as (loss, which other choice is taken in which part).
+    def _ranked(self, parts: list[Segmented]) -> list[tuple[float, dict[int, bytes]]]:
+        """The N best wholes as (loss, other ids by the place of their part).
 
-        Only the N - 1 parts whose second choice loses least can differ from their best.
+        Only the N - 1 parts whose second way loses least can differ from their best; the ways of those are made anew.
         """
-        ranked: list[tuple[float, dict[int, int]]] = [(0.0, {})]
+        ranked: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
         for k in self._least(np.fromiter(map(_LOSS, parts), np.float64, len(parts))):
-            ways = [(loss, taken) for loss, taken in ranked]
-            for c, other in enumerate(parts[k].others):
-                ways += [(loss + other.loss, taken | {k: c}) for loss, taken in ranked]
-            ranked = sorted(ways, key=_SCORE)[:self.n_best]
+            part, wider = parts[k], list(ranked)
+            others = [w for w in self.ways(part.run, self.n_best, part.literal) if w[1] != part.ids]
+            for score, ids in others[:self.n_best - 1]:
+                wider += [(loss + part.score - score, taken | {k: ids}) for loss, taken in ranked]
+            ranked = sorted(wider, key=_SCORE)[:self.n_best]
         return ranked
 
     def _least(self, losses: np.ndarray) -> list[int]:
@@ -159,17 +188,17 @@ class Lattice:
         return [*below.tolist(), *level.tolist()]
 
     @staticmethod
-    def _joined(parts: list[Segmented], taken: dict[int, int]) -> bytes:
+    def _joined(parts: list[Segmented], taken: dict[int, bytes]) -> bytes:
         ids = list(map(_IDS, parts))
-        for k, c in taken.items():
-            ids[k] = parts[k].others[c].ids
+        for k, other in taken.items():
+            ids[k] = other
         return b"".join(ids)
 
     def _run(self, run: str) -> Segmented:
         if len(run) > KEEP_CHARS:
             return self.segment(run)
         if (known := self.runs.get(run)) is None:
-            if len(self.runs) >= CACHE_SEGMENTS:
+            if len(self.runs) >= self.cache:
                 self.runs.clear()
             known = self.runs[run] = self.segment(run)
         return known
@@ -194,7 +223,7 @@ class Lattice:
         if (known := self.words.get(word)) is None:
             known = self._word(1, word)
             if len(word) <= KEEP_CHARS:
-                if len(self.words) >= CACHE_SEGMENTS:
+                if len(self.words) >= self.cache:
                     self.words.clear()
                 self.words[word] = known
         return known
@@ -230,38 +259,44 @@ class Lattice:
         return b"".join(map(self.text_of.__getitem__, ids))[1:]
 
 
-def worker_lattice(model: str, n_best: int) -> Lattice:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
+def worker_lattice(model: str, n_best: int, cache: int = CACHE_SEGMENTS) -> Lattice:
     """The lattice of this Python worker, kept between its tasks for the sake of its tables."""
-    kept = sys.modules.setdefault("_lexmill_kept", types.ModuleType("_lexmill_kept")).__dict__
-    key = f"{model} {n_best}"
-    if key not in kept:
-        kept[key] = Lattice(model, n_best)
-    return kept[key]
+    return kept_by_worker(f"lattice {model} {n_best} {cache}", lambda: Lattice(model, n_best, cache))
 
 
+_MADE = ("ids", "n_tokens", "score", "nbest", "round_trip")
 _RANKED = pa.list_(pa.struct([("score", pa.float64()), ("n_tokens", pa.int32()), ("ids_crc32", pa.int64())]))
 
 
-def encode_texts(df: DataFrame, text: str, model: str, n_best: int = N_BEST) -> DataFrame:
-    """`df` with ids (array<int>), n_tokens, score and nbest (score, n_tokens, CRC-32 of the ids as little-endian unsigned 32-bit numbers).
+def encode_texts(df: DataFrame, text: str, model: str, n_best: int = N_BEST, cache: int = CACHE_SEGMENTS) -> DataFrame:
+    """`df` with ids (array<int>), n_tokens, score, nbest (score, n_tokens, CRC-32 of the ids as little-endian
+    unsigned 32-bit numbers) and round_trip: whether decoding the ids gives the text back.
 
     nbest is ranked from the best down and holds fewer than `n_best` entries
     where there are no more ways; ties keep the earlier choice. Texts are encoded whole and row by row;
     a null or empty text has no ids, score 0 and one (empty) way. Columns of
-    these names are replaced.
+    these names are replaced. `cache` bounds what a Python worker keeps of words it has met; it changes no result.
     """
-    kept = [c for c in df.columns if c not in ("ids", "n_tokens", "score", "nbest")]
+    kept = [c for c in df.columns if c not in _MADE]
     place = kept.index(text)
     plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
     schema = ", ".join(f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(kept)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = worker_lattice(model, n_best)
+        lattice = worker_lattice(model, n_best, cache)
         width, wide = lattice.dtype.itemsize, np.dtype("<u4")
-        for batch in batches:
-            ids, scores, ranks = [], [], []
+        for batch in _slices(batches):
+            ids, scores, ranks, whole = [], [], [], []
             for value in batch.column(place):
-                own, score, ranked = lattice.encode(value.as_py() or "")
+                value = value.as_py() or ""
+                own, score, ranked = lattice.encode(value)
+                whole.append(lattice.decode(np.frombuffer(own, lattice.dtype).tolist()) == value.encode())
                 ids.append(own)
                 scores.append(score)
                 ranks.append([{"score": s, "n_tokens": len(x) // width, "ids_crc32": zlib.crc32(np.frombuffer(x, lattice.dtype).astype(wide).tobytes())} for s, x in ranked])
@@ -269,11 +304,11 @@ def encode_texts(df: DataFrame, text: str, model: str, n_best: int = N_BEST) ->
             flat = pa.array(np.frombuffer(b"".join(ids), lattice.dtype).astype(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, lists, pa.array(counts), pa.array(scores, pa.float64()), pa.array(ranks, _RANKED)],
-                [*[f"c{i}" for i in range(len(kept))], "ids", "n_tokens", "score", "nbest"])
+                [*batch.columns, lists, pa.array(counts), pa.array(scores, pa.float64()), pa.array(ranks, _RANKED), pa.array(whole, pa.bool_())],
+                [*[f"c{i}" for i in range(len(kept))], *_MADE])
 
-    out = plain.mapInArrow(encode, f"{schema}, ids array<int>, n_tokens int, score double, nbest array<struct<score:double,n_tokens:int,ids_crc32:bigint>>")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "ids", "n_tokens", "score", "nbest")
+    out = plain.mapInArrow(encode, f"{schema}, ids array<int>, n_tokens int, score double, nbest array<struct<score:double,n_tokens:int,ids_crc32:bigint>>, round_trip boolean")
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *_MADE)
 
 
 def decode_ids(df: DataFrame, ids: str, model: str, out: str = "decoded") -> DataFrame:
@@ -285,24 +320,18 @@ def decode_ids(df: DataFrame, ids: str, model: str, out: str = "decoded") -> Dat
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = worker_lattice(model, 1)
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column(place)
-            flat, offsets = lists.values.to_pylist(), lists.offsets.to_pylist()
-            texts = [lattice.decode(flat[a:b]).decode(errors="replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
+            flat, offsets = lists.values.to_numpy(), lists.offsets.to_pylist()
+            texts = [lattice.decode(flat[a:b].tolist()).decode(errors="replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*[f"c{i}" for i in range(len(kept))], "t"])
 
     done = plain.mapInArrow(decode, f"{schema}, t string")
     return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], F.col("t").alias(out))
 
 
-def encode_and_check(docs: DataFrame, id: str, text: str, model: str, n_best: int = N_BEST) -> DataFrame:
-    """id, ids, n_tokens, score, nbest and round_trip: whether decoding the ids gives the text back."""
-    encoded = encode_texts(docs.select(id, text), text, model, n_best)
-    decoded = decode_ids(encoded, "ids", model, "_decoded")
-    return decoded.select(id, "ids", "n_tokens", "score", "nbest", (F.col("_decoded") == F.coalesce(F.col(text), F.lit(""))).alias("round_trip"))
-
-
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark, sf):
     """Every document's best segmentation, the scores of the next best, and the round trip."""
-    return encode_and_check(table(spark, sf, "documents"), "doc_id", "text", public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return encode_texts(docs, "text", public_tokenizers.path("piece_bpe_32k.model")).drop("text")
