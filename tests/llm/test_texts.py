@@ -210,8 +210,8 @@ def test_damage_is_noticed():
     for i in range(len(content)):
         broken = bytearray(content)
         broken[i] ^= 1
-        with pytest.raises((ValueError, IndexError, Exception)):
-            assert [bytes(p) for _, p in tokenfiles.frames(bytes(broken))] == [b"abc", b"defg"]
+        with pytest.raises(ValueError):
+            list(tokenfiles.frames(bytes(broken)))
 
 
 # --- quality
