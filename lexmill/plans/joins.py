@@ -10,7 +10,7 @@ from lexmill.operators import dataset, ingest, profile
 from lexmill.operators.extract import extract_articles
 from lexmill.plans.corpus import ARTICLES_SQL, ITEMS_SQL, NORMS_SQL, STORED_SQL, items, norms, stored_norms
 from lexmill.plans.registry import query, table
-from lexmill.schemas import VERSIONS, conform, empty
+from lexmill.schemas import VERSIONS, empty
 
 NOW = datetime(2026, 1, 1)
 

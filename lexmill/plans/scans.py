@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill import schemas
-from lexmill.plans.corpus import ITEMS_SQL, NORMS_SQL, STORED_SQL, norms, stored_norms
+from lexmill.plans.corpus import NORMS_SQL, STORED_SQL, norms, stored_norms
 from lexmill.plans.registry import query, table
 from lexmill.session import scratch_path
 from lexmill.sources import landing, tables
