@@ -84,4 +84,4 @@ def without(docs: DataFrame, gone: DataFrame, id: str, text: str) -> DataFrame:
     keyed = docs.withColumn("_lexmill_key", text_key(id, text))
     gone = gone.select(F.col("id").alias("_lexmill_gone_id"), F.col("text_key").alias("_lexmill_gone_key"))
     same = (F.col("_lexmill_key") == F.col("_lexmill_gone_key")) & F.col(id).eqNullSafe(F.col("_lexmill_gone_id"))
-    return keyed.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(gone.hint("merge"), same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
