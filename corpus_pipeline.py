@@ -10,7 +10,7 @@ from lexmill.llm.common import table
 from lexmill.llm.decontaminate import drop_contaminated
 from lexmill.llm.pieces import encode_texts
 from lexmill.llm.quality import keep_good
-from lexmill.llm.simhash import keep_one_of_each
+from lexmill.llm.similar import keep_one_of_similar
 from lexmill.session import stage
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return keep_one_of_each(docs, "doc_id", "text")
+    """One document of each group linked by five-word shingle sets of similarity 0.8 or more."""
+    return keep_one_of_similar(docs, "doc_id", "text")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,23 +22,34 @@ BLOCK = 16_384
 _BIT_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the shingles of a UTF-8 text; 0 without words. A bit is set if more than half of the hashes have it."""
+def shingle_hashes(text: bytes, words: int, seed: int = 42) -> np.ndarray:
+    """Hash of every shingle of a UTF-8 text, in its order; a text shorter than a shingle is one, and a text without words has none."""
     tokens = text.lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: max(1, len(tokens) - words + 1)]
     ends = ends[words - 1:] if len(tokens) >= words else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], seed) for s, e in zip(starts.tolist(), ends.tolist())], np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in zip(starts.tolist(), ends.tolist())], np.uint64)
+
+
+def simhash(hashes: np.ndarray) -> int:
+    """Bits that more than half of the hashes have, as a signed number; 0 without hashes."""
+    if not len(hashes):
+        return 0
     by_byte = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(by_byte[:, j], minlength=256) @ _BIT_OF_BYTE for j in range(8)])
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the shingles of a UTF-8 text; 0 without words. A bit is set if more than half of the hashes have it."""
+    return simhash(shingle_hashes(text, words, seed))
+
+
 def fingerprints(df: DataFrame, id: str, text: str, words: int = 4, seed: int = 42) -> DataFrame:
     """id, text_key, fp (long) for every row, from the whole text; null counts as empty."""
     id_type = df.schema[id].dataType
@@ -208,7 +219,11 @@ def keep_one_of_each(docs: DataFrame, id: str, text: str, distance: int = 4, wor
 
     Of rows that share that id one stays. Rows without id stay only where no row of their fingerprint has one.
     """
-    found = stage(simhash_components(docs, id, text, distance, words), "components")
+    return keep_smallest(docs, stage(simhash_components(docs, id, text, distance, words), "components"), id, text)
+
+
+def keep_smallest(docs: DataFrame, found: DataFrame, id: str, text: str) -> DataFrame:
+    """`docs` without the rows that `found` (id, text_key, component_id) places in the component of another id; of rows that share an id one stays."""
     own = F.col(id) == F.col("component_id")
     gone = found.where(F.col("component_id").isNotNull() & ~F.coalesce(own, F.lit(False))).select(F.col(id).alias("id"), "text_key")
     kept = without(docs, stage(gone.distinct(), "duplicates"), id, text)
