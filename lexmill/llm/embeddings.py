@@ -20,8 +20,9 @@ from lexmill.session import stage
 SHARD_ROWS, PART_ROWS = 32_768, 65_536
 #: Links of a node (twice as many on the ground layer), beam when building, first beam of a query and widest before a full scan.
 LINKS, BUILD_BEAM, FIRST_BEAM, WIDEST_BEAM = 16, 48, 32, 256
-#: Members of a shard that audit its beam, and shares of their links and of their nearest neighbours that must be found.
-AUDITS, LINK_RECALL, NEAREST_RECALL = 256, 0.995, 0.9
+#: Members of a shard, and vectors of other shards, that audit its beam, how many of each they are chosen from, and shares
+#: of their links and of their nearest neighbours that must be found.
+AUDITS, AUDIT_POOL, LINK_RECALL, NEAREST_RECALL = 256, 4096, 0.995, 0.9
 _BATCH = 256
 #: Cosines this far below the threshold in single precision are still checked in double precision.
 _SLACK = 1e-4
@@ -192,25 +193,55 @@ def _scan(shard_unit: np.ndarray, queries: np.ndarray, floor: float) -> tuple[np
     return np.nonzero(queries @ shard_unit.T >= floor)
 
 
-def build_shard(ids: np.ndarray, weights: np.ndarray, vectors: np.ndarray, threshold: float) -> Shard:
-    """A graph whose beam is doubled until an audit against a full scan finds enough links and nearest neighbours."""
+def _scans(cos: np.ndarray, beam: int, floor: float) -> np.ndarray:
+    """Queries whose beam holds so many links that there may be more: they scan the shard."""
+    return (cos >= floor).sum(axis=1) >= beam // 2
+
+
+def _auditors(unit: np.ndarray, pool: np.ndarray, own: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Up to AUDITS rows of `pool`, those with links first, and their cosines to the shard; `own` are the places of members."""
+    def cosines(rows: np.ndarray) -> np.ndarray:
+        cos = pool[rows] @ unit.T
+        if own is not None:
+            cos[np.arange(len(rows)), own[rows]] = -np.inf
+        return cos
+
+    rows = np.arange(len(pool))
+    linked = np.concatenate([(cosines(rows[a:a + _BATCH]) >= threshold).any(axis=1) for a in range(0, len(pool), _BATCH)])
+    spread = np.argsort(np.random.default_rng(len(pool)).random(len(pool)) - linked, kind="stable")[:AUDITS]
+    return pool[spread], cosines(spread)
+
+
+def _passes(graph: Graph, queries: np.ndarray, cos: np.ndarray, beam: int, threshold: float) -> bool:
+    """Whether queries that would not scan the shard find enough of their links, and enough queries their nearest neighbour.
+
+    Where no such query has a link, nearest neighbours stand for links and as many must be found.
+    """
+    found, found_cos = graph.search(queries, beam)
+    hit = np.zeros(cos.shape, bool)
+    r, c = np.nonzero(found >= 0)
+    hit[r, found[r, c]] = True
+    kept = ~_scans(found_cos, beam, threshold - _SLACK)
+    linked = cos >= threshold
+    nearest = hit[np.arange(len(cos)), cos.argmax(axis=1)] | ~kept
+    if not linked[kept].any():
+        return nearest.mean() >= LINK_RECALL
+    return (hit & linked)[kept].sum() / linked[kept].sum() >= LINK_RECALL and nearest.mean() >= NEAREST_RECALL
+
+
+def build_shard(ids: np.ndarray, weights: np.ndarray, vectors: np.ndarray, threshold: float, held_out: np.ndarray | None = None) -> Shard:
+    """A graph whose beam is doubled until audits against a full scan find enough links and nearest neighbours.
+
+    Members audit it, and `held_out` vectors, which no node stands for.
+    """
     graph = Graph(vectors)
     unit, n = graph.unit, len(ids)
-    audit = np.unique(np.linspace(0, n - 1, min(n, AUDITS)).astype(int))
-    cos = unit[audit] @ unit.T
-    cos[np.arange(len(audit)), audit] = -np.inf
-    linked = cos >= threshold
-    nearest = cos.argmax(axis=1)
+    members = np.unique(np.linspace(0, n - 1, min(n, AUDIT_POOL)).astype(int))
+    audits = [_auditors(unit, unit[members], members, threshold)] if n > 1 else []
+    if held_out is not None and len(held_out):
+        audits.append(_auditors(unit, _unit(held_out), None, threshold))
     beam = FIRST_BEAM
-    while beam <= WIDEST_BEAM:
-        found, _ = graph.search(unit[audit], beam)
-        hit = np.zeros(cos.shape, bool)
-        r, c = np.nonzero(found >= 0)
-        hit[r, found[r, c]] = True
-        wide = linked.sum(axis=1) >= beam - 1  # these are scanned in full anyway
-        share = (hit & linked)[~wide].sum() / max(1, linked[~wide].sum())
-        if (share >= LINK_RECALL or not linked[~wide].any()) and (hit[np.arange(len(audit)), nearest].mean() >= NEAREST_RECALL or n == 1):
-            break
+    while beam <= WIDEST_BEAM and not all(_passes(graph, q, cos, beam, threshold) for q, cos in audits):
         beam *= 2
     return Shard(ids[graph.order], weights[graph.order], vectors[graph.order], graph, beam if beam <= WIDEST_BEAM else 0)
 
@@ -218,7 +249,7 @@ def build_shard(ids: np.ndarray, weights: np.ndarray, vectors: np.ndarray, thres
 def links_of(shard: Shard, vectors: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row of `vectors`, position in the shard) of all pairs at `threshold` or above, checked in double precision.
 
-    A query whose beam holds nothing below the threshold may have more links than the beam is wide and scans the shard.
+    A query whose beam is half full of links may have more than it holds and scans the shard.
     """
     unit, floor = _unit(vectors), threshold - _SLACK
     step = _BATCH
@@ -227,7 +258,7 @@ def links_of(shard: Shard, vectors: np.ndarray, threshold: float) -> Iterator[tu
         full = np.ones(len(q), bool)
         if shard.beam:
             ids, cos = shard.graph.search(q, shard.beam)
-            full = (cos >= floor).all(axis=1)
+            full = _scans(cos, shard.beam, floor)
             r, c = np.nonzero((cos >= floor) & ~full[:, None])
             yield from _checked(shard, vectors, r + a, ids[r, c], threshold)
         rest = np.flatnonzero(full)
@@ -282,11 +313,22 @@ def embedding_links(classes: DataFrame, threshold: float, shard_rows: int = SHAR
         "part": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts")).cast("int")})
     placed = stage(placed, "placed")
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        shard = build_shard(frame["rep"].to_numpy(), frame["weight"].to_numpy(), np.stack(frame["v"].to_numpy()), threshold)
-        return pd.DataFrame({"group": frame["group"].iloc[:1], "shard": frame["shard"].iloc[:1], "parts": frame["parts"].iloc[:1], "graph": [shard.packed()]})
+    # About AUDIT_POOL vectors of a group audit the shards in which they do not stand.
+    pool = placed.where(F.pmod(F.xxhash64("rep", F.lit(2)), F.col("shards").cast("long") * shard_rows) < AUDIT_POOL)
+    held = pool.withColumnRenamed("shard", "own").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).where("shard <> own").drop("own")
+    seen = placed.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
 
-    graphs = stage(placed.groupBy("group", "shard").applyInPandas(build, "group long, shard int, parts int, graph binary"), "graphs")
+    def build(frame: pd.DataFrame) -> pd.DataFrame:
+        out = np.flatnonzero(frame["held"].to_numpy())
+        own = frame[~frame["held"]]
+        if not len(own):
+            return pd.DataFrame({"group": [], "shard": [], "parts": [], "graph": []})
+        vectors = own["v"].to_numpy()
+        held_out = np.stack(frame["v"].to_numpy()[out]) if len(out) else None
+        shard = build_shard(own["rep"].to_numpy(), own["weight"].to_numpy(), np.stack(vectors), threshold, held_out)
+        return pd.DataFrame({"group": own["group"].iloc[:1], "shard": own["shard"].iloc[:1], "parts": own["parts"].iloc[:1], "graph": [shard.packed()]})
+
+    graphs = stage(seen.groupBy("group", "shard").applyInPandas(build, "group long, shard int, parts int, graph binary"), "graphs")
     # Graph and queries of a part meet in one task, the graph first.
     copies = graphs.select("group", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "graph",
                            F.lit(None).cast("long").alias("rep"), F.lit(None).cast(placed.schema["v"].dataType).alias("v"))
