@@ -51,7 +51,8 @@ class WordEncoder:
     are those of its words in turn, and words repeat: each is encoded once by the
     library. Words of ASCII and accented Latin-1 letters are cut by the tokenizer's own pattern (letters,
     single digits, other signs), whose parts go to its BPE model; any other word goes
-    to its `encode` as it is. The ids equal `encode(text, add_special_tokens=False)`.
+    to its `encode` as it is, as does a word that holds the string of an added token, which the library
+    takes out wherever it stands. The ids equal `encode(text, add_special_tokens=False)`.
     """
 
     SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
@@ -62,6 +63,8 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         letters = _byte_letters()
         self.letters = {chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.parts = _Words(self._part)
         self.words = _Words(self._word)
 
@@ -74,7 +77,7 @@ class WordEncoder:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.SIMPLE.fullmatch(text):
+        if self.SIMPLE.fullmatch(text) and not (self.added and self.added.search(text)):
             return b"".join(map(self.parts.__getitem__, self.PART.findall(text.lower())))
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 

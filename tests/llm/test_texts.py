@@ -3,6 +3,7 @@ import itertools
 import random
 import re
 import string
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -176,20 +177,22 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 def test_words_encode_as_the_whole_text():
     encoder, library = tokenfiles.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
     rng = random.Random(10)
-    letters = "aAbzÉéß'´.,!?19 \n\t\u00a0²½µΣςİıÅ\u0301漢字🙂\u2028ﬁǅ" + "'s 't 're"
-    for _ in range(600):
+    letters = [*"aAbzÉéß'´.,!?19 \n\t\u00a0²½µΣςİıÅ\u0301漢字🙂\u2028ﬁǅ", "'s", "'t", "'re", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|"]
+    assert encoder.encode(b"hello <|endoftext|> x") == encoder._packed(library.encode("hello <|endoftext|> x", add_special_tokens=False).ids)
+    for _ in range(900):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
         got = np.frombuffer(encoder.encode(text.encode()), encoder.dtype).tolist()
         assert got == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_token_files_round_trip(spark, tmp_path):
-    df, path = odd_documents(spark, [f"text number {i}" for i in range(40)]), str(tmp_path / "files")
+    df, path = odd_documents(spark, [f"text number {i}" for i in range(40)] + ["a <|endoftext|> b", "x<|startoftext|>y"]), str(tmp_path / "files")
     tokenfiles.write_token_files(df, "doc_id", "text", path, WORDS, 2)
     library = Tokenizer.from_file(WORDS)
     ids = [(r["doc_id"], library.encode(r["text"] or "", add_special_tokens=False).ids + [2]) for r in df.select("doc_id", "text").collect()]
     got = tokenfiles.with_starts(spark, path, tokenfiles.read_tokens(spark, path)).collect()
-    assert sorted((repr(r["id"]), r["n_tokens"]) for r in got) == sorted((repr(d), len(t)) for d, t in ids)
+    crc = lambda t: zlib.crc32(np.array(t, "<u4").tobytes())
+    assert sorted((repr(r["id"]), r["n_tokens"], r["ids_crc32"]) for r in got) == sorted((repr(d), len(t), crc(t)) for d, t in ids)
     at = 0
     for r in sorted(got, key=lambda r: r["start"]):
         assert r["start"] == at
