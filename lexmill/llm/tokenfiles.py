@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexmill.llm.common import query, table
+from lexmill.llm.common import kept_by_worker, query, table
 from lexmill.llm.files import as_batches, packed, read_files, write_files
 from lexmill.session import scratch_path
 
-#: Entries of a task's word tables; a table that is full starts anew.
+#: Entries of a worker's word tables; a table that is full starts anew.
 CACHE_WORDS = 500_000
 
 
@@ -148,7 +148,8 @@ def write_token_files(docs: DataFrame, id: str, text: str, path: str, tokenizer:
     ordered = ranged.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions(F.asc_nulls_first("id"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, state = WordEncoder(tokenizer), {"range": None, "tokens": 0}
+        encoder = kept_by_worker(f"words {tokenizer}", lambda: WordEncoder(tokenizer))
+        state = {"range": None, "tokens": 0}
         end = np.array([end_id], encoder.dtype).tobytes()
 
         def records() -> Iterator[bytes]:
