@@ -120,28 +120,29 @@ class LicenseScanner:
         self.labels = [label for label, _ in named]
         self.sizes = [len(w) for _, w in named]
         self.automaton = a = SuffixAutomaton([w for _, w in named])
-        #: Phrases that may end where a state's match ends, by state: those of the state and of its suffixes.
+        #: Phrases and templates that may end where a state's match ends, by state: those of the state and of its suffixes.
         own: dict[int, list[int]] = {}
-        for number, (_, sequence) in enumerate(named[:self.n_phrases]):
+        for number, (_, sequence) in enumerate(named):
             state = 0
             for word in sequence:
                 state = a.next[state][a.vocabulary[word]]
             own.setdefault(state, []).append(number)
-        self.phrases_at: list[list[int]] = []
+        self.wholes_at: list[list[int]] = []
         for state in range(len(a.next)):
             found, s = [], state
             while s > 0:
                 found += own.get(s, [])
                 s = a.link[s]
-            self.phrases_at.append(found)
+            self.wholes_at.append(found)
 
     def scan(self, text: bytes) -> tuple[int, int, int | None, int | None, list[str], list[tuple[str, int, int, float]], float]:
         """n_words, n_base, first_word, last_word, base_labels, spans (label, first word, last word, covered share), score."""
         a, tokens = self.automaton, words(text)
-        nexts, links, lengths, phrases_at = a.next, a.link, a.length, self.phrases_at
+        nexts, links, lengths, wholes_at = a.next, a.link, a.length, self.wholes_at
         state = length = 0
         places: list[tuple[int, int]] = []
         matches: list[tuple[int, int, int]] = []
+        wholes: set[tuple[str, int, int, float]] = set()
         for i, c in enumerate(map(a.vocabulary.get, tokens)):
             if c is None:
                 if length >= self.min_match:
@@ -157,21 +158,29 @@ class LicenseScanner:
             if c in nexts[state]:
                 state = nexts[state][c]
                 length += 1
-                for number in phrases_at[state]:
+                for number in wholes_at[state]:
                     if length >= self.sizes[number]:
-                        places.append((i - self.sizes[number] + 1, number))
+                        start = i - self.sizes[number] + 1
+                        if number < self.n_phrases:
+                            places.append((start, number))
+                        else:
+                            wholes.add((self.labels[number], start, i, 1.0))
         if length >= self.min_match:
             matches.append((len(tokens) - 1, length, state))
-        spans, best = self._chains(matches)
+        spans, best = self._chains(matches, wholes)
         starts = [s for s, _ in places]
         return (len(tokens), len(places), min(starts, default=None), max(starts, default=None),
                 sorted({self.labels[n] for _, n in places}), spans, 1.0 if places else best)
 
-    def _chains(self, matches: list[tuple[int, int, int]]) -> tuple[list[tuple[str, int, int, float]], float]:
-        """Matches, in text order, linked where they go on in the same template within `max_gap` words of the text."""
+    def _chains(self, matches: list[tuple[int, int, int]], wholes: set[tuple[str, int, int, float]]) -> tuple[list[tuple[str, int, int, float]], float]:
+        """Matches, in text order, linked where they go on in the same template within `max_gap` words of the text.
+
+        `wholes` are spans of templates that stand whole, also inside a longer match of another; a chain of a
+        template with the bounds of one is that one.
+        """
         open_chains: dict[int, list[int]] = {}  # template: first word, last word, last template word, words covered
-        done: list[tuple[str, int, int, float]] = []
-        best = 0.0
+        done = set(wholes)
+        best = 1.0 if wholes else 0.0
 
         def close(number: int) -> None:
             nonlocal best
@@ -179,7 +188,7 @@ class LicenseScanner:
             share = covered / self.sizes[number]
             best = max(best, share)
             if share >= self.min_cover:
-                done.append((self.labels[number], first, last, share))
+                done.add((self.labels[number], first, last, share))
 
         for end, length, state in matches:
             for number, place in self.automaton.ends[state].items():
@@ -208,7 +217,7 @@ def scan_licenses(df: DataFrame, id: str, text: str, phrases: Mapping[str, Seque
 
     Base labels come from phrases, wherever their words stand in a row; they are read off the automaton
     as suffixes of the longest match that ends at a word. spans are chains of long matches that cover a template to
-    `min_cover` or more; their labels join the base labels. score is 1 with a phrase, else the largest
+    `min_cover` or more, and templates that stand whole; their labels join the base labels. score is 1 with a phrase, else the largest
     share of a template that one chain covers. A text is read word by word, once, with a state and the
     length of its match; the automaton is built from the templates in each task. A null, empty or
     wordless text has no places (null words, empty labels, score 0). Rows are judged each by itself.
@@ -236,4 +245,4 @@ def scan_licenses(df: DataFrame, id: str, text: str, phrases: Mapping[str, Seque
 @query("op3_license_scan")
 def op3_license_scan(spark, sf):
     """Licence phrases and notices in every document."""
-    return scan_licenses(table(spark, sf, "documents"), "doc_id", "text").drop("n_words")
+    return scan_licenses(table(spark, sf, "documents"), "doc_id", "text")

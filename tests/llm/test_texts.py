@@ -118,6 +118,22 @@ def test_a_notice_with_gaps_is_one_span():
     assert scanner.scan(" ".join(notice[:6]).encode())[5] == []
 
 
+def test_whole_templates_are_found_inside_longer_matches():
+    letters = "a b c d e f g h i j k l m n o p q r s t".split()
+    templates = {"long": [" ".join(letters)], "short": [" ".join(letters[:8])], "inner": [" ".join(letters[3:9])]}
+    scanner = licenses.LicenseScanner({}, templates)
+    *_, spans, score = scanner.scan((" ".join(letters[:10]) + " x").encode())
+    assert spans == [("short", 0, 7, 1.0), ("inner", 3, 8, 1.0)] and score == 1.0
+    rng = random.Random(12)
+    for _ in range(200):
+        text = [w for _ in range(rng.randint(1, 6)) for w in [*letters[rng.randrange(6):rng.randint(6, 20)], *["x"] * rng.randrange(3)]]
+        spans = scanner.scan(" ".join(text).encode())[5]
+        for label, (template,) in templates.items():
+            size = len(template.split())
+            for i in range(len(text) - size + 1):
+                assert (text[i:i + size] != template.split()) or (label, i, i + size - 1, 1.0) in spans
+
+
 # --- pieces
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
