@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
+import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -11,51 +13,73 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lexmill.llm.common import kept_by_worker, query, table
 from lexmill.llm.tokenfiles import _byte_letters
 from lexmill.session import stage
 
-#: Bytes of text whose windows share one numbering.
+#: Characters of text whose windows share one numbering, at most.
 BLOCK_BYTES = 16 << 20
 #: Bytes of text that are tokenised at once.
 CALL_BYTES = 1 << 20
-#: Windows that a Python worker remembers; it forgets all of them at the end of a block where there are more.
-MEMO_WINDOWS = 300_000
-#: Ids of a window beyond which it is aligned anew each time.
-MEMO_IDS = 64
+#: Windows that a Python worker remembers; where there are more, its block ends and it forgets them all. 100,000 take about 35 MB.
+MEMO_WINDOWS = 200_000
 _STOP = 0xFFFF
 
 
 class Vocabulary(NamedTuple):
-    """encode (texts to lists of ids), bytes of each id, their lengths, and whether they begin with a space."""
+    """encode (texts to arrays of ids), bytes of each id, their lengths, and whether they begin with a space."""
 
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray]]
     tokens: list[bytes]
     lengths: np.ndarray
     spaced: np.ndarray
 
     @classmethod
-    def of(cls, encode: Callable[[list[str]], list[list[int]]], tokens: list[bytes]) -> Vocabulary:
+    def of(cls, encode: Callable[[list[str]], list[np.ndarray]], tokens: list[bytes]) -> Vocabulary:
         if len(tokens) > _STOP:
             raise ValueError("ids need two bytes")
         return cls(encode, tokens, np.array([len(t) for t in tokens], np.int64), np.array([t[:1] == b" " for t in tokens]))
 
 
-def byte_level(path: str) -> Vocabulary:
-    """A byte-level BPE of the tokenizers library, over a space and the text; strings of special tokens are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+#: Beyond these characters, and in longer texts, only the tokenizers library itself is asked.
+_COMMON = re.compile("[\0-\u024f]*")
+_COMMON_CHARS = 1 << 20
+
 
+def byte_level(path: str, ranks: str | None = None) -> Vocabulary:
+    """A byte-level BPE of the tokenizers library, over a space and the text; strings of special tokens are plain text.
+
+    `ranks` names the same vocabulary as ranks for tiktoken, which gives the same ids in a third of the time; it is asked for texts
+    of Latin letters, whose classes both split alike.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     byte_of = {letter: byte for byte, letter in _byte_letters().items()}
     names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
     tokens = [bytes(byte_of[c] for c in n) if all(c in byte_of for c in n) else n.encode() for n in names]
-    return Vocabulary.of(lambda texts: [e.ids for e in tokenizer.encode_batch([f" {t}" for t in texts], add_special_tokens=False)], tokens)
+    fast = None
+    if ranks:
+        with open(ranks, "rb") as file:
+            known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        out = []
+        for text in texts:
+            if fast and len(text) <= _COMMON_CHARS and _COMMON.fullmatch(text):
+                out.append(fast.encode_to_numpy(f" {text}", disallowed_special=()).astype(np.uint16))
+            else:
+                out.append(np.array(tokenizer.encode(f" {text}", add_special_tokens=False).ids, np.uint16))
+        return out
+
+    return Vocabulary.of(encode, tokens)
 
 
 def pieces(path: str) -> Vocabulary:
@@ -63,62 +87,91 @@ def pieces(path: str) -> Vocabulary:
     read = sentencepiece.SentencePieceProcessor(model_file=path)
     size = range(read.get_piece_size())
     tokens = [bytes([int(read.id_to_piece(i)[1:-1], 16)]) if read.is_byte(i) else read.id_to_piece(i).replace("▁", " ").encode() for i in size]
-    return Vocabulary.of(lambda texts: read.encode(texts, num_threads=1), tokens)
+    return Vocabulary.of(lambda texts: [np.array(ids, np.uint16) for ids in read.encode(texts, num_threads=1)], tokens)
 
 
-class Aligned(NamedTuple):
-    """A window: its groups as text, and the (A, B) ids that end together, one pair for each group."""
+_DIGITS = np.array([list(str(i).ljust(5).encode()) for i in range(1 << 16)], np.uint8)
+_N_DIGITS = (_DIGITS != ord(" ")).sum(axis=1)
 
-    groups: str
-    links: list[tuple[int, int]]
 
+def align_windows(a: Vocabulary, b: Vocabulary, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts two runs of ids over the same bytes wherever both have an end.
 
-def align_window(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> Aligned:
-    """Cuts two runs of ids over the same bytes wherever both have an end."""
-    groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-    left = right = 0
-    while i < len(a):
-        left += a_lengths[i]
-        i += 1
-        while right < left:
-            right += b_lengths[j]
-            j += 1
-        if left == right:
-            groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-            links.append((a[i - 1], b[j - 1]))
-            i0, j0 = i, j
-    return Aligned(";".join(groups), links)
+    Returns the groups as text (`a1,a2|b1;` and so on) in bytes; for each group, the place in that text behind it and the number
+    of A ids up to its end; and the (A, B) ids that end together. Windows that follow each other can be aligned as one run.
+    """
+    ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
+    mark_a, mark_b = np.zeros((2, int(ends_a[-1]) + 1), bool)
+    mark_a[ends_a] = mark_b[ends_b] = True
+    last_a, last_b = mark_b[ends_a], mark_a[ends_b]
+    until_a, until_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    order_a = np.arange(len(ids_a)) + np.r_[0, until_b][group_a]
+    order_b = np.arange(len(ids_b)) + until_a[group_b]
+    ids, marks = np.empty(len(ids_a) + len(ids_b), np.uint16), np.empty(len(ids_a) + len(ids_b), np.uint8)
+    ids[order_a], ids[order_b] = ids_a, ids_b
+    marks[order_a], marks[order_b] = np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))
+    sizes = _N_DIGITS[ids] + 1
+    behind = np.cumsum(sizes)
+    text = np.empty(int(behind[-1]), np.uint8)
+    text[behind - 1] = marks
+    for k in range(5):
+        has = sizes > k + 1
+        text[(behind - sizes)[has] + k] = _DIGITS[ids[has], k]
+    return text, behind[until_a + until_b - 1], until_a, np.stack([ids_a[last_a], ids_b[last_b]], axis=1)
 
 
 class _Memo(dict):
-    """Number of each window by its ids (A, a stop, B, two bytes each); a new one is aligned."""
+    """Number of each window by its ids (A, a stop, B, two bytes each), with the groups and the links of each number."""
 
     def __init__(self, a: Vocabulary, b: Vocabulary):
         self.a, self.b = a, b
-        self.windows: list[Aligned] = []
-
-    def __missing__(self, key: bytes) -> int:
-        ids = np.frombuffer(key, np.uint16)
-        cut = int(np.flatnonzero(ids == _STOP)[0])
-        one, two = ids[:cut], ids[cut + 1:]
-        number = len(self.windows)
-        self.windows.append(align_window(one.tolist(), two.tolist(), self.a.lengths[one].tolist(), self.b.lengths[two].tolist()))
-        if len(ids) <= MEMO_IDS:
-            self[key] = number
-        return number
-
-
-def _joined(tokens: list[bytes], ids: list[int]) -> bytes:
-    return b"".join(map(tokens.__getitem__, ids))
-
-
-def _windows(a: Vocabulary, b: Vocabulary, ids_a: list[list[int]], ids_b: list[list[int]]) -> tuple[list[bytes], np.ndarray]:
+        self.groups: list[str] = []
+        #: (A, B) ids that end together, two bytes each.
+        self.links: list[bytes] = []
+
+    def numbers(self, keys: list[bytes]) -> list[int]:
+        """Numbers of some windows; new ones are aligned, all in one run."""
+        new = [k for k in dict.fromkeys(keys) if k not in self]
+        if new:
+            ids = np.frombuffer(b"".join(new), np.uint16)
+            ends = np.cumsum([len(k) // 2 for k in new])
+            stops = np.flatnonzero(ids == _STOP)
+            side = np.zeros(len(ids), np.int64)
+            side[stops] = 1
+            side[ends[:-1]] -= 1
+            first = np.cumsum(side) == 0
+            second = ~first
+            second[stops] = False
+            text, behind, until_a, links = align_windows(self.a, self.b, ids[first], ids[second])
+            # The last A id of a window stands before the stop, and closes its last group.
+            counts = np.searchsorted(until_a, stops - np.r_[0, (ends - stops)[:-1]].cumsum(), side="right")
+            data, pairs = text.tobytes().decode(), links.tobytes()
+            at, place = 0, 0
+            for key, count, end in zip(new, counts.tolist(), behind[counts - 1].tolist()):
+                self[key] = len(self.groups)
+                self.groups.append(data[at:end])
+                self.links.append(pairs[4 * place:4 * count])
+                at, place = end, count
+        return list(map(self.__getitem__, keys))
+
+    def forget(self) -> None:
+        self.clear()
+        self.groups.clear()
+        self.links.clear()
+
+
+def _joined(tokens: list[bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
+def _windows(a: Vocabulary, b: Vocabulary, ids_a: list[np.ndarray], ids_b: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
     """Keys of all windows of some texts in turn, and how many each text has.
 
     Both sides spell the same bytes. A window starts where a text does, and wherever a token
     that begins with a space starts on both sides, which is where both sides have just had an end.
     """
-    flat_a, flat_b = (np.fromiter((i for ids in side for i in ids), np.uint16) for side in (ids_a, ids_b))
+    flat_a, flat_b = np.concatenate(ids_a), np.concatenate(ids_b)
     ends_a, ends_b = np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b])
     starts_a, starts_b = ends_a - a.lengths[flat_a], ends_b - b.lengths[flat_b]
     firsts = np.r_[0, np.cumsum([len(ids) for ids in ids_a])]
@@ -158,12 +211,11 @@ class _Block:
         made = dict.fromkeys(range(len(texts)), (0, 0, 0, "", None, np.zeros(0, np.int64)))
         if sound:
             keys, counts = _windows(a, b, [s[1] for s in sound], [s[2] for s in sound])
-            numbers = list(map(self.memo.__getitem__, keys))
-            windows, at = self.memo.windows, 0
+            numbers, at = self.memo.numbers(keys), 0
             for (i, one, two), n in zip(sound, counts.tolist()):
                 mine = numbers[at:at + n]
                 at += n
-                groups = ";".join([windows[k].groups for k in mine])
+                groups = "".join(map(self.memo.groups.__getitem__, mine))[:-1]
                 n_groups = groups.count(";") + 1
                 made[i] = (len(one), len(two), n_groups, hashlib.sha256(groups.encode()).hexdigest(), groups if keep_groups else None, np.array(mine))
         for i, key in enumerate(ids):
@@ -176,15 +228,15 @@ class _Block:
         """Rows of the documents, one of the windows and one for each pair of ids; then the block is empty again."""
         memo = self.memo
         flat = np.concatenate([*self.numbers, np.zeros(0, np.int64)]).astype(np.int64)
-        times = np.bincount(flat, minlength=len(memo.windows))
+        times = np.bincount(flat, minlength=len(memo.groups))
         used = np.flatnonzero(times)
-        place = np.zeros(len(memo.windows), np.int64)
+        place = np.zeros(len(memo.groups), np.int64)
         place[used] = np.arange(len(used))
-        pair_of: dict[tuple[int, int], int] = {}
-        links = [memo.windows[k].links for k in used]
-        pair_numbers = np.array([pair_of.setdefault(p, len(pair_of)) for window in links for p in window], np.int64)
-        sizes = np.array([len(w) for w in links], np.int64)
-        n = np.bincount(pair_numbers, weights=np.repeat(times[used], sizes), minlength=len(pair_of)).astype(np.int64)
+        links = [memo.links[k] for k in used.tolist()]
+        sizes = np.array([len(x) // 4 for x in links], np.int64)
+        pairs, pair_numbers = np.unique(np.frombuffer(b"".join(links), np.uint32), return_inverse=True)
+        n = np.bincount(pair_numbers, weights=np.repeat(times[used], sizes), minlength=len(pairs)).astype(np.int64)
+        pairs = pairs.view(np.uint16).reshape(-1, 2).astype(np.int32)
         width = 2 if len(used) <= 1 << 16 else 4
         codes = [place[k].astype(f"<u{width}").tobytes() for k in self.numbers]
         nothing = {c: None for c in _NAMES[1:]}
@@ -194,7 +246,6 @@ class _Block:
             part = self.rows[i:i + step]
             yield _rows([nothing | dict(zip(("doc", "n_a", "n_b", "n_groups", "groups_sha256", "groups"), r)) | {"kind": 2, "block": block, "width": width, "codes": c}
                          for r, c in zip(part, codes[i:i + step])], id_type)
-        pairs = np.array(list(pair_of), np.int32).reshape(-1, 2)
         for i in range(0, len(pairs), 1 << 16):
             part = pairs[i:i + (1 << 16)]
             known = {"kind": np.zeros(len(part), np.int32), "block": np.full(len(part), block), "pair": np.arange(i, i + len(part)).astype(np.int32),
@@ -202,9 +253,8 @@ class _Block:
             schema = _schema(id_type)
             yield pa.RecordBatch.from_arrays([pa.array(known[f.name], f.type) if f.name in known else pa.nulls(len(part), f.type) for f in schema], schema=schema)
         self.rows, self.numbers, self.size = [], [], 0
-        if len(memo.windows) > MEMO_WINDOWS:
-            memo.clear()
-            memo.windows.clear()
+        if len(memo.groups) > MEMO_WINDOWS:
+            memo.forget()
 
 
 _FIELDS = [("kind", "int", pa.int32()), ("block", "long", pa.int64()), ("n_a", "long", pa.int64()), ("n_b", "long", pa.int64()), ("n_groups", "long", pa.int64()),
@@ -258,7 +308,7 @@ def align_texts(df: DataFrame, id: str, text: str, a: Callable[[], Vocabulary],
                 if size >= CALL_BYTES:
                     block.add(ids, texts, keep_groups)
                     ids, texts, size = [], [], 0
-                    if block.size >= block_bytes:
+                    if block.size >= block_bytes or len(memo.groups) > MEMO_WINDOWS:
                         yield from block.passed_on(number, arrow_id)
                         number += 1
             block.add(ids, texts, keep_groups)
@@ -316,7 +366,7 @@ def link_totals(alignment: Alignment) -> DataFrame:
 
 
 def _bytes_50k() -> Vocabulary:
-    return byte_level(public_tokenizers.path("byte_bpe_50k.json"))
+    return byte_level(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def _pieces_32k() -> Vocabulary:

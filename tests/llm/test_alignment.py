@@ -101,6 +101,15 @@ def test_alignment_equals_counting_bytes(spark, block_bytes):
     assert sum(e[1] > 0 for e in expected) > 40 and sum(e[1] == 0 for e in expected) > 4
 
 
+def test_ranks_give_the_ids_of_the_library():
+    """All Latin characters beside each kind of neighbour, and long runs."""
+    fast, library = _bytes_50k(), alignment.byte_level(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [left + chr(c) + right for c in range(0x250) for left in ("", "a", "1", " ", "!", "\n", "'") for right in ("a", "1", " ", "  b", "!", "s", "\n")]
+    rng = random.Random(2)
+    texts += ["".join(chr(rng.randrange(0x250)) for _ in range(200)) for _ in range(300)] + [" " * 20_000 + "x", "a" * 20_000, "\n" * 5000, "<|endoftext|>" * 9]
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(fast.encode(texts), library.encode(texts)))
+
+
 def test_long_texts_and_no_rows(spark):
     df = spark.createDataFrame([(1, "long words " * 20_000), (2, "漢" * 3000)], "doc_id long, text string")
     rows = {r["doc"]: r for r in alignment.link_totals(alignment.align_texts(df, "doc_id", "text", _bytes_50k, _pieces_32k)).collect()}
