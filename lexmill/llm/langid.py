@@ -146,10 +146,13 @@ def fit_languages(train: DataFrame, text: str, language: str, train_texts: int =
     known = train.where(F.col(text).isNotNull() & F.col(language).isNotNull()).select(F.col(text).alias("text"), F.col(language).cast("string").alias("language"))
     met, n = _document_frequency(known, "text")
     idf = np.log((1 + n) / (1 + met)) + 1.0
-    keyed = known.withColumn("key", F.xxhash64("text"))
-    once = keyed.select("language", "key").distinct()
+    keyed = known.withColumn("key", F.shiftrightunsigned(F.xxhash64("text"), 11))
+    once = stage(keyed.select("language", "key").distinct(), "text-keys")
+    # Hashes are spread evenly, so about 2 * train_texts of a language lie below this share of their range, however many it has.
+    share = once.groupBy("language").agg((2.0 * train_texts / F.count(F.lit(1))).alias("share"))
+    small = once.join(share, "language").where(F.col("key") < F.col("share") * float(1 << 53))
     place = F.row_number().over(Window.partitionBy("language").orderBy("key"))
-    chosen = stage(once.withColumn("place", place).where(F.col("place") <= train_texts).select("language", "key"), "train-texts")
+    chosen = stage(small.withColumn("place", place).where(F.col("place") <= train_texts).select("language", "key"), "train-texts")
     sample = keyed.join(chosen, ["language", "key"]).dropDuplicates(["language", "key"])
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
