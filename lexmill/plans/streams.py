@@ -54,6 +54,31 @@ def x2_dedup(spark, sf):
     return jobs.deduplicated(spark, root, events.schema).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
 
 
+@query("x2_dedup_within", "select count(distinct event_id) as n, sum(distinct event_id)::bigint as total, count(*) filter (event_id is not null) - count(distinct event_id) as dropped from events")
+def x2_dedup_within(spark, sf):
+    """Deduplication with a watermark of a day, and how many rows it dropped."""
+    root, events = scratch_path(spark, "dedup-within"), _events_stream(spark, sf)
+    run = jobs.dedup_stream(events, "event_id", "ts", root, f"{root}/checkpoint", "1 day")
+    run.awaitTermination()
+    dropped = sum(r["repeats"] + r["late"] for r in jobs.dedup_report(run))
+    kept = jobs.deduplicated(spark, root, events.schema)
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"), F.lit(dropped).cast("long").alias("dropped"))
+
+
+@query("x3_hash_state_restarted", f"with {_OUTCOMES} select url, seq, outcome from outcomes")
+def x3_hash_state_restarted(spark, sf):
+    """The same in six micro-batches, the stream stopped and started again after each."""
+    root, events = scratch_path(spark, "hash-state"), table(spark, sf, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (high - low) // 6 + 1
+    part = F.floor((F.col("event_id") - low) / step)
+    for i in range(6):
+        events.where(part == i).write.mode("append").parquet(f"{root}/landed")
+        stream = items(jobs.read_files(spark, f"{root}/landed", events.schema, files_per_trigger=100_000))
+        jobs.hash_state_stream(stream, "url", "seq", "text_hash", root, f"{root}/checkpoint").awaitTermination()
+    return jobs.outcomes(spark, root, stream.schema["url"], stream.schema["seq"])
+
+
 @query("x3_hash_state", f"with {_OUTCOMES} select url, seq, outcome from outcomes")
 def x3_hash_state(spark, sf):
     root, stream = scratch_path(spark, "hash-state"), items(_events_stream(spark, sf))

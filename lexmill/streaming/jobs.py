@@ -9,10 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lexmill import schemas
 from lexmill.operators.extract import extract_articles, extract_citations
-from lexmill.operators.ingest import merge_outcomes, merge_versions
-from lexmill.operators.skew import first_by
+from lexmill.operators.ingest import merge_versions
+from lexmill.operators.skew import first_by, lag_sliced, order_slices
 from lexmill.session import stage
-from lexmill.streaming import epochs
+from lexmill.streaming import epochs, keyed
 
 STREAM_TABLES = ("norms", "norm_versions", "norm_articles", "norm_citations")
 
@@ -75,21 +75,39 @@ def ingest_stream(items: DataFrame, root: str, checkpoint: str, now: Column | No
     )
 
 
-def dedup_stream(items: DataFrame, id: str, ts: str, root: str, checkpoint: str) -> StreamingQuery:
-    """The first row ever seen of each id, however late a repeat comes; of several in one micro-batch the earliest.
+def dedup_stream(items: DataFrame, id: str, ts: str, root: str, checkpoint: str, within: str | None = None) -> StreamingQuery:
+    """Appends the first row of each id under `root`/rows; rows with a null id are dropped.
 
-    Rows are appended under `root`/rows; the ids stored there are what is known. Rows with a null id are dropped.
+    By default a row counts as a repeat however late it comes. The ids seen are keyed state in RocksDB, cut by hash over
+    the state partitions: a micro-batch looks up its own ids and reads nothing of what was kept before. With
+    `within` (such as "2 hours") an id is forgotten once the watermark has passed its first row by that much, and rows
+    behind the watermark are dropped, so the state stays as small as the delay; `dedup_report` counts both kinds.
+    Of several rows of an id in one micro-batch one is kept.
     """
     epochs.start(items.sparkSession, root, {"rows": items.schema})
+    known = items.where(F.col(id).isNotNull())
+    if within is None:
+        fresh = known.dropDuplicates([id])
+    else:
+        timed = known.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", within)
+        fresh = timed.dropDuplicatesWithinWatermark([id]).drop("_at")
 
-    def keep_new(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        known = epochs.history(spark, root, "rows", items.schema, epoch - 1).select(id)
-        fresh = first_by(batch.where(F.col(id).isNotNull()), [id], [ts]).select(*items.columns)
-        epochs.write(fresh.join(known, id, "left_anti").select(*items.columns), root, "rows", epoch)
-        epochs.finish(spark, root, epoch)
+    def keep(batch: DataFrame, epoch: int) -> None:
+        epochs.write(batch, root, "rows", epoch)
+        epochs.finish(batch.sparkSession, root, epoch)
+
+    with keyed.rocksdb(items.sparkSession):
+        return fresh.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    return items.writeStream.foreachBatch(keep_new).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def dedup_report(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch of a finished run of `dedup_stream`: batch, rows_in, repeats and late rows dropped, ids held as state."""
+    out = []
+    for progress in query.recentProgress:
+        for state in progress["stateOperators"]:
+            out.append({"batch": progress["batchId"], "rows_in": progress["numInputRows"], "repeats": state["customMetrics"].get("numDroppedDuplicateRows", 0),
+                        "late": state["numRowsDroppedByWatermark"], "ids_held": state["numRowsTotal"]})
+    return out
 
 
 def deduplicated(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -100,23 +118,29 @@ def deduplicated(spark: SparkSession, root: str, schema: T.StructType) -> DataFr
 def hash_state_stream(items: DataFrame, key: str, seq: str, hash: str, root: str, checkpoint: str) -> StreamingQuery:
     """Appends key, seq, outcome (added, updated, unchanged) to `root`/outcomes, against the last hash kept per key.
 
-    A key's rows are cut into slices along `seq` in each micro-batch, so a hot
-    key fills many tasks. Null hashes equal each other. The state holds one row for each key and batch in which it came.
+    The last hash of each key is keyed state in RocksDB (`keyed.LastHash`): a micro-batch looks up the keys it holds and
+    hands each row on with the hash from before. What became of each row is then found among the rows
+    of the micro-batch, a key's rows cut into slices along `seq`, so a hot key fills many tasks. Nothing written
+    earlier is read. Null hashes equal each other; a null key is a key; `seq` holds no nulls.
     """
     types = {c: items.schema[c].dataType for c in (key, seq, hash)}
     outcome = T.StructType([T.StructField(key, types[key]), T.StructField(seq, types[seq]), T.StructField("outcome", T.StringType())])
-    state = T.StructType([T.StructField(key, types[key]), T.StructField("last_hash", types[hash])])
-    epochs.start(items.sparkSession, root, {"outcomes": outcome, "state": state})
+    spark = items.sparkSession
+    epochs.start(spark, root, {"outcomes": outcome})
 
     def judge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        last = first_by(epochs.history(spark, root, "state", state, epoch - 1), [key], [epochs.EPOCH], last=True)
-        judged = merge_outcomes(last.withColumn("id", F.lit(1)), batch.select(key, seq, hash), key, seq, hash)
-        epochs.write(judged.select(*outcome.names), root, "outcomes", epoch)
-        epochs.write(batch.groupBy(key).agg(F.max_by(F.struct(hash), seq)[hash].alias("last_hash")), root, "state", epoch)
-        epochs.finish(spark, root, epoch)
-
-    return items.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        # The state is read and renewed by one run over the batch; all that follows reads what that run wrote.
+        rows = stage(batch, "with-last-hash")
+        judged = lag_sliced(rows, ["key"], ["seq"], F.col("hash"), order_slices(rows, "seq"), "prev")
+        first = F.col("prev").isNull()
+        same = F.when(first, F.col("last_hash")).otherwise(F.col("prev.v")).eqNullSafe(F.col("hash"))
+        made = F.when(first & ~F.col("known"), "added").when(same, "unchanged").otherwise("updated").alias("outcome")
+        epochs.write(judged.select(F.col("key").alias(key), F.col("seq").alias(seq), made), root, "outcomes", epoch)
+        epochs.finish(batch.sparkSession, root, epoch)
+
+    with keyed.rocksdb(spark):
+        return keyed.with_last_hash(items, key, seq, hash).writeStream.foreachBatch(judge).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def outcomes(spark: SparkSession, root: str, key: T.StructField, seq: T.StructField) -> DataFrame:

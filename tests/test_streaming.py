@@ -1,5 +1,8 @@
 """Streams stopped and started again end where one batch would."""
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +108,43 @@ def test_totals_run_up_to_the_whole(spark):
     rates = jobs.monitor_rate(events(spark), "ts", F.col("ok"))
     last = jobs.monitor_totals(rates).orderBy(F.desc("window_start")).first()
     assert (last["total"], last["valid"], last["invalid"]) == (200, 160, 40)
+
+
+def test_hash_state_over_many_batches_reads_no_history(spark, tmp_path):
+    """Six micro-batches, with a restart after each second one, against one pass; only keyed state is kept, one entry a key."""
+    landing, root, state = (str(tmp_path / n) for n in ("landing", "root", "state"))
+    schema = schemas.fields(k="string", seq="long", h="string")
+    rng = random.Random(3)
+    rows = [(rng.choice("abcdefghij") if i % 7 else None, i, rng.choice(["1", "2", None])) for i in range(600)]
+    for i in range(6):
+        spark.createDataFrame(rows[i * 100:(i + 1) * 100], schema).coalesce(1).write.mode("append").parquet(landing)
+        if i % 2:
+            query = jobs.hash_state_stream(jobs.read_files(spark, landing, schema, files_per_trigger=1), "k", "seq", "h", root, state)
+            query.awaitTermination()
+    expected, last = {}, {}
+    for k, seq, h in rows:
+        expected[seq] = "added" if k not in last else "unchanged" if last[k] == h else "updated"
+        last[k] = h
+    assert {r["seq"]: r["outcome"] for r in jobs.outcomes(spark, root, schema["k"], schema["seq"]).collect()} == expected
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == len(last)
+    assert query.lastProgress["numInputRows"] == 100
+    assert sorted(os.listdir(root)) == ["_finished", "outcomes"]
+
+
+@pytest.mark.parametrize("within", [None, "10 minutes"])
+def test_dedup_counts_repeats_and_late_rows(spark, tmp_path, within):
+    """(id, minute): 1 repeats at once and after an hour, 9 comes late; the file after tells the watermark."""
+    landing, root, state = (str(tmp_path / n) for n in ("landing", "root", "state"))
+    schema = schemas.fields(id="long", ts="timestamp")
+    reports = []
+    for rows in ([(1, 0), (2, 1), (None, 1)], [(1, 5), (3, 60)], [(4, 61)], [(1, 62), (9, 3)]):
+        spark.createDataFrame([(i, 1_700_000_000 + 60 * m) for i, m in rows], "id long, m long").select("id", F.timestamp_seconds("m").alias("ts")).coalesce(1).write.mode("append").parquet(landing)
+        query = jobs.dedup_stream(jobs.read_files(spark, landing, schema, files_per_trigger=1), "id", "ts", root, state, within)
+        query.awaitTermination()
+        reports += jobs.dedup_report(query)
+    kept = sorted(r["id"] for r in jobs.deduplicated(spark, root, schema).collect())
+    repeats, late = (sum(r[c] for r in reports) for c in ("repeats", "late"))
+    if within is None:
+        assert kept == [1, 2, 3, 4, 9] and (repeats, late) == (2, 0) and reports[-1]["ids_held"] == 5
+    else:
+        assert kept == [1, 1, 2, 3, 4] and (repeats, late) == (1, 1) and reports[-1]["ids_held"] <= 3
