@@ -140,7 +140,7 @@ def merge_outcomes(norms: DataFrame, batch: DataFrame, key: str = "url", seq: st
 
 
 def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now: datetime | Column,
-                   slices: Column | None = None, limits: dict[str, int] | None = None) -> Merge:
+                   slices: Column | None = None, limits: dict[str, int] | None = None, highest: tuple[int, int] | None = None) -> Merge:
     """Merge a batch of items (url, seq, metadata, raw_text) into norms and versions.
 
     Fields stay whole unless `limits` (such as `fixed.FIELD_LIMITS`) are given; url and text_hash
@@ -149,7 +149,8 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
     Items of one url are taken in `seq` order. A changed hash replaces the
     metadata and adds a version; the validity fields are set when a norm is
     added and never by an update; an unchanged item touches nothing. The judged
-    items feed norms, versions and outcomes, so they are staged once.
+    items feed norms, versions and outcomes, so they are staged once. `norms` and `versions` may be those buckets of stored tables
+    that the batch touches; `highest` then gives the greatest ids of norms and versions in all of them.
     """
     now = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     limits = {k: n for k, n in (limits or {}).items() if k not in UNCUT}
@@ -163,7 +164,7 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
         F.max("norm_id").alias("norm_id"),
     )
     fresh = hash_rank(per_url.where(F.col("norm_id").isNull()).select("url"), F.sha2("url", 256), out="rank")
-    base = F.coalesce(norms.select(F.max("id")).scalar(), F.lit(0))
+    base = F.lit(highest[0]) if highest else F.coalesce(norms.select(F.max("id")).scalar(), F.lit(0))
     new_ids = fresh.select("url", (base + F.col("rank")).alias("new_id"))
     changes = per_url.join(new_ids, "url", "left").select(
         "url", F.coalesce("norm_id", "new_id").alias("norm_id"), "m", "a"
@@ -197,7 +198,7 @@ def merge_versions(norms: DataFrame, versions: DataFrame, batch: DataFrame, now:
 
     snap = F.to_json(F.struct("url", *META))
     added_versions = salted_join(changed.drop("norm_id"), changes.select("url", "norm_id"), "url", "seq")
-    vbase = F.coalesce(versions.select(F.max("id")).scalar(), F.lit(0))
+    vbase = F.lit(highest[1]) if highest else F.coalesce(versions.select(F.max("id")).scalar(), F.lit(0))
     digest = F.sha2(F.concat_ws("|", "url", F.col("seq").cast("string")), 256)
     numbered = hash_rank(added_versions, digest, out="rank")
     appended = numbered.select(

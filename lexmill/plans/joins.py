@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from lexmill.operators import dataset, ingest, profile
 from lexmill.operators.extract import extract_articles
 from lexmill.plans.corpus import ARTICLES_SQL, ITEMS_SQL, NORMS_SQL, STORED_SQL, items, norms, stored_norms
-from lexmill.plans.registry import query, table
+from lexmill.plans.registry import ORACLE, query, table
 from lexmill.schemas import VERSIONS, empty
+from lexmill.session import scratch_path
+from lexmill.sources import store
+from lexmill.streaming import epochs, jobs
 
 NOW = datetime(2026, 1, 1)
 
@@ -96,6 +99,38 @@ def j5_again(spark, sf):
     return ingest.outcome_totals(twice.outcomes)
 
 
+def _merged_store(spark, sf):
+    """Norms stored as epoch 0, and a batch of items merged into them as epoch 1."""
+    root = scratch_path(spark, "norm-store")
+    tables = jobs.stores(root)
+    store.start(spark, list(tables.values()))
+    store.write(stored_norms(spark, sf), tables["norms"], 0)
+    epochs.finish(spark, root, 0)
+    outcomes = jobs.merge_into(spark, root, items(table(spark, sf, "events")), 1, F.lit(NOW).cast("timestamp"))
+    return tables, outcomes
+
+
+@query("j5_store_merge", ORACLE["j5_merge"])
+def j5_store_merge(spark, sf):
+    """The same merge into stored buckets, of which only the touched ones are read and only changed norms written."""
+    tables, _ = _merged_store(spark, sf)
+    return store.read(spark, tables["norms"]).select("id", "url", "type", "title", "status", "level", "is_valid", "validation_message", "last_hash")
+
+
+@query("j5_store_versions", ORACLE["j5_versions"])
+def j5_store_versions(spark, sf):
+    tables, _ = _merged_store(spark, sf)
+    return store.read(spark, tables["norm_versions"]).select("id", "norm_id", "text_hash", "raw_text")
+
+
+@query("j5_store_as_of", f"select id, url, level, sha256(old_text) as last_hash from ({STORED_SQL})")
+def j5_store_as_of(spark, sf):
+    """The stored norms as they were before the merge, read after it and after a compaction."""
+    tables, _ = _merged_store(spark, sf)
+    store.compact(spark, tables["norms"], 1)
+    return store.read(spark, tables["norms"], 0).select("id", "url", "level", "last_hash")
+
+
 @query("j6_replace", """with old as (select conv_id as norm_id, turn, role from conversations), changed as (select distinct conv_id as norm_id from conversations where conv_id % 3 = 0),
 new as (select conv_id as norm_id, turn, upper(role) as role from conversations where conv_id % 6 = 0)
 select * from old where norm_id not in (select norm_id from changed where norm_id in (select norm_id from new)) union all select * from new""")
@@ -107,6 +142,17 @@ def j6_replace(spark, sf):
     return ingest.replace_children(old, new, changed)
 
 
+@query("j6_store_replace", ORACLE["j6_replace"])
+def j6_store_replace(spark, sf):
+    """Children in stored buckets: those written last stand for their parent."""
+    old = table(spark, sf, "conversations").select(F.col("conv_id").alias("norm_id"), "turn", "role")
+    children = store.Store(scratch_path(spark, "child-store"), "turns", old.schema, "norm_id")
+    store.start(spark, [children])
+    store.write(old, children, 0)
+    store.write(old.where("norm_id % 6 = 0").withColumn("role", F.upper("role")), children, 1)
+    return store.read(spark, children, 1)
+
+
 @query("j6_replace_articles", f"""with norms as ({NORMS_SQL}), arts as ({ARTICLES_SQL}), changed as (select id from norms where id % 2 = 0)
 select id as norm_id, cast("order" as varchar) as number, case when id in (select id from changed) then upper(content) else content end as content, "order" from arts""")
 def j6_replace_articles(spark, sf):

@@ -50,10 +50,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _at(spark: SparkSession, path: str):
+    """A path and its file system, as Spark reaches it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library wrote, wherever Spark can reach it."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _at(spark, path)
+    files.delete(target, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none where there is no folder."""
+    target, files = _at(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of the driver's own, put in place whole."""
+    (part, files), (target, _) = _at(spark, f"{path}.{uuid.uuid4().hex}"), _at(spark, path)
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(target):
+        files.delete(target, False)
+    files.rename(part, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, files = _at(spark, path)
+    source = files.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
 
 
 def stage(df: DataFrame, name: str = "stage", schema: StructType | None = None) -> DataFrame:

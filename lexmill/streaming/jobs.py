@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lexmill import schemas
 from lexmill.operators.extract import extract_articles, extract_citations
 from lexmill.operators.ingest import merge_versions
-from lexmill.operators.skew import first_by, lag_sliced, order_slices
+from lexmill.operators.skew import lag_sliced, order_slices
 from lexmill.session import stage
+from lexmill.sources import store
 from lexmill.streaming import epochs, keyed
 
 STREAM_TABLES = ("norms", "norm_versions", "norm_articles", "norm_citations")
@@ -27,48 +28,62 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, pattern: st
     return reader.parquet(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
 
+def stores(root: str) -> dict[str, store.Store]:
+    """The tables of the ingest stream: norms by url, versions and children by norm."""
+    return {
+        "norms": store.Store(root, "norms", schemas.NORMS, "url", counter="id"),
+        "norm_versions": store.Store(root, "norm_versions", schemas.VERSIONS, "norm_id", append=True, counter="id"),
+        "norm_articles": store.Store(root, "norm_articles", schemas.ARTICLES, "norm_id"),
+        "norm_citations": store.Store(root, "norm_citations", schemas.CITATIONS, "norm_id"),
+    }
+
+
 def snapshot(spark: SparkSession, root: str, name: str, epoch: int | None = None) -> DataFrame:
     """Table state after a micro-batch, by default the last finished one; empty before the first.
 
-    Each epoch holds only rows that its batch added or changed: the newest row of a
-    norm counts, every version, and the children of a norm from its newest epoch that has any.
+    The newest row of a norm counts, every version, and the children of a norm from its newest epoch that has any.
+    """
+    return store.read(spark, stores(root)[name], epoch)
+
+
+def merge_into(spark: SparkSession, root: str, batch: DataFrame, epoch: int, now: Column, max_articles: int | None = None,
+               max_citations: int | None = None, limits: dict[str, int] | None = None, deltas: int = store.DELTAS) -> DataFrame:
+    """Merges a batch of items (url, seq, metadata, raw_text) into the stored tables of `stores` as `epoch`; returns its outcomes.
+
+    Only the buckets of norms that the batch touches are read, the greatest ids come from the manifests, and what
+    is written are the norms it changed, the versions it added and the children of changed norms. A bucket with more than
+    `deltas` deltas is compacted on the way. Readers see the epoch when all four tables are written.
     """
-    schema = schemas.TABLES[name]
-    rows = epochs.history(spark, root, name, schema, epoch)
-    if name == "norms":
-        return first_by(rows, ["url"], [epochs.EPOCH], last=True).select(*schema.names)
-    if name == "norm_versions":
-        return rows.select(*schema.names)
-    newest = rows.groupBy("norm_id").agg(F.max(epochs.EPOCH).alias(epochs.EPOCH))
-    return rows.join(newest, ["norm_id", epochs.EPOCH]).select(*schema.names)
+    tables = stores(root)
+    parts = {name: store.manifest(spark, tables[name], epoch - 1) for name in ("norms", "norm_versions")}
+    norms = store.read(spark, tables["norms"], epoch - 1, store.touched(tables["norms"], batch))
+    highest = tuple(store.highest(parts[name]) for name in ("norms", "norm_versions"))
+    merged = merge_versions(norms, schemas.empty(spark, schemas.VERSIONS), batch, now, limits=limits, highest=highest)
+    store.write(merged.changed_norms, tables["norms"], epoch, deltas)
+    store.write(merged.new_versions, tables["norm_versions"], epoch, deltas)
+    touched = merged.outcomes.where(F.col("outcome") != "unchanged")
+    changed = stage(touched.groupBy("norm_id").agg(F.max_by("raw_text", "seq").alias("raw_text")), "changed")
+    for name, rows in (
+        ("norm_articles", extract_articles(changed, "norm_id", "raw_text", max_articles)),
+        ("norm_citations", extract_citations(changed, "norm_id", "raw_text", max_citations)),
+    ):
+        store.write(schemas.conform(rows, schemas.TABLES[name]), tables[name], epoch, deltas)
+    epochs.finish(spark, root, epoch)
+    return merged.outcomes
 
 
 def ingest_stream(items: DataFrame, root: str, checkpoint: str, now: Column | None = None,
-                  max_articles: int | None = None, max_citations: int | None = None, limits: dict[str, int] | None = None) -> StreamingQuery:
-    """Merge a stream of items (url, seq, metadata, raw_text) into norms, versions, articles and citations.
+                  max_articles: int | None = None, max_citations: int | None = None, limits: dict[str, int] | None = None,
+                  deltas: int = store.DELTAS) -> StreamingQuery:
+    """Merge a stream of items into norms, versions, articles and citations by `merge_into`, one epoch per micro-batch.
 
-    A micro-batch writes the norms it changed, the versions it added and the
-    children of the norms it changed, so what is written follows the batch and not
-    the tables. A batch that is run again overwrites only its own output; readers
-    are pointed to it when all four tables are written.
+    What is read and written follows the batch and not the tables. A batch that is run again overwrites only its own output.
     """
     now = F.current_timestamp() if now is None else now
-    epochs.start(items.sparkSession, root, {name: schemas.TABLES[name] for name in STREAM_TABLES})
+    store.start(items.sparkSession, list(stores(root).values()))
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        norms, versions = (snapshot(spark, root, name, epoch - 1) for name in ("norms", "norm_versions"))
-        merged = merge_versions(norms, versions, batch, now, limits=limits)
-        epochs.write(merged.changed_norms, root, "norms", epoch)
-        epochs.write(merged.new_versions, root, "norm_versions", epoch)
-        touched = merged.outcomes.where(F.col("outcome") != "unchanged")
-        changed = stage(touched.groupBy("norm_id").agg(F.max_by("raw_text", "seq").alias("raw_text")), "changed")
-        for name, rows in (
-            ("norm_articles", extract_articles(changed, "norm_id", "raw_text", max_articles)),
-            ("norm_citations", extract_citations(changed, "norm_id", "raw_text", max_citations)),
-        ):
-            epochs.write(schemas.conform(rows, schemas.TABLES[name]), root, name, epoch)
-        epochs.finish(spark, root, epoch)
+        merge_into(batch.sparkSession, root, batch, epoch, now, max_articles, max_citations, limits, deltas)
 
     return (
         items.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
