@@ -19,7 +19,8 @@ from lexmill.schemas import empty
 from lexmill.session import names_in, read_text, remove, write_text
 from lexmill.streaming import epochs
 
-BUCKETS = 64
+#: Buckets of a table, fixed when it is started: about as many as it will have GB.
+BUCKETS = 16
 #: Deltas of a bucket beyond which it is compacted.
 DELTAS = 8
 
@@ -58,8 +59,13 @@ class Store(NamedTuple):
 
 
 def start(spark: SparkSession, stores: list[Store]) -> None:
-    """Makes the pointer that the tables of a root share, where it does not exist yet."""
+    """Makes the pointer that the tables of a root share, where it does not exist yet, and holds each table to its number of buckets."""
     epochs.start(spark, stores[0].root, {})
+    for store in stores:
+        if "buckets" not in names_in(spark, store.path):
+            write_text(spark, f"{store.path}/buckets", str(store.buckets))
+        elif int(read_text(spark, f"{store.path}/buckets")) != store.buckets:
+            raise ValueError(f"{store.path} was started with another number of buckets")
 
 
 def _listed(spark: SparkSession, store: Store) -> list[int]:

@@ -28,13 +28,13 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, pattern: st
     return reader.parquet(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
 
-def stores(root: str) -> dict[str, store.Store]:
+def stores(root: str, buckets: int = store.BUCKETS) -> dict[str, store.Store]:
     """The tables of the ingest stream: norms by url, versions and children by norm."""
     return {
-        "norms": store.Store(root, "norms", schemas.NORMS, "url", counter="id"),
-        "norm_versions": store.Store(root, "norm_versions", schemas.VERSIONS, "norm_id", append=True, counter="id"),
-        "norm_articles": store.Store(root, "norm_articles", schemas.ARTICLES, "norm_id"),
-        "norm_citations": store.Store(root, "norm_citations", schemas.CITATIONS, "norm_id"),
+        "norms": store.Store(root, "norms", schemas.NORMS, "url", counter="id", buckets=buckets),
+        "norm_versions": store.Store(root, "norm_versions", schemas.VERSIONS, "norm_id", append=True, counter="id", buckets=buckets),
+        "norm_articles": store.Store(root, "norm_articles", schemas.ARTICLES, "norm_id", buckets=buckets),
+        "norm_citations": store.Store(root, "norm_citations", schemas.CITATIONS, "norm_id", buckets=buckets),
     }
 
 
@@ -47,14 +47,15 @@ def snapshot(spark: SparkSession, root: str, name: str, epoch: int | None = None
 
 
 def merge_into(spark: SparkSession, root: str, batch: DataFrame, epoch: int, now: Column, max_articles: int | None = None,
-               max_citations: int | None = None, limits: dict[str, int] | None = None, deltas: int = store.DELTAS) -> DataFrame:
+               max_citations: int | None = None, limits: dict[str, int] | None = None, deltas: int = store.DELTAS,
+               buckets: int = store.BUCKETS) -> DataFrame:
     """Merges a batch of items (url, seq, metadata, raw_text) into the stored tables of `stores` as `epoch`; returns its outcomes.
 
     Only the buckets of norms that the batch touches are read, the greatest ids come from the manifests, and what
     is written are the norms it changed, the versions it added and the children of changed norms. A bucket with more than
     `deltas` deltas is compacted on the way. Readers see the epoch when all four tables are written.
     """
-    tables = stores(root)
+    tables = stores(root, buckets)
     parts = {name: store.manifest(spark, tables[name], epoch - 1) for name in ("norms", "norm_versions")}
     norms = store.read(spark, tables["norms"], epoch - 1, store.touched(tables["norms"], batch))
     highest = tuple(store.highest(parts[name]) for name in ("norms", "norm_versions"))
@@ -74,16 +75,16 @@ def merge_into(spark: SparkSession, root: str, batch: DataFrame, epoch: int, now
 
 def ingest_stream(items: DataFrame, root: str, checkpoint: str, now: Column | None = None,
                   max_articles: int | None = None, max_citations: int | None = None, limits: dict[str, int] | None = None,
-                  deltas: int = store.DELTAS) -> StreamingQuery:
+                  deltas: int = store.DELTAS, buckets: int = store.BUCKETS) -> StreamingQuery:
     """Merge a stream of items into norms, versions, articles and citations by `merge_into`, one epoch per micro-batch.
 
     What is read and written follows the batch and not the tables. A batch that is run again overwrites only its own output.
     """
     now = F.current_timestamp() if now is None else now
-    store.start(items.sparkSession, list(stores(root).values()))
+    store.start(items.sparkSession, list(stores(root, buckets).values()))
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        merge_into(batch.sparkSession, root, batch, epoch, now, max_articles, max_citations, limits, deltas)
+        merge_into(batch.sparkSession, root, batch, epoch, now, max_articles, max_citations, limits, deltas, buckets)
 
     return (
         items.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

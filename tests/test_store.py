@@ -27,6 +27,8 @@ def test_epochs_read_as_they_were_before_during_and_after_compaction(spark, tmp_
     table = store.Store(str(tmp_path), "t", SCHEMA, "k", append=append, counter="n", buckets=5)
     store.start(spark, [table])
     assert store.read(spark, table).count() == 0
+    with pytest.raises(ValueError):
+        store.start(spark, [table._replace(buckets=6)])
     live, states = {}, []
     for epoch in range(4):
         # Each epoch writes one to three rows for some keys, a null key among them.
