@@ -1,8 +1,8 @@
 """The pipeline against its stages done plainly."""
 
-from llm_fixtures import union_find
+from llm_fixtures import odd_documents
 from pyspark.sql import functions as F
-from test_dedup import plain_fingerprint
+from test_similar import plain_components
 from test_texts import plain_hits
 
 import corpus_pipeline
@@ -13,12 +13,8 @@ def test_run_equals_plain_stages(spark, sf_dir):
     docs, labels, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
     judged = quality.judge_quality(docs, "doc_id", "text", F.col("source"), F.col("lang"), labels, "quality")
     good = {r["id"] for r in judged.where("keep").collect()}
-    assert 0 < len(good) < docs.count()
     texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in good}
-    prints = {d: plain_fingerprint(t) for d, t in texts.items()}
-    links = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
-    component = union_find(prints, links)
-    single = {d for d in prints if component[d] == d}
+    single = {d for d, c in plain_components(texts).items() if d == c}
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
     left = {d for d in single if not plain_hits(texts[d], items)[-1]}
     assert len(left) < len(single) < len(good)
@@ -31,3 +27,15 @@ def test_stages_bear_an_empty_table(spark, sf_dir):
     for name, function in corpus_pipeline.STAGES:
         out = function(spark, docs, sf_dir)
         assert out.count() == 0, name
+
+
+def test_stages_bear_odd_rows_in_turn(spark, sf_dir):
+    """Nulls, repeats, very long texts and clashing columns go through all stages; each keeps the columns but for the last."""
+    docs = odd_documents(spark, ["some plain words stand here", "some plain words stand here"])
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        assert out.count() <= docs.count(), name
+        docs = out
+    name, function = corpus_pipeline.STAGES[-1]
+    assert all(r["round_trip"] for r in function(spark, docs, sf_dir).collect())

@@ -6,10 +6,9 @@ import numpy as np
 import xxhash
 from llm_fixtures import odd_documents, union_find, without_rows
 from pyspark.sql import functions as F
-from test_texts import plain_hits
 
 import corpus_pipeline
-from lexmill.llm import quality, similar
+from lexmill.llm import similar
 from lexmill.llm.simhash import fingerprint
 
 
@@ -74,16 +73,3 @@ def test_bands_meet_nearly_all_pairs_at_the_threshold():
         x, y = np.sort(hashes[:90]), np.sort(hashes[10:])  # 80 of 100 shared
         met += any(a == b for a, b in zip(similar.band_keys(x), similar.band_keys(y)))
     assert met >= 1997
-
-
-def test_run_equals_plain_stages_at_the_stage_threshold(spark, sf_dir):
-    docs, labels, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
-    judged = quality.judge_quality(docs, "doc_id", "text", F.col("source"), F.col("lang"), labels, "quality")
-    good = {r["id"] for r in judged.where("keep").collect()}
-    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in good}
-    single = {d for d, c in plain_components(texts).items() if d == c}
-    items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
-    left = {d for d in single if not plain_hits(texts[d], items)[-1]}
-    assert len(left) < len(single) < len(good)
-    rows = corpus_pipeline.run(spark, sf_dir).collect()
-    assert {r["doc_id"] for r in rows} == left and len(rows) == len(left) and all(r["round_trip"] for r in rows)
