@@ -17,7 +17,7 @@ from lexmill.functions.text import classifier_text, embedding_text, present, squ
 from lexmill.operators import classify, dataset, features, ingest, irmetrics, profile, retrieval
 from lexmill.operators.extract import extract_articles, extract_citations, split_code_articles
 from lexmill.session import stage
-from lexmill.sources import landing
+from lexmill.sources import landing, postings
 
 
 # --- Ingest -------------------------------------------------------------------
@@ -158,10 +158,17 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool =
     return hits.join(index.drop("embedding").withColumnRenamed("norm_id", "doc_id"), "doc_id")
 
 
-def search_bm25(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool = True, text: str = "title") -> DataFrame:
-    """BM25 hits over the titles of the index, with metadata."""
+def search_bm25(index: DataFrame, queries: DataFrame, k: int = 5, only_valid: bool = True, text: str = "title", stored: str | None = None) -> DataFrame:
+    """BM25 hits over the titles of the index, with metadata.
+
+    `stored` is the path of a lexical index that `postings.write_bm25` made of the same rows; without it one is built for this call.
+    """
     keep = index.where(F.coalesce(F.col("is_valid"), F.lit(True))).select(F.col("norm_id").alias("doc_id")) if only_valid else None
-    hits = stage(retrieval.bm25_topk(queries, retrieval.bm25_index(index, "norm_id", text), k, keep=keep), "hits")
+    if stored:
+        found = postings.search_stored(queries, postings.load_bm25(index.sparkSession, stored), k, keep=keep).hits
+    else:
+        found = retrieval.bm25_topk(queries, retrieval.bm25_index(index, "norm_id", text), k, keep=keep)
+    hits = stage(found, "hits")
     return hits.join(index.drop("embedding").withColumnRenamed("norm_id", "doc_id"), "doc_id")
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from lexmill import fixed
 from lexmill.operators import irmetrics, retrieval
 from lexmill.plans.corpus import NORMS_SQL, norms
-from lexmill.plans.registry import query, table, wide_table
-from lexmill.session import stage
+from lexmill.plans.registry import ORACLE, query, table, wide_table
+from lexmill.session import scratch_path, stage
+from lexmill.sources import postings
 
 # --- Text search: benchmark texts against documents -------------------------------
 
@@ -66,6 +67,18 @@ def r5_bm25(spark, sf):
     return _rounded(_bm25(spark, sf))
 
 
+def _stored(spark, sf, keep=None):
+    path = scratch_path(spark, "bm25")
+    postings.write_bm25(wide_table(spark, sf, "documents"), "doc_id", "text", path)
+    return postings.search_stored(_queries(spark, sf), postings.load_bm25(spark, path), 5, keep=keep)
+
+
+@query("r5_bm25_stored", ORACLE["r5_bm25"])
+def r5_bm25_stored(spark, sf):
+    """The same hits from an index that is stored and read back, of which only blocks that can enter the first five are scored."""
+    return _rounded(_stored(spark, sf).hits)
+
+
 _KEEP = "and doc_id in (select doc_id from labels where quality = 1)"
 
 
@@ -74,6 +87,11 @@ def r5_bm25_valid(spark, sf):
     return _rounded(_bm25(spark, sf, keep=table(spark, sf, "labels").where("quality = 1")))
 
 
+@query("r5_bm25_stored_valid", ORACLE["r5_bm25_valid"])
+def r5_bm25_stored_valid(spark, sf):
+    return _rounded(_stored(spark, sf, keep=table(spark, sf, "labels").where("quality = 1")).hits)
+
+
 @query("f7_positive", f"with {_BM25} select query_id, count(*) as n from bm_score where score > 0 group by query_id")
 def f7_positive(spark, sf):
     """How many documents score above zero for each query: the size of the full ranking, before any cut."""
