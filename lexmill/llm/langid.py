@@ -150,7 +150,8 @@ def fit_languages(train: DataFrame, text: str, language: str, train_texts: int =
     once = stage(keyed.select("language", "key").distinct(), "text-keys")
     # Hashes are spread evenly, so about 2 * train_texts of a language lie below this share of their range, however many it has.
     share = once.groupBy("language").agg((2.0 * train_texts / F.count(F.lit(1))).alias("share"))
-    small = once.join(share, "language").where(F.col("key") < F.col("share") * float(1 << 53))
+    # One row per language: smaller than the model, which has several centroids of each.
+    small = once.join(F.broadcast(share), "language").where(F.col("key") < F.col("share") * float(1 << 53))
     place = F.row_number().over(Window.partitionBy("language").orderBy("key"))
     chosen = stage(small.withColumn("place", place).where(F.col("place") <= train_texts).select("language", "key"), "train-texts")
     sample = keyed.join(chosen, ["language", "key"]).dropDuplicates(["language", "key"])
