@@ -73,3 +73,32 @@ def test_bands_meet_nearly_all_pairs_at_the_threshold():
         x, y = np.sort(hashes[:90]), np.sort(hashes[10:])  # 80 of 100 shared
         met += any(a == b for a, b in zip(similar.band_keys(x), similar.band_keys(y)))
     assert met >= 1997
+
+
+def around_the_threshold(seed, n):
+    """Copies of one text with so many changed words that about half of all pairs are near 0.8."""
+    rng = random.Random(seed)
+    words = [str(rng.randrange(10_000)) for _ in range(300)]
+    out = []
+    for _ in range(n):
+        copy = list(words)
+        for _ in range(rng.randint(3, 9)):
+            copy[rng.randrange(len(copy))] = str(rng.randrange(10_000))
+        out.append(" ".join(copy))
+    return out
+
+
+def test_hot_bucket_in_blocks_and_long_sets_lose_no_link(spark, monkeypatch):
+    texts = dict(enumerate(around_the_threshold(3, 160)))
+    expected = plain_components(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in similar.similar_components(df, "doc_id", "text").collect()}
+    assert found == expected and len(set(expected.values())) > 5
+    nodes = similar.sketches(df, "doc_id", "text", 5).persist()
+    sets = similar._sets(df, nodes.select("node", "text_key"), "doc_id", "text", 5).persist()
+    rows = nodes.select("node", F.col("node").alias("component"), "n", "minima", F.explode("keys").alias("key"))
+    ids = {r["node"]: r["doc_id"] for r in nodes.select("node", F.col("id").alias("doc_id")).collect()}
+    for long in (similar.LONG, 250):
+        monkeypatch.setattr(similar, "LONG", long)
+        links = similar.links_within(rows, sets, 0.8, block=16).collect()
+        assert union_find(texts, [(ids[r["a"]], ids[r["b"]]) for r in links]) == expected
