@@ -6,6 +6,7 @@ from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -263,18 +264,26 @@ def quota_sample(df: DataFrame, id: str, group: str, date: str, plan: list[tuple
     """Sample by a plan of (group, "1" newest first | "2" oldest first): at most `per_entry` rows each,
     an id taken by an earlier entry is skipped, `target` rows in all.
 
-    Entries are settled in turn: each drops the ids taken so far and takes its
-    first rows, so only ids and dates move and no more than the plan's rows are kept.
+    One scan serves all entries. Entries before the i-th take at most i * per_entry ids, so its first (i + 1) * per_entry
+    ids are all it can need; only those leave the tasks. Settling them in turn is done in one task, on
+    at most per_entry * n * (n + 1) / 2 rows for a plan of n entries, however many rows `df` has.
     """
-    taken: list[DataFrame] = []
-    for i, (name, how) in enumerate(plan):
-        first = F.col(date).asc_nulls_last() if how == "2" else F.col(date).desc_nulls_last()
-        open_rows = df.where((F.col(group) == name) & F.col(id).isNotNull()).select(id, date)
-        for earlier in taken:
-            open_rows = open_rows.join(earlier.select(id), id, "left_anti")
-        once = open_rows.groupBy(id).agg((F.min if how == "2" else F.max)(date).alias(date))
-        top = once.orderBy(first, F.col(id)).limit(per_entry)
-        place = F.row_number().over(Window.partitionBy("entry").orderBy(first, F.col(id)))
-        taken.append(stage(top.withColumn("entry", F.lit(i)).withColumn("rank", place).select(id, "entry", "rank"), "entry"))
-    every = reduce(DataFrame.unionByName, taken)
-    return every.orderBy("entry", "rank").limit(target)
+    n, id_type = len(plan), df.schema[id].dataType.simpleString()
+    entries = F.array(*[F.struct(F.lit(i).alias("entry"), F.lit(name).alias("of"), F.lit(how).alias("how")) for i, (name, how) in enumerate(plan)])
+    rows = df.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(group).alias("of"), F.col(date).alias("day"))
+    met = rows.select("id", "day", F.explode(F.filter(entries, lambda e: e["of"] == F.col("of"))).alias("e"))
+    once = met.groupBy("id", "e.entry", "e.how").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    oldest, newest = F.when(F.col("how") == "2", F.col("first")), F.when(F.col("how") != "2", F.col("last"))
+    place = F.row_number().over(Window.partitionBy("entry").orderBy(oldest.asc_nulls_last(), newest.desc_nulls_last(), "id"))
+    able = once.withColumn("place", place).where((F.col("place") <= n * per_entry) & (F.col("place") <= (F.col("entry") + 1) * per_entry))
+
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        taken, out = set(), []
+        for entry, part in frame.sort_values(["entry", "place"]).groupby("entry"):
+            free = [i for i in part["id"] if i not in taken][:per_entry]
+            taken.update(free)
+            out += [(i, entry, rank) for rank, i in enumerate(free, 1)]
+        return pd.DataFrame(out, columns=["id", "entry", "rank"])
+
+    settled = able.select("entry", "place", "id").groupBy().applyInPandas(settle, f"id {id_type}, entry int, rank int")
+    return settled.select(F.col("id").alias(id), "entry", "rank").orderBy("entry", "rank").limit(target)
