@@ -9,7 +9,7 @@ from lexmill.operators import irmetrics, retrieval
 from lexmill.plans.corpus import NORMS_SQL, norms
 from lexmill.plans.registry import ORACLE, query, table, wide_table
 from lexmill.session import scratch_path, stage
-from lexmill.sources import postings
+from lexmill.sources import postings, vectors
 
 # --- Text search: benchmark texts against documents -------------------------------
 
@@ -181,6 +181,31 @@ def r3_dense_pre(spark, sf):
     return _rounded(retrieval.dense_topk(_centroids(spark, sf), table(spark, sf, "embeddings"), 5, "pre", F.col("label") % 2 == 0, doc_id="vec_id"))
 
 
+def _clustered(spark, sf, keep=None):
+    path = scratch_path(spark, "vectors")
+    vectors.write_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", path)
+    return vectors.search_vectors(_centroids(spark, sf), vectors.load_vectors(spark, path), 5, keep, doc_id="vec_id")
+
+
+@query("r2_dense_stored", ORACLE["r2_dense"])
+def r2_dense_stored(spark, sf):
+    """The same hits from an index that is stored by cluster, of which only clusters that can enter the first five are read."""
+    return _rounded(_clustered(spark, sf).hits)
+
+
+@query("r3_dense_stored", ORACLE["r3_dense_pre"])
+def r3_dense_stored(spark, sf):
+    return _rounded(_clustered(spark, sf, F.col("label") % 2 == 0).hits)
+
+
+@query("s11_clusters", "select label, count(*) as n, sum(vec_id)::bigint as ids from embeddings where embedding is not null group by label")
+def s11_clusters(spark, sf):
+    """What a stored index holds, read back by label."""
+    path = scratch_path(spark, "vectors")
+    vectors.write_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", path)
+    return vectors.load_vectors(spark, path).vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("vec_id").alias("ids"))
+
+
 @query("w6_topk", f"with {_CENTROIDS} select query_id as label, doc_id, round(score, 6) as score, rank from {_ranked_sql('(select * from allscore where label = query_id)', 7)}")
 def w6_topk(spark, sf):
     """The seven vectors of each label nearest to its centre, ranked by a plain window."""
@@ -200,13 +225,13 @@ def _hashed_sql(name: str, source: str, id: str, text: str) -> str:
 {name} as (select id, d, cast(c / sqrt(sum(c * c) over (partition by id)) as float)::double as x from {name}_c)"""
 
 
-@query("r1_encode", f"with {_hashed_sql('e', 'documents', 'doc_id', 'text')} select id as doc_id, count(*) as filled, round(max(x), 5) as largest, round(sum(x * (d + 1)), 3) as mixed from e group by id")
+@query("r1_encode", f"with {_hashed_sql('e', 'documents', 'doc_id', 'text')} select doc_id, count(x) as filled, round(coalesce(max(x), 0), 5) as largest, round(coalesce(sum(x * (d + 1)), 0), 3) as mixed from documents left join e on id = doc_id group by doc_id")
 def r1_encode(spark, sf):
     vectors = retrieval.encode(wide_table(spark, sf, "documents").select("doc_id", "text"), "text", retrieval.hashed_terms_encoder(DIM))
     x = F.col("embedding").cast("array<double>")
     filled = F.size(F.filter(x, lambda v: v != 0)).cast("long")
     mixed = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
-    return vectors.where(filled > 0).select("doc_id", filled.alias("filled"), F.round(F.array_max(x), 5).alias("largest"), F.round(mixed, 3).alias("mixed"))
+    return vectors.select("doc_id", filled.alias("filled"), F.round(F.array_max(x), 5).alias("largest"), F.round(mixed, 3).alias("mixed"))
 
 
 _DENSE_TEXT = f"""{_hashed_sql('e', 'documents', 'doc_id', 'text')}, {_hashed_sql('q', 'benchmark', 'item_id', 'text')},
