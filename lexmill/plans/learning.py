@@ -214,12 +214,12 @@ def s13_save_model(spark, sf):
     return both.agg((F.count_if(F.col("a").eqNullSafe(F.col("b"))) == F.count(F.lit(1))).alias("same"))
 
 
-LANGS = ["de", "en", "es", "fr"]
-
-
 def _forest(spark, sf):
-    code = F.array_position(F.array(*[F.lit(x) for x in LANGS]), F.col("lang")).cast("int") - 1
-    docs = dataset.keep_common_classes(wide_table(spark, sf, "documents").select("doc_id", "text", code.alias("label")), "label", 5, 0, len(LANGS) - 1)
+    """A forest that tells the languages apart; documents without one are a class of their own."""
+    rows = wide_table(spark, sf, "documents").select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
+    langs = [r[0] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    code = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int") - 1
+    docs = dataset.keep_common_classes(rows.select("doc_id", "text", code.alias("label")), "label", 5)
     train, test = _parts(docs, "text")
     return classify.fit_text_model(*train, "label", 15_000, 2, classify.train_forest), *test
 
