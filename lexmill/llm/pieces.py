@@ -7,8 +7,8 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
-from operator import itemgetter
+from itertools import chain, groupby
+from operator import add, itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -27,8 +27,10 @@ N_BEST = 3
 CACHE_SEGMENTS = 600_000
 #: Longer ones are not kept.
 KEEP_CHARS = 64
-#: Rows that are worked on, and passed on, at once.
-ROWS = 512
+#: Rows that are passed on at once, and characters after which a batch of texts is closed.
+ROWS, CHARS = 512, 1 << 20
+#: Words or ids whose values are gathered at once.
+GATHERED = 1 << 18
 
 
 class Segmented(NamedTuple):
@@ -41,8 +43,68 @@ class Segmented(NamedTuple):
     literal: bool
 
 
+class Encoded(NamedTuple):
+    """The best segmentations of a batch: ids of all texts, where each text's begin, scores, and of
+    each text the N best as (loss, [(begin, end, packed ids that stand there instead)])."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    scores: np.ndarray
+    ways: list[list[tuple[float, list[tuple[int, int, bytes]]]]]
+
+
 _SCORE, _IDS, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
-_NO_PREFIX = object()
+
+
+def _gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`counts` values of `pool` from each of `starts`, one after the other, made in blocks."""
+    out = []
+    for a in range(0, len(starts), GATHERED):
+        begin, count = starts[a:a + GATHERED], counts[a:a + GATHERED]
+        ends = np.cumsum(count)
+        out.append(pool[np.repeat(begin - ends + count, count) + np.arange(ends[-1])])
+    return np.concatenate(out) if out else pool[:0]
+
+
+def spliced(packed: memoryview, width: int, begin: int, end: int, others: list[tuple[int, int, bytes]]) -> Iterator:
+    """The bytes of ids `begin` to `end`, of `width` bytes each, with `others` in their places."""
+    for a, b, other in others:
+        yield packed[begin * width:a * width]
+        yield other
+        begin = b
+    yield packed[begin * width:end * width]
+
+
+class Words(dict):
+    """Numbers of the words met; a new one is segmented. Score, least loss, and ids of all lie side by side in growing tables."""
+
+    def __init__(self, lattice: Lattice):
+        super().__init__()
+        self.lattice = lattice
+        self.entries: list[str] = []
+        self.scores, self.losses, self.starts, self.counts = array("d"), array("d"), array("q"), array("q")
+        self.ids = array(lattice.dtype.char)
+        #: Segments of long words, which the batch would make twice.
+        self.parts: dict[int, tuple[Segmented, ...]] = {}
+
+    def __missing__(self, word: str) -> int:
+        parts = self.lattice._parts(word)
+        number = self[word] = len(self.entries)
+        ids = b"".join(map(_IDS, parts))
+        self.entries.append(word)
+        self.scores.append(sum(map(_SCORE, parts)))
+        self.losses.append(min(map(_LOSS, parts)))
+        self.starts.append(len(self.ids))
+        self.counts.append(len(ids) // self.lattice.dtype.itemsize)
+        self.ids.frombytes(ids)
+        if len(word) > KEEP_CHARS:
+            self.parts[number] = parts
+        return number
+
+    def is_full(self) -> bool:
+        """Whether the next batch begins with new tables: too many words, too many ids, or segments of long words."""
+        cache = self.lattice.cache
+        return len(self) >= cache or len(self.ids) >= 8 * cache or sum(map(len, self.parts.values())) >= cache
 
 
 class Lattice:
@@ -63,19 +125,33 @@ class Lattice:
         self.bytes = {int(read.id_to_piece(i)[1:-1], 16): i for i in size if read.is_byte(i)}
         #: Id, score and (as an arc has them) ids of each piece.
         self.pieces = {read.id_to_piece(i): (i, read.get_score(i), (i,)) for i in size if not (read.is_byte(i) or read.is_control(i) or read.is_unknown(i))}
-        self.text_of = [b""] * len(size)
+        text_of = [b""] * len(size)
         for byte, i in self.bytes.items():
-            self.text_of[i] = bytes([byte])
+            text_of[i] = bytes([byte])
         for piece, (i, *_) in self.pieces.items():
-            self.text_of[i] = piece.replace(SPACE, " ").encode()
+            text_of[i] = piece.replace(SPACE, " ").encode()
+        self.text_pool = np.frombuffer(b"".join(text_of), np.uint8)
+        self.text_bytes = np.array([len(x) for x in text_of])
+        self.text_starts = np.cumsum(self.text_bytes) - self.text_bytes
         self.dtype = np.dtype("<u2" if len(size) <= 1 << 16 else "<u4")
-        #: Every beginning of a piece, with the piece where it is one.
-        self.prefixes = dict.fromkeys((p[:i] for p in self.pieces for i in range(1, len(p) + 1)), None) | self.pieces
+        #: Pieces by their characters: score and ids (None where no piece ends) and what may follow.
+        self.trie = self._trie("", sorted(self.pieces))
+        self.longest = max(map(len, self.pieces))
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         #: Ten below the worst piece of a single character, for each byte of one that has no piece.
         self.byte_score = min(s for p, (_, s, _) in self.pieces.items() if len(p) == 1) - 10.0
         self.runs: dict[str, Segmented] = {}
-        self.words: dict[str, tuple[Segmented, ...]] = {}
+        self.others: dict[tuple[str, bool], list[tuple[float, bytes]]] = {}
+        self.words = Words(self)
+
+    def _trie(self, prefix: str, pieces: list[str]) -> dict[str, tuple]:
+        """What may follow `prefix` in the given pieces, which are sorted and begin with it."""
+        depth, nodes = len(prefix), {}
+        for char, group in groupby((p for p in pieces if len(p) > depth), lambda p: p[depth]):
+            longer = list(group)
+            _, score, ids = self.pieces.get(prefix + char, (None, 0.0, None))
+            nodes[char] = score, ids, self._trie(prefix + char, longer)
+        return nodes
 
     def _pack(self, ids: list[int]) -> bytes:
         packed = array(self.dtype.char, ids)
@@ -87,60 +163,68 @@ class Lattice:
         data = char.encode()
         return tuple(self.bytes[b] for b in data), self.byte_score * len(data)
 
-    def _arcs(self, run: str, literal: bool) -> tuple[list[float], list[list[tuple]], list[tuple]]:
-        """Score of the best way to each place, the arcs (start, score, ids) that end there, and the one that is best."""
-        n, get, single = len(run), self.prefixes.get, self.pieces
+    def _arcs(self, run: str, literal: bool) -> tuple[list[float], list[list[tuple]]]:
+        """Score of the best way to each place, and the arcs (start, score, ids) that end there."""
+        n, longest, single = len(run), self.longest, self.pieces
+        root = {} if literal else self.trie
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
         arcs: list[list[tuple]] = [[] for _ in range(n + 1)]
-        chosen: list[tuple] = [()] * (n + 1)
         for i in range(n):
-            here = best[i]
-            for j in range(i + 1, n + 1):
-                found = _NO_PREFIX if literal else get(run[i:j], _NO_PREFIX)
-                if found is _NO_PREFIX:
+            here, node, j = best[i], root, i
+            for char in run[i:i + longest]:
+                if (found := node.get(char)) is None:
                     break
-                if found is not None:
-                    score = found[1]
-                    arc = (i, score, found[2])
-                    arcs[j].append(arc)
-                    if here + score > best[j]:
-                        best[j] = here + score
-                        chosen[j] = arc
+                own, ids, node = found
+                j += 1
+                if ids is not None:
+                    arcs[j].append((i, own, ids))
+                    best[j] = max(best[j], here + own)
             if literal or run[i] not in single:
-                ids, score = self._spell(run[i])
-                arc = (i, score, ids)
-                arcs[i + 1].append(arc)
-                if here + score > best[i + 1]:
-                    best[i + 1] = here + score
-                    chosen[i + 1] = arc
-        return best, arcs, chosen
+                ids, own = self._spell(run[i])
+                arcs[i + 1].append((i, own, ids))
+                best[i + 1] = max(best[i + 1], here + own)
+        return best, arcs
 
     def segment(self, run: str, literal: bool = False) -> Segmented:
-        """The best way by forward scores, and the loss of the next best: the best that has an arc not on it, by scores from both ends."""
-        best, arcs, chosen = self._arcs(run, literal)
-        n = len(run)
-        after = [float("-inf")] * (n + 1)
-        after[n] = 0.0
-        path, ids, second = n, [], float("-inf")
-        for j in range(n, 0, -1):
-            behind, taken = after[j], None
-            if j == path:
-                taken = chosen[j]
-                path = taken[0]
-                ids.append(taken[2])
-            for arc in arcs[j]:
-                i, score, _ = arc
-                score += behind
-                if score > after[i]:
-                    after[i] = score
-                if arc is not taken and best[i] + score > second:
-                    second = best[i] + score
-        return Segmented(best[n], self._pack([x for part in reversed(ids) for x in part]), best[n] - second, run, literal)
+        """The best way by forward scores, and the loss of the next best: every place keeps the scores of its two best ways."""
+        n, longest, single = len(run), self.longest, self.pieces
+        root = {} if literal else self.trie
+        best, second = [float("-inf")] * (n + 1), [float("-inf")] * (n + 1)
+        best[0] = 0.0
+        chosen: list[tuple] = [()] * (n + 1)
+        for i in range(n):
+            here, below, node, j = best[i], second[i], root, i
+            for char in run[i:i + longest]:
+                if (found := node.get(char)) is None:
+                    break
+                own, ids, node = found
+                j += 1
+                if ids is None:
+                    continue
+                score = here + own
+                if score > best[j]:
+                    second[j] = max(best[j], below + own)
+                    best[j], chosen[j] = score, (i, ids)
+                elif score > second[j]:
+                    second[j] = score
+            if literal or run[i] not in single:
+                ids, own = self._spell(run[i])
+                score, j = here + own, i + 1
+                if score > best[j]:
+                    second[j] = max(best[j], below + own)
+                    best[j], chosen[j] = score, (i, ids)
+                elif score > second[j]:
+                    second[j] = score
+        path, taken = n, []
+        while path:
+            path, ids = chosen[path]
+            taken.append(ids)
+        return Segmented(best[n], self._pack(list(chain.from_iterable(reversed(taken)))), best[n] - second[n], run, literal)
 
     def ways(self, run: str, count: int, literal: bool = False) -> list[tuple[float, bytes]]:
         """The best `count` ways to segment a run, as (score, packed ids), by A* from its end, led by the exact scores of the best way from its start."""
-        best, arcs, _ = self._arcs(run, literal)
+        best, arcs = self._arcs(run, literal)
         ways: list[tuple[float, bytes]] = []
         # Entries: minus the score of the best whole that goes on from here, a number that puts the
         # latest first among equals, place, score of what follows, and what follows as nested pairs.
@@ -163,6 +247,17 @@ class Lattice:
                 heapq.heappush(queue, (-(best[i] + score + behind), pushed, i, score + behind, (own, tail)))
         return ways
 
+    def _others(self, part: Segmented) -> list[tuple[float, bytes]]:
+        """What the next best ways of a segment lose, and their ids."""
+        key = part.run, part.literal
+        if (known := self.others.get(key)) is None:
+            known = [(part.score - score, ids) for score, ids in self.ways(part.run, self.n_best, part.literal) if ids != part.ids][:self.n_best - 1]
+            if len(part.run) <= KEEP_CHARS:
+                if len(self.others) >= self.cache // 8:
+                    self.others.clear()
+                self.others[key] = known
+        return known
+
     def _ranked(self, parts: list[Segmented]) -> list[tuple[float, dict[int, bytes]]]:
         """The N best wholes as (loss, other ids by the place of their part).
 
@@ -170,29 +265,20 @@ class Lattice:
         """
         ranked: list[tuple[float, dict[int, bytes]]] = [(0.0, {})]
         for k in self._least(np.fromiter(map(_LOSS, parts), np.float64, len(parts))):
-            part, wider = parts[k], list(ranked)
-            others = [w for w in self.ways(part.run, self.n_best, part.literal) if w[1] != part.ids]
-            for score, ids in others[:self.n_best - 1]:
-                wider += [(loss + part.score - score, taken | {k: ids}) for loss, taken in ranked]
+            wider = list(ranked)
+            for lost, ids in self._others(parts[k]):
+                wider += [(loss + lost, taken | {k: ids}) for loss, taken in ranked]
             ranked = sorted(wider, key=_SCORE)[:self.n_best]
         return ranked
 
     def _least(self, losses: np.ndarray) -> list[int]:
-        """Places of the N - 1 smallest finite losses, earlier ones first among equals."""
+        """Places of the N - 1 smallest finite losses, the smallest first, earlier ones first among equals."""
         want = self.n_best - 1
         if want < 1 or not len(losses):
             return []
         bound = np.partition(losses, want - 1)[want - 1] if len(losses) > want else np.inf
-        below = np.flatnonzero(losses < bound)
-        level = np.flatnonzero(losses == bound)[:want - len(below)] if np.isfinite(bound) else below[:0]
-        return [*below.tolist(), *level.tolist()]
-
-    @staticmethod
-    def _joined(parts: list[Segmented], taken: dict[int, bytes]) -> bytes:
-        ids = list(map(_IDS, parts))
-        for k, other in taken.items():
-            ids[k] = other
-        return b"".join(ids)
+        places = np.flatnonzero((losses <= bound) & (losses < np.inf))
+        return places[np.argsort(losses[places], kind="stable")][:want].tolist()
 
     def _run(self, run: str) -> Segmented:
         if len(run) > KEEP_CHARS:
@@ -205,58 +291,86 @@ class Lattice:
 
     def _word(self, spaces: int, word: str) -> tuple[Segmented, ...]:
         """The segments of a word and the spaces before it."""
-        parts = []
+        parts, pairs = [], self.pairs
         for k, piece in enumerate(word.split(SPACE)):
             if k:
                 parts.append(self.segment(SPACE, literal=True))
             text = piece if k else SPACE * spaces + piece
             start = 0
-            for i in range(1, len(text)):
-                if text[i - 1:i + 1] not in self.pairs:
+            for i, pair in enumerate(map(add, text, text[1:]), 1):
+                if pair not in pairs:
                     parts.append(self._run(text[start:i]))
                     start = i
             if text:
                 parts.append(self._run(text[start:]))
         return tuple(parts)
 
-    def _known(self, word: str) -> tuple[Segmented, ...]:
-        if (known := self.words.get(word)) is None:
-            known = self._word(1, word)
-            if len(word) <= KEEP_CHARS:
-                if len(self.words) >= self.cache:
-                    self.words.clear()
-                self.words[word] = known
-        return known
+    def _parts(self, word: str) -> tuple[Segmented, ...]:
+        """The segments of an entry of `_split`."""
+        bare = word.lstrip(" ")
+        return self._word(len(word) - len(bare) + 1, bare) if bare else (self._run(SPACE * len(word)),)
 
-    def parts(self, text: str) -> list[Segmented]:
-        """The segments of a text; every word follows one space at least."""
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """The words of a text, each with the spaces before it but for one, and the spaces that end the text."""
         words = text.split(" ")
         if "" not in words:
-            get = self.words.get
-            return list(chain.from_iterable([get(w) or self._known(w) for w in words]))
-        out: list[Segmented] = []
-        if not text:
-            return out
-        spaces = 0
-        for word in words:
-            spaces += 1
+            return words
+        out, spaces = [], 0
+        for word in words if text else ():
             if word:
-                out += self._known(word) if spaces == 1 else self._word(spaces, word)
+                out.append(" " * spaces + word)
                 spaces = 0
-        if spaces:
-            out.append(self._run(SPACE * spaces))
-        return out
+            else:
+                spaces += 1
+        return [*out, " " * spaces] if spaces else out
+
+    def encode_batch(self, texts: list[str]) -> Encoded:
+        """The best segmentations of many texts; tables of words and numpy do the work of all texts at once."""
+        words = self.words
+        number, seen, bounds = words.__getitem__, array("q"), [0]
+        for text in texts:
+            seen.extend(map(number, self._split(text)))
+            bounds.append(len(seen))
+        at = np.frombuffer(seen, np.int64)
+        counts = np.frombuffer(words.counts, np.int64)[at]
+        ids = _gather(np.frombuffer(words.ids, self.dtype), np.frombuffer(words.starts, np.int64)[at], counts)
+        begins = np.r_[0, np.cumsum(counts)]
+        starts = np.array(bounds)
+        scores = np.zeros(len(texts))
+        filled = np.flatnonzero(np.diff(starts))
+        if len(filled):
+            scores[filled] = np.add.reduceat(np.frombuffer(words.scores, np.float64)[at], starts[filled])
+        losses = np.frombuffer(words.losses, np.float64)[at]
+        ways = []
+        for a, b in zip(bounds, bounds[1:]):
+            parts, places = [], []
+            # A part among the N - 1 that lose least lies in one of the N - 1 words that lose least.
+            for k in sorted(self._least(losses[a:b])):
+                begin = int(begins[a + k])
+                for part in words.parts.get(seen[a + k]) or self._parts(words.entries[seen[a + k]]):
+                    parts.append(part)
+                    places.append((begin, begin := begin + len(part.ids) // self.dtype.itemsize))
+            ways.append([(loss, sorted((*places[k], other) for k, other in taken.items())) for loss, taken in self._ranked(parts)])
+        if words.is_full():
+            self.words = Words(self)
+        return Encoded(ids, begins[starts], scores, ways)
 
     def encode(self, text: str) -> tuple[bytes, float, list[tuple[float, bytes]]]:
         """Packed ids and score of the best segmentation, and (score, packed ids) of the N best, the best first."""
-        parts = self.parts(text)
-        score = sum(map(_SCORE, parts))
-        ranked = [(score - loss, self._joined(parts, taken)) for loss, taken in self._ranked(parts)]
-        return ranked[0][1], score, ranked
+        done = self.encode_batch([text])
+        score, packed = float(done.scores[0]), done.ids.tobytes()
+        ranked = [(score - loss, b"".join(spliced(memoryview(packed), self.dtype.itemsize, 0, len(done.ids), others))) for loss, others in done.ways[0]]
+        return packed, score, ranked
 
     def decode(self, ids) -> bytes:
         """UTF-8 of a text from its ids: the piece that opens it gives up the space that stands before the text."""
-        return b"".join(map(self.text_of.__getitem__, ids))[1:]
+        return self.decode_batch(np.asarray(ids, np.int64))[0][1:]
+
+    def decode_batch(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids, spaces before texts included, and where each id's begin and the last's end."""
+        counts = self.text_bytes[ids]
+        return _gather(self.text_pool, self.text_starts[ids], counts).tobytes(), np.r_[0, np.cumsum(counts)]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,6 +388,40 @@ _MADE = ("ids", "n_tokens", "score", "nbest", "round_trip")
 _RANKED = pa.list_(pa.struct([("score", pa.float64()), ("n_tokens", pa.int32()), ("ids_crc32", pa.int64())]))
 
 
+def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """First and last place of runs of texts that are closed once they hold `CHARS` characters."""
+    begin, chars = 0, 0
+    for i, text in enumerate(texts, 1):
+        chars += len(text)
+        if chars >= CHARS or i == len(texts):
+            yield begin, i
+            begin, chars = i, 0
+
+
+def _columns(lattice: Lattice, texts: list[str]) -> list[pa.Array]:
+    """The columns `_MADE` of some texts."""
+    done = lattice.encode_batch(texts)
+    wide = memoryview(done.ids.astype("<u4")).cast("B")
+    read, ends = lattice.decode_batch(done.ids)
+    starts = done.starts.tolist()
+    # Without the space that stands before a text.
+    whole = [read[a + 1:b] == text.encode() for a, b, text in zip(ends[done.starts[:-1]].tolist(), ends[done.starts[1:]].tolist(), texts)]
+    losses, counts, sums, ranks = [], [], [], [0]
+    for a, b, ways in zip(starts, starts[1:], done.ways):
+        for loss, others in ways:
+            crc, size = 0, 0
+            for part in spliced(wide, 4, a, b, [(i, j, np.frombuffer(x, lattice.dtype).astype("<u4").tobytes()) for i, j, x in others]):
+                crc, size = zlib.crc32(part, crc), size + len(part)
+            losses.append(loss)
+            counts.append(size // 4)
+            sums.append(crc)
+        ranks.append(len(losses))
+    ranked = np.repeat(done.scores, np.diff(ranks)) - np.array(losses)
+    best = pa.StructArray.from_arrays([pa.array(ranked, pa.float64()), pa.array(counts, pa.int32()), pa.array(sums, pa.int64())], fields=list(_RANKED.value_type))
+    return [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(done.ids.astype(np.int32))), pa.array(np.diff(done.starts).astype(np.int32)),
+            pa.array(done.scores, pa.float64()), pa.ListArray.from_arrays(pa.array(ranks, pa.int32()), best), pa.array(whole, pa.bool_())]
+
+
 def encode_texts(df: DataFrame, text: str, model: str, n_best: int = N_BEST, cache: int = CACHE_SEGMENTS) -> DataFrame:
     """`df` with ids (array<int>), n_tokens, score, nbest (score, n_tokens, CRC-32 of the ids as little-endian
     unsigned 32-bit numbers) and round_trip: whether decoding the ids gives the text back.
@@ -290,22 +438,10 @@ def encode_texts(df: DataFrame, text: str, model: str, n_best: int = N_BEST, cac
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = worker_lattice(model, n_best, cache)
-        width, wide = lattice.dtype.itemsize, np.dtype("<u4")
         for batch in _slices(batches):
-            ids, scores, ranks, whole = [], [], [], []
-            for value in batch.column(place):
-                value = value.as_py() or ""
-                own, score, ranked = lattice.encode(value)
-                whole.append(lattice.decode(np.frombuffer(own, lattice.dtype).tolist()) == value.encode())
-                ids.append(own)
-                scores.append(score)
-                ranks.append([{"score": s, "n_tokens": len(x) // width, "ids_crc32": zlib.crc32(np.frombuffer(x, lattice.dtype).astype(wide).tobytes())} for s, x in ranked])
-            counts = np.array([len(x) // width for x in ids], np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), lattice.dtype).astype(np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), flat)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, lists, pa.array(counts), pa.array(scores, pa.float64()), pa.array(ranks, _RANKED), pa.array(whole, pa.bool_())],
-                [*[f"c{i}" for i in range(len(kept))], *_MADE])
+            texts = [value or "" for value in batch.column(place).to_pylist()]
+            for a, b in _batches(texts):
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *_columns(lattice, texts[a:b])], [*[f"c{i}" for i in range(len(kept))], *_MADE])
 
     out = plain.mapInArrow(encode, f"{schema}, ids array<int>, n_tokens int, score double, nbest array<struct<score:double,n_tokens:int,ids_crc32:bigint>>, round_trip boolean")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *_MADE)
@@ -323,7 +459,7 @@ def decode_ids(df: DataFrame, ids: str, model: str, out: str = "decoded") -> Dat
         for batch in _slices(batches):
             lists = batch.column(place)
             flat, offsets = lists.values.to_numpy(), lists.offsets.to_pylist()
-            texts = [lattice.decode(flat[a:b].tolist()).decode(errors="replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
+            texts = [lattice.decode(flat[a:b]).decode(errors="replace") if ok else None for a, b, ok in zip(offsets, offsets[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*[f"c{i}" for i in range(len(kept))], "t"])
 
     done = plain.mapInArrow(decode, f"{schema}, t string")
