@@ -64,6 +64,7 @@ BANNER_PHRASES = [
     "ya no está vigente",
 ]
 BANNER_REASON_CHARS = 80
+ERROR_REASON_CHARS = 50
 
 # --- Hierarchy levels, tested in the order given ----------------------------
 LEVEL_KEYWORDS = [

@@ -39,10 +39,11 @@ def _status(valid: bool, message: Column) -> Column:
     return F.struct(F.lit(valid).alias("is_valid"), message.alias("status"))
 
 
-def marker_status(text: Column | str, reason_chars: int | None = fixed.MARKER_REASON_CHARS) -> Column:
+def marker_status(text: Column | str, reason_chars: int | None = None) -> Column:
     """Status from an in-text `(*) DEROGADO` style marker, null when there is none.
 
-    The message quotes the text from the marker on for `reason_chars` characters, or to its end for None.
+    The message quotes the text from the marker on to its end, or for `reason_chars` characters
+    (`fixed.MARKER_REASON_CHARS` in the original).
     """
     text = F.col(text) if isinstance(text, str) else text
     hit = F.regexp_extract(text, "(?iuU)" + fixed.STATUS_MARKER, 0)
@@ -55,12 +56,14 @@ def banner_status(
     html: Column | str,
     classes: list[tuple[str, str]] = fixed.BANNER_CLASSES,
     phrases: list[str] = fixed.BANNER_PHRASES,
+    reason_chars: int | None = None,
 ) -> Column:
     """Status from page banners: elements of the listed classes whose text has a listed phrase.
 
     The page is cut at its tags; the text of an element runs to the tag that
     closes it, counting nested elements of the same name. The first hit by
-    class order, then page order, gives the message.
+    class order, then page order, gives the message, whole or its first `reason_chars`
+    characters (`fixed.BANNER_REASON_CHARS` in the original).
     """
     html = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
     tag_name = r"^</?([A-Za-z][A-Za-z0-9]*)"
@@ -110,12 +113,15 @@ def banner_status(
 
     visible = F.regexp_replace(F.translate(html, MARK + END, ""), SILENT, "")
     hit = let(F.split(F.regexp_replace(visible, TAG, MARK + "$0" + END), MARK), first_hit)
-    reason = F.concat(F.lit("DEROGADA: "), F.substring(hit, 1, fixed.BANNER_REASON_CHARS))
+    reason = F.concat(F.lit("DEROGADA: "), F.substring(hit, 1, reason_chars) if reason_chars else hit)
     return F.when(hit.isNotNull(), _status(False, reason))
 
 
-def norm_status(banner: Column, marker: Column, error: Column | None = None) -> Column:
-    """Banner first, then marker, else in force; a row with an error counts as in force."""
+def norm_status(banner: Column, marker: Column, error: Column | None = None, error_chars: int | None = None) -> Column:
+    """Banner first, then marker, else in force; a row with an error counts as in force.
+
+    The error is given whole or for `error_chars` characters (`fixed.ERROR_REASON_CHARS` in the original).
+    """
     outcome = (
         F.when(banner.isNotNull(), F.struct(banner["is_valid"], banner["status"], F.lit("banner").alias("outcome")))
         .when(marker.isNotNull(), F.struct(marker["is_valid"], marker["status"], F.lit("marker").alias("outcome")))
@@ -123,7 +129,7 @@ def norm_status(banner: Column, marker: Column, error: Column | None = None) ->
     )
     if error is None:
         return outcome
-    failed = F.struct(F.lit(True).alias("is_valid"), F.concat(F.lit("ERROR: "), F.substring(error, 1, 50)).alias("status"),
+    failed = F.struct(F.lit(True).alias("is_valid"), F.concat(F.lit("ERROR: "), F.substring(error, 1, error_chars) if error_chars else error).alias("status"),
                       F.lit("error").alias("outcome"))
     return F.when(present(error).isNotNull(), failed).otherwise(outcome)
 

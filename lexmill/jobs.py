@@ -95,8 +95,8 @@ def validate(norms: DataFrame, versions: DataFrame, now: Column, force: bool = F
     none = F.lit(None).cast("struct<is_valid: boolean, status: string>")
     if pages is not None:
         rows = rows.join(pages.select("url", F.col("html").alias("_html")), "url", "left")
-    banner = banner_status("_html") if pages is not None else none
-    marker = marker_status(html_to_text("raw_text", " ", always=True))
+    banner = banner_status("_html", reason_chars=fixed.BANNER_REASON_CHARS) if pages is not None else none
+    marker = marker_status(html_to_text("raw_text", " ", always=True), fixed.MARKER_REASON_CHARS)
     error = F.when(present(url_tail("url")).isNull(), F.lit("no id in url"))
     judged = rows.withColumn("_s", norm_status(banner, marker)).select(
         *norms.columns, F.col("_s.is_valid").cast("int").alias("new_valid"), F.col("_s.status").alias("new_message"),

@@ -169,10 +169,16 @@ def p16_features(spark, sf):
 
 _MARK_SQL = """case id % 10 when 0 then concat('DEROGADA: ', substr(raw_text, strpos(raw_text, '(*) DEROGADO'), 200))
  when 1 then concat('SIN EFECTO: ', substr(raw_text, strpos(raw_text, '(*)  DEJADA'), 200)) end"""
+_MARK_WHOLE_SQL = _MARK_SQL.replace(", 200)", ")")
 
 
 @query("p17_marker", f"with norms as ({NORMS_SQL}), s as (select id, {_MARK_SQL} as status from norms) select id, status, case when status is not null then false end as is_valid from s")
 def p17_marker(spark, sf):
+    return norms(spark, sf).select("id", rules.marker_status("raw_text", fixed.MARKER_REASON_CHARS).alias("s")).select("id", "s.status", "s.is_valid")
+
+
+@query("p17_marker_whole", f"with norms as ({NORMS_SQL}), s as (select id, {_MARK_WHOLE_SQL} as status from norms) select id, status, case when status is not null then false end as is_valid from s")
+def p17_marker_whole(spark, sf):
     return norms(spark, sf).select("id", rules.marker_status("raw_text").alias("s")).select("id", "s.status", "s.is_valid")
 
 
@@ -180,9 +186,18 @@ _BANNER_SQL = """select page_id, regexp_extract(html, '(?is)<div class="ad">([^<
 _PHRASES = ["nicht", "the ", "que", " la "]
 
 
-@query("p18_banner", f"""with a as ({_BANNER_SQL}), d as (select page_id, trim(replace(replace(replace(replace(ad, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&')) as ad from a)
-select page_id, case when {' or '.join(f"contains(lower(ad), '{p}')" for p in _PHRASES)} then concat('DEROGADA: ', left(ad, 80)) end as status from d""")
+_BANNER_STATUS_SQL = f"""with a as ({_BANNER_SQL}), d as (select page_id, trim(replace(replace(replace(replace(ad, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&')) as ad from a)
+select page_id, case when {' or '.join(f"contains(lower(ad), '{p}')" for p in _PHRASES)} then concat('DEROGADA: ', SHOWN) end as status from d"""
+
+
+@query("p18_banner", _BANNER_STATUS_SQL.replace("SHOWN", "left(ad, 80)"))
 def p18_banner(spark, sf):
+    pages = wide_table(spark, sf, "pages")
+    return pages.select("page_id", rules.banner_status("html", [("class", "ad")], _PHRASES, fixed.BANNER_REASON_CHARS).alias("s")).select("page_id", "s.status")
+
+
+@query("p18_banner_whole", _BANNER_STATUS_SQL.replace("SHOWN", "ad"))
+def p18_banner_whole(spark, sf):
     pages = wide_table(spark, sf, "pages")
     return pages.select("page_id", rules.banner_status("html", [("class", "ad")], _PHRASES).alias("s")).select("page_id", "s.status")
 
@@ -194,10 +209,33 @@ def p19_status(spark, sf):
     n = norms(spark, sf)
     page = F.when(F.col("id") % 13 == 0, '<div class="x alert-danger"><b>norma derogada</b></div>').otherwise('<div class="alert">hola</div>')
     error = F.when(F.col("id") % 17 == 0, "sin respuesta")
-    status = rules.norm_status(rules.banner_status(page), rules.marker_status("raw_text"), error)
+    status = rules.norm_status(rules.banner_status(page), rules.marker_status("raw_text", fixed.MARKER_REASON_CHARS), error, fixed.ERROR_REASON_CHARS)
+    return n.select("id", status.alias("s")).select("id", "s.*")
+
+
+_STATUS_SQL = """with norms as (NORMS), s as (select id, MARK as m, case when id % 13 = 0 then 'DEROGADA: norma derogada' end as b, case when id % 17 = 0 then concat('sin respuesta de ', raw_text) end as e from norms)
+select id, case when e is not null then concat('ERROR: ', CUT) else coalesce(b, m, 'VIGENTE') end as status, e is not null or coalesce(b, m) is null as is_valid,
+ case when e is not null then 'error' when b is not null then 'banner' when m is not null then 'marker' else 'valid' end as outcome from s""".replace("NORMS", NORMS_SQL)
+
+
+def _p19(spark, sf, marker=None, error=None):
+    n = norms(spark, sf)
+    page = F.when(F.col("id") % 13 == 0, '<div class="x alert-danger"><b>norma derogada</b></div>').otherwise('<div class="alert">hola</div>')
+    failed = F.when(F.col("id") % 17 == 0, F.concat(F.lit("sin respuesta de "), F.col("raw_text")))
+    status = rules.norm_status(rules.banner_status(page), rules.marker_status("raw_text", marker), failed, error)
     return n.select("id", status.alias("s")).select("id", "s.*")
 
 
+@query("p19_status_cut", _STATUS_SQL.replace("MARK", _MARK_SQL).replace("CUT", "left(e, 50)"))
+def p19_status_cut(spark, sf):
+    return _p19(spark, sf, fixed.MARKER_REASON_CHARS, fixed.ERROR_REASON_CHARS)
+
+
+@query("p19_status_whole", _STATUS_SQL.replace("MARK", _MARK_WHOLE_SQL).replace("CUT", "e"))
+def p19_status_whole(spark, sf):
+    return _p19(spark, sf)
+
+
 _P20_SQL = f"""with {CODE_BLOCKS_SQL}, b as (select *, strpos(block, '(*)') as p from blocks)
 select code_id, article_num, case when p > 0 then 0 else 1 end as label, left(case when p = 0 then block when length(trim(left(block, p - 1))) < 30 then left(block, FALLBACK) else trim(left(block, p - 1)) end, TEXT) as text,
  left(block, RAW) as raw_text from b"""

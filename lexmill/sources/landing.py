@@ -88,8 +88,8 @@ def build_items(docs: DataFrame, details: DataFrame, base_url: str = "https://ex
     raw = F.coalesce(F.col("t.textoCompleto"), F.lit(""))
     summary = html_to_text(F.col("d.sumilla"), " ", always=True)
     title = html_to_text(F.coalesce(present(F.col("t.titulo")), F.col("d.sumilla")), " ", always=True)
-    banner = banner_status(page_html) if page_html is not None else F.lit(None).cast("struct<is_valid: boolean, status: string>")
-    status = norm_status(banner, marker_status(html_to_text(raw, " ", always=True)), error)
+    banner = banner_status(page_html, reason_chars=fixed.BANNER_REASON_CHARS) if page_html is not None else F.lit(None).cast("struct<is_valid: boolean, status: string>")
+    status = norm_status(banner, marker_status(html_to_text(raw, " ", always=True), fixed.MARKER_REASON_CHARS), error, fixed.ERROR_REASON_CHARS)
     return joined.select(
         F.col("d.id").alias("id"),
         F.coalesce(present(F.col("d.dispositivoLegal")), F.col("d.palabra")).alias("type"),

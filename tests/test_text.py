@@ -86,7 +86,17 @@ def test_marker_repealed_starts_at_second_star(spark):
 
 def test_marker_absent_and_reason_length(spark):
     assert one(spark, rules.marker_status("t"), t="Derogado en parte") is None
-    assert len(one(spark, rules.marker_status("t"), t="(*) derogado " + "x" * 500)["status"]) == len("DEROGADA: ") + 200
+    assert len(one(spark, rules.marker_status("t", 200), t="(*) derogado " + "x" * 500)["status"]) == len("DEROGADA: ") + 200
+    assert one(spark, rules.marker_status("t"), t="(*) derogado " + "x" * 500)["status"] == "DEROGADA: (*) derogado " + "x" * 500
+
+
+def test_banner_and_error_whole_unless_cut(spark):
+    page = '<div class="alert">norma derogada ' + "y" * 300 + "</div>"
+    assert one(spark, rules.banner_status("h"), h=page)["status"] == "DEROGADA: norma derogada " + "y" * 300
+    assert len(one(spark, rules.banner_status("h", reason_chars=80), h=page)["status"]) == len("DEROGADA: ") + 80
+    none = F.lit(None).cast("struct<is_valid: boolean, status: string>")
+    assert one(spark, rules.norm_status(none, none, F.lit("e" * 90)))["status"] == "ERROR: " + "e" * 90
+    assert one(spark, rules.norm_status(none, none, F.lit("e" * 90), 50))["status"] == "ERROR: " + "e" * 50
 
 
 @pytest.mark.parametrize("page, expected", [
