@@ -148,3 +148,20 @@ def test_forest(spark, notes):
     assert classify.f1_of(classify.score(trained, docs.select("doc_id", "label"), postings), positive=None) > 0.95
     top = classify.forest_importance(trained, 5).collect()
     assert len(top) == 5 and any("derogado" in r["term"] or "nota" in r["term"] for r in top)
+
+
+def test_rows_do_not_move_by_class(spark):
+    """Two classes among many rows: weights, quotas and class counts come to the rows, which stay in all their tasks."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rows = spark.range(0, 4000, 1, 8).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("label"))
+        tasks = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks(classify.weighted(rows, "label")) == 8
+        assert tasks(dataset.keep_common_classes(rows, "label")) == 8
+        assert tasks(dataset.stratified_split(rows, "label", "doc_id", exact=True)) > 2
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
