@@ -165,3 +165,29 @@ def test_rows_do_not_move_by_class(spark):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+def test_turns_of_cross_validation_share_one_pass(spark, monkeypatch):
+    """Vectors of a turn equal those fitted for it alone, and postings do not move by document for each turn."""
+    words = "ley norma decreto artículo código plazo multa"
+    texts = [(i, i % 2, " ".join(words.split()[(i * j) % 7] for j in range(1, 3 + i % 5)) if i % 11 else "") for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, label int, text string")
+    postings = features.ngram_postings(docs, "doc_id", "text")
+    halves = [F.col("doc_id") < 30, F.col("doc_id") >= 20]
+    vocabularies = [features.fit_vocabulary(postings.where(h), 30, 12, 2) for h in halves]
+    packed, slots = features.pack(docs.select("doc_id", "label"), postings, vocabularies)
+    for v in vocabularies:
+        size = v.count()
+        alone = {r["doc_id"]: r["features"] for r in features.assemble(docs.select("doc_id"), features.tfidf_weights(postings, v), size).collect()}
+        shared = {r["doc_id"]: r["features"] for r in features.assemble_packed(packed, slots, v, size).collect()}
+        assert len(alone) == len(shared) == 60
+        for k, a in alone.items():
+            assert list(a.indices) == list(shared[k].indices) and a.size == shared[k].size
+            assert a.values == pytest.approx(shared[k].values, abs=1e-12)
+
+    def moved(*_):
+        raise AssertionError("postings moved by document for one turn")
+
+    monkeypatch.setattr(classify, "tfidf_weights", moved)
+    scores = classify.cross_validate(docs.select("doc_id", "label"), postings, "label", classify.train_logreg, folds=2)
+    assert [r["fold"] for r in scores.orderBy("fold").collect()] == [0, 1]
