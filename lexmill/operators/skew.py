@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import isqrt
+from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 from lexmill.functions.text import let
 
 BROADCAST_ROWS = 200_000
+#: Rows of a task of costly work.
+TASK_ROWS = 50_000
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan that yields fewer tasks than there are cores is dealt out to all of them; a larger one stays as it is.
+    """A scan that yields fewer tasks than there are cores, or than its rows call for, is dealt out; a larger one stays as it is.
 
-    For work that costs far more per row than moving the row, on input of few files.
+    For work that costs far more per row than moving the row, on input of few files. A row made of
+    short columns may hold much work, so tasks are counted by rows: no task grows with the table.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    tasks = max(cores, ceil(scan.count() / TASK_ROWS))
+    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan
 
 
 def order_slices(df: DataFrame, col: str, n: int | None = None) -> Column:

@@ -184,3 +184,8 @@ def test_keep_new_ids(spark):
 def test_null_keys_are_one_key(spark):
     rows = spark.range(200).select(F.lit(None).cast("string").alias("k"), "id", F.lit("same").alias("v"))
     assert ingest.change_points(rows, ["k"], ["id"], "v").count() == 1
+
+
+def test_tasks_of_costly_work_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("lexmill.operators.skew.TASK_ROWS", 100)
+    assert spread(spark.range(0, 5000, 1, 1)).rdd.getNumPartitions() == 50
