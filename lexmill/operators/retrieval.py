@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from lexmill.operators.skew import BROADCAST_ROWS
 from lexmill.session import stage
 
 SCORE_DIGITS = 9
+#: Documents of a task that scores.
+SCORED_DOCS = 20_000
 
 
 # --- Encoding -----------------------------------------------------------------
@@ -46,14 +49,18 @@ def encode(df: DataFrame, text: str, encoder: Callable[[pd.Series], np.ndarray]
     keep = [c for c in df.columns if c != text]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
 
-    def encode_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode_batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            for start in range(0, len(frame), batch):
-                part = frame.iloc[start:start + batch]
-                vectors = np.asarray(run(part[text]), dtype=np.float32)
-                yield part[keep].assign(**{out: list(vectors)})
+            place = frame.schema.get_field_index(text)
+            for start in range(0, frame.num_rows, batch):
+                part = frame.slice(start, batch)
+                vectors = np.asarray(run(part.column(place).to_pandas()), dtype=np.float32)
+                ends = np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1]
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), column], names=[*keep, out])
 
-    return df.select(*keep, text).mapInPandas(encode_partition, f"{schema}, {out} array<float>")
+    # Texts stay in Arrow's form, and only those of one batch become Python strings.
+    return df.select(*keep, text).mapInArrow(encode_batches, f"{schema}, {out} array<float>")
 
 
 # --- Dense search -------------------------------------------------------------
@@ -170,8 +177,14 @@ def counted_documents(df: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def bm25_postings(counted: DataFrame) -> DataFrame:
-    """doc_id, term, tf, dl. Rows of counts are moved once by id, so that later work per document stays in place."""
-    return counted.repartition("doc_id").select("doc_id", "dl", F.explode("terms").alias("p")).select("doc_id", "p.term", "p.tf", "dl")
+    """doc_id, term, tf, dl. Rows of counts are moved once by id, so that later work per document stays in place.
+
+    The number of tasks goes by the number of documents and is not made less for small rows: scoring holds a
+    group per query and document of its task.
+    """
+    spark = counted.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(counted.count() / SCORED_DOCS))
+    return counted.repartition(tasks, "doc_id").select("doc_id", "dl", F.explode("terms").alias("p")).select("doc_id", "p.term", "p.tf", "dl")
 
 
 def document_frequency(counted: DataFrame) -> DataFrame:

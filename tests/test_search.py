@@ -165,3 +165,21 @@ def test_evaluation_stays_between_zero_and_one(spark):
     means = irmetrics.mean_metrics(spark.createDataFrame(table), "dense", "bm25").toPandas().set_index("metric")
     assert means.loc["mrr", "gain"] == pytest.approx(table[table.system == "dense"].mrr.mean() - table[table.system == "bm25"].mrr.mean())
     assert isinstance(means, pd.DataFrame)
+
+
+def test_scoring_tasks_follow_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "SCORED_DOCS", 10)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("norma").alias("text"))
+    assert retrieval.bm25_postings(retrieval.counted_documents(docs, "doc_id", "text")).rdd.getNumPartitions() == 40
+
+
+def test_encoder_gets_texts_batch_by_batch(spark):
+    """Each batch comes as strings of its own, not as a part of a frame that holds all texts of an Arrow batch."""
+
+    def first_index(texts):
+        return np.array([[float(texts.index[0]), float(len(texts)), float(sum(t is None for t in texts))]] * len(texts))
+
+    docs = spark.range(0, 100, 1, 1).select("id", F.when(F.col("id") != 7, F.lit("a b")).alias("text"), F.current_date().alias("day"))
+    rows = retrieval.encode(docs, "text", first_index, batch=32).orderBy("id").collect()
+    assert [r["id"] for r in rows] == list(range(100)) and all(r["day"] is not None for r in rows)
+    assert {tuple(r["embedding"]) for r in rows} == {(0.0, 32.0, 1.0), (0.0, 32.0, 0.0), (0.0, 4.0, 0.0)}
