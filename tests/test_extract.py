@@ -141,3 +141,19 @@ def test_very_long_text(spark):
     rows = extract_citations(df, "id", "text")
     assert rows.count() == 5000
     assert rows.where("citation_type = 'modifies'").count() == 5000
+
+
+def test_patterns_are_tried_only_where_the_words_they_need_stand(spark):
+    """Each pattern's own words let it be tried, in any case and with the letters that match s, i and k."""
+    from pyspark.sql import functions as F
+
+    from lexmill.operators import extract
+
+    assert len(fixed.CITATION_NEEDS) == len(fixed.CITATION_PATTERNS)
+    texts = ["LEY N° 12", "decreto leg\u0130slativo 7", "D.l. 8", "decreto de urgenc\u0131a 9-1", "du 10", "DECRETO \u017fUPREMO 1-2-AB", "d\u017f 3-4-CD",
+             "re\u017foluci\u00d3n ministerial 5-6-EF", "rm 7-8-GH", "C\u00d3DIGO PENAL", "c\u00f3digo c\u0130vil", "CONSTITUCI\u00d3N POL\u00cdTICA", "nada"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    tried = F.concat(*[extract._pattern_matches(F.col("text"), i, p, label) for i, (p, label) in enumerate(fixed.CITATION_PATTERNS)])
+    want = {r["id"]: r["n"] for r in df.select("id", F.size(F.array_distinct(F.transform(tried, lambda m: m["target_text"]))).alias("n")).collect()}
+    got = {r["id"]: r["n"] for r in df.select("id", F.size(extract.citations_of(F.col("text"))).alias("n")).collect()}
+    assert got == want and sum(n > 0 for n in want.values()) >= 10
