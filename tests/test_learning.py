@@ -191,3 +191,12 @@ def test_turns_of_cross_validation_share_one_pass(spark, monkeypatch):
     monkeypatch.setattr(classify, "tfidf_weights", moved)
     scores = classify.cross_validate(docs.select("doc_id", "label"), postings, "label", classify.train_logreg, folds=2)
     assert [r["fold"] for r in scores.orderBy("fold").collect()] == [0, 1]
+
+
+def test_ngrams_are_counted_without_moving_them(spark):
+    docs = spark.createDataFrame([(1, "la ley la ley"), (2, "la ley"), (2, "la norma"), (None, "ley"), (None, "ley"), (3, None)], "doc_id long, text string")
+    words = lambda t: (t or "").split()
+    want = Counter((r["doc_id"], g) for r in docs.collect() for w in [words(r["text"])] for g in [*w, *[f"{a} {b}" for a, b in zip(w, w[1:])]])
+    assert {(r["doc_id"], r["term"]): r["n"] for r in features.ngram_counts(docs, "doc_id", "text").collect()} == want
+    once = features.ngram_counts(docs.where("doc_id = 1"), "doc_id", "text")
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
