@@ -3,10 +3,11 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import classify, dataset, features
+from lexmill.operators import classify, dataset, features, forest
 
 
 def labelled(spark, few, many):
@@ -200,3 +201,43 @@ def test_ngrams_are_counted_without_moving_them(spark):
     assert {(r["doc_id"], r["term"]): r["n"] for r in features.ngram_counts(docs, "doc_id", "text").collect()} == want
     once = features.ngram_counts(docs.where("doc_id = 1"), "doc_id", "text")
     assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forest_is_the_same_however_rows_are_dealt(spark, notes, monkeypatch):
+    """Blocks, tasks and the level at which slots are written leave model and predictions as they are; most values are zeros and are not held."""
+    docs = notes.withColumnRenamed("id", "doc_id").select("doc_id", (F.col("doc_id") % 3).cast("int").alias("label"), "raw_text")
+    postings = features.ngram_postings(docs, "doc_id", "raw_text")
+    found = []
+    for parts, rows, kept in ((1, 1000, 5), (7, 11, 1)):
+        monkeypatch.setattr(forest, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(forest, "KEPT_LEVELS", kept)
+        grown = lambda v, l: classify.train_forest(v.repartition(parts), l, trees=9, depth=7)  # noqa: B023, E731
+        trained = classify.fit_text_model(docs.select("doc_id", "label"), postings, "label", 200, 1, grown)
+        pred = classify.score(trained, docs.select("doc_id", "label"), postings)
+        found.append((sorted(map(tuple, pred.select("doc_id", "label", "prediction").collect())), trained.model.featureImportances, [[list(c) for c in s] for s in trained.model.splits]))
+    assert found[0] == found[1] and len(found[0][0]) == 120
+    assert abs(sum(found[0][1].values) - 1) < 1e-9
+
+
+def test_forest_takes_the_best_split():
+    """Counts of sparse values against the gain of every split of every feature, zeros as bin 0."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        classes, draw, n, weights = 3, 4, 40, np.array([0.5, 1.0, 2.5])
+        bins, label, node = rng.integers(0, 4, (n, draw)) * rng.integers(0, 2, (n, draw)), rng.integers(0, classes, n), rng.integers(0, 3, n)
+        counts = np.zeros((3, classes), np.int64)
+        np.add.at(counts, (node, label), 1)
+        row, j = np.nonzero(bins)
+        key = (j * (forest.BINS + 1) + bins[row, j]) * classes + label[row]
+        got = forest._best_splits(node[row], key, np.ones(len(row), np.int64), counts, weights, draw)
+        gini = lambda c: 1 - sum((c * weights / (c * weights).sum()) ** 2) if c.sum() else 0.0  # noqa: B023, E731
+        for m in range(3):
+            best = (0.0, 0, 0)
+            for f in range(draw):
+                for b in range(1, 4):
+                    right = np.bincount(label[(node == m) & (bins[:, f] >= b)], minlength=classes)
+                    left, s = counts[m] - right, lambda c: (c * weights).sum() / (counts[m] * weights).sum()  # noqa: B023
+                    if right.sum() and left.sum():
+                        best = max(best, (round(gini(counts[m]) - s(right) * gini(right) - s(left) * gini(left), 10), -f, -b))
+            mine = [(round(g, 10), f, b) for own, f, b, g in zip(*got[:4]) if own == m]
+            assert [x[0] for x in mine] == ([best[0]] if best[0] > 0 else [])
