@@ -241,3 +241,24 @@ def test_forest_takes_the_best_split():
                         best = max(best, (round(gini(counts[m]) - s(right) * gini(right) - s(left) * gini(left), 10), -f, -b))
             mine = [(round(g, 10), f, b) for own, f, b, g in zip(*got[:4]) if own == m]
             assert [x[0] for x in mine] == ([best[0]] if best[0] > 0 else [])
+
+
+def test_weights_are_made_where_counts_lie(spark, monkeypatch):
+    """Documents do not move by id for their weights; ids on several rows are one document, as in the counts, and rows without words have none."""
+    from collections import defaultdict
+
+    monkeypatch.setattr(features, "SLICE_WORDS", 4)
+    rows = [(1, "la ley la ley", 5), (2, "la ley", None), (2, "la norma", None), (None, "ley", 7), (None, "ley x", 7), (3, None, 1), (4, "", 1), (5, "norma de la ley de la norma", 2)]
+    docs = spark.createDataFrame(rows, "id long, t string, mark long").repartition(3)
+    texts = defaultdict(Counter)
+    for i, t, _ in rows:
+        w = [x for x in (t or "").split() if len(x) > 1]
+        texts[i].update([*w, *[f"{a} {b}" for a, b in zip(w, w[1:])]])
+    df = Counter(g for c in texts.values() for g in c)
+    weights = {(i, g): (1 + math.log(c[g])) * (math.log((1 + len(rows)) / (1 + df[g])) + 1) for i, c in texts.items() for g in c if df[g] >= 2}
+    norm = {i: math.sqrt(sum(w * w for (j, _), w in weights.items() if j == i)) for i in texts}
+    got = features.tfidf(docs, "id", "t", 50, 2, keep=["mark"]).collect()
+    assert {(r["doc_id"], r["term"]): pytest.approx(r["weight"]) for r in got} == {(i, g): w / norm[i] for (i, g), w in weights.items()}
+    assert len(got) == len(weights) and {r["doc_id"]: r["mark"] for r in got} == {1: 5, 2: None, None: 7, 5: 2}
+    alone = features.tfidf(docs.where("id in (1, 5)"), "id", "t", 50, 1)
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString() and "Window" not in alone._jdf.queryExecution().executedPlan().toString()
