@@ -198,7 +198,10 @@ def raw_idf(n: Column, df: Column) -> Column:
 
 def bm25_index(df: DataFrame, id: str, text: str) -> Bm25Index:
     """Index statistics over all rows. Negative idf values become a fraction of the mean idf."""
-    counted = counted_documents(df, id, text)
+    return counted_index(counted_documents(df, id, text))
+
+
+def counted_index(counted: DataFrame) -> Bm25Index:
     postings = bm25_postings(counted)
     lengths = counted.select("doc_id", "dl")
     sizes = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))

@@ -1,6 +1,7 @@
 """The stored lexical index against scoring every document."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,3 +43,21 @@ def test_no_rows_and_the_job(spark, tmp_path):
     assert a == b and a
     postings.write_bm25(index.where("false"), "norm_id", "title", str(tmp_path / "empty"))
     assert postings.search_stored(queries, postings.load_bm25(spark, str(tmp_path / "empty")), 2).hits.count() == 0
+
+
+def test_what_queries_make_of_the_index_does_not_move(spark, tmp_path):
+    """Postings move by block; neither terms of chosen blocks nor scores of single documents do."""
+    docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 11} w{i % 3}") for i in range(300)], "id long, text string")
+    queries = spark.createDataFrame([(1, "w1 w2 w8"), (2, "w0 w5")], "query_id long, query string")
+    postings.write_bm25(docs, "id", "text", str(tmp_path / "index"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        keep = docs.where("id % 2 = 0").select(F.col("id").cast("int").alias("doc_id"))
+        hits = postings.search_stored(queries, postings.load_bm25(spark, str(tmp_path / "index")), 3, keep=keep).hits
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        moves = re.findall(r"hashpartitioning\((.*?)\)", plan)
+        assert any(m.startswith("block") for m in moves) and not any("term" in m and "block" in m or "doc_id" in m for m in moves)
+        assert rows_of(hits) == rows_of(retrieval.bm25_topk(queries, retrieval.bm25_index(docs, "id", "text"), 3, keep=keep))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
