@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from lexmill.llm.common import kept_by_worker, query, table
 from lexmill.llm.files import as_batches, packed, read_files, write_files
 from lexmill.session import scratch_path
 
-#: Entries of a worker's word tables; a table that is full starts anew.
-CACHE_WORDS = 500_000
+#: Pieces that a worker remembers in each of two tables; when the newer is full it takes the place of the older.
+CACHE_PIECES = 250_000
+#: Bytes of text whose words are numbered at once; a longer text goes alone.
+CHUNK_BYTES = 8 << 20
+#: Parts of words in one text for the library, and texts in one call.
+CALL_PARTS, CALL_TEXTS = 64, 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -31,58 +39,119 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(other)) for b in range(256)}
 
 
-class _Words(dict):
-    """Ids of a piece of text as packed bytes, made when first asked for."""
+class _Known:
+    """Packed ids of pieces of text, made by the list; those used of late are remembered."""
 
-    def __init__(self, make):
+    def __init__(self, make: Callable[[list[str]], list[bytes]]):
         self.make = make
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[piece] = ids = self.make(piece)
-        return ids
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """Of different pieces; the empty one has none."""
+        if len(self.newer) >= CACHE_PIECES:
+            self.newer, self.older = {}, self.newer
+        found = list(map(self.newer.get, pieces))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        kept = [self.older.get(pieces[i]) for i in missed]
+        made = iter(self.make([p for i, ids in zip(missed, kept) if ids is None and (p := pieces[i])]))
+        for i, ids in zip(missed, kept):
+            self.newer[pieces[i]] = found[i] = ids if ids is not None else next(made) if pieces[i] else b""
+        return found
+
+
+def _joined(values: pa.LargeBinaryArray, offsets: pa.Array) -> pa.LargeBinaryArray:
+    """The values between each two offsets as one; `values` must begin at the start of its buffer, as results of `take` do."""
+    ends = np.append(0, np.cumsum(pc.binary_length(values).to_numpy(), dtype=np.int64))[offsets.to_numpy()]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), values.buffers()[2] or pa.py_buffer(b"")])
 
 
 class WordEncoder:
     """Ids of whole texts under a byte-level BPE that lower-cases and drops white space.
 
     Such a tokenizer never joins what stands on two sides of a space, so a text's ids
-    are those of its words in turn, and words repeat: each is encoded once by the
-    library. Words of ASCII and accented Latin-1 letters are cut by the tokenizer's own pattern (letters,
-    single digits, other signs), whose parts go to its BPE model; any other word goes
-    to its `encode` as it is, as does a word that holds the string of an added token, which the library
+    are those of its words in turn, and words repeat: Arrow numbers the different words of a chunk of texts and
+    puts their ids where they stood. Words of ASCII and accented Latin-1 letters are cut by the tokenizer's own pattern (letters,
+    single digits, other signs), and each different part goes once to the library with its BPE model; any other word goes
+    to the tokenizer's `encode` as it is, as does a word that holds the string of an added token, which the library
     takes out wherever it stands. The ids equal `encode(text, add_special_tokens=False)`.
     """
 
-    SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
-    PART = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    SIMPLE = "^[!-~À-ÖØ-öø-ÿ]*$"
+    PART = "'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        letters = _byte_letters()
-        self.letters = {chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.parts = _Words(self._part)
-        self.words = _Words(self._word)
+        #: The model alone, for parts that are already cut and written in byte-level letters.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = CharDelimiterSplit(" ")
+        size, suffix = self.tokenizer.get_vocab_size(), self.tokenizer.model.end_of_word_suffix or ""
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.letters = np.array([ord(letter) for _, letter in sorted(_byte_letters().items())], "<u4")
+        self.letters[ord(" ")] = ord(" ")
+        self.added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.parts = _Known(self._parts)
+        self.others = _Known(self._others)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        text = part if part.isascii() else "".join(map(self.letters.__getitem__, part))
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if self.SIMPLE.fullmatch(text) and not (self.added and self.added.search(text)):
-            return b"".join(map(self.parts.__getitem__, self.PART.findall(text.lower())))
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _spelled(self, parts: list[str]) -> str:
+        """The parts in byte-level letters, with spaces between them."""
+        return self.letters[np.frombuffer(" ".join(parts).encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        out, step = [], CALL_PARTS * CALL_TEXTS
+        for call in (parts[i:i + step] for i in range(0, len(parts), step)):
+            texts = [self._spelled(call[i:i + CALL_PARTS]) for i in range(0, len(call), CALL_PARTS)]
+            ids = np.array([i for e in self.model.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], self.dtype)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(call):  # the vocabulary marks the last id of a part, so one call serves many
+                packed = ids.tobytes()
+                out += [packed[a:b] for a, b in itertools.pairwise([0, *(ends * self.dtype.itemsize).tolist()])]
+            else:
+                out += [self._packed(self.model.encode(self._spelled([p]), add_special_tokens=False).ids) for p in call]
+        return out
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        return [self._packed(self.tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
+
+    def _words(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        simple = pc.match_substring_regex(words, self.SIMPLE)
+        if self.added:
+            simple = pc.and_not(simple, pc.match_substring_regex(words, self.added))
+        lower = pc.utf8_lower(words.filter(simple)).cast(pa.large_string())  # spaces may take it over 2 GB
+        spaced = pc.replace_substring_regex(lower, self.PART, r"\0 ")
+        split = pc.ascii_split_whitespace(spaced)
+        parts = split.values.dictionary_encode()
+        ids = pa.array(self.parts.ids(_listed(parts.dictionary)), pa.large_binary()).take(parts.indices)
+        others = pa.array(self.others.ids(_listed(words.filter(pc.invert(simple)))), pa.large_binary())
+        place = np.argsort(np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable"))
+        return pa.concat_arrays([_joined(ids, split.offsets), others]).take(pa.array(place))
+
+    def encode_all(self, texts: pa.StringArray) -> pa.LargeBinaryArray:
+        """Packed ids of each text; none may be null."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.values.dictionary_encode()
+        return _joined(self._words(words.dictionary).take(words.indices), split.offsets)
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return self.encode_all(pa.array([text.decode()], pa.string()))[0].as_py()
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def chunks(texts: pa.Array) -> Iterator[pa.StringArray]:
+    """Slices of as many texts as CHUNK_BYTES hold, one at least."""
+    ends, at = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while at < len(texts):
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+        yield texts[at:until].cast(pa.string())
+        at = until
 
 
 def mask(data: bytes) -> int:
@@ -154,10 +223,11 @@ def write_token_files(docs: DataFrame, id: str, text: str, path: str, tokenizer:
 
         def records() -> Iterator[bytes]:
             for batch in batches:
-                texts = batch.column(1).cast(pa.large_binary())
-                for key, value, at in zip(batch.column(0), texts, batch.column(2)):
+                texts = batch.column(1).fill_null("")
+                encoded = itertools.chain.from_iterable(map(encoder.encode_all, chunks(texts)))
+                for key, value, at in zip(batch.column(0), encoded, batch.column(2)):
                     state["range"] = at.as_py()
-                    ids = encoder.encode(value.as_py() or b"") + end
+                    ids = value.as_py() + end
                     yield frame(pack_record(key.as_py(), ids))
                     state["tokens"] += len(ids) // encoder.dtype.itemsize
 

@@ -1,12 +1,15 @@
 import hashlib
 import itertools
+import json
 import random
 import re
 import string
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_fixtures import odd_documents, without_rows
 from pyspark.sql import functions as F
@@ -201,6 +204,36 @@ def test_words_encode_as_the_whole_text():
         assert got == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_encode_in_chunks(monkeypatch, tmp_path):
+    monkeypatch.setattr(tokenfiles, "CHUNK_BYTES", 50)
+    monkeypatch.setattr(tokenfiles, "CACHE_PIECES", 9)
+    monkeypatch.setattr(tokenfiles, "CALL_PARTS", 3)
+    monkeypatch.setattr(tokenfiles, "CALL_TEXTS", 2)
+    plain = json.loads(Path(WORDS).read_text())
+    plain["model"]["end_of_word_suffix"] = None  # then no id tells where a part ends
+    (tmp_path / "plain.json").write_text(json.dumps(plain))
+    rng = random.Random(11)
+    letters = [*"aAbzÉéß'´.,!?19  \n\x00\x1f\u00a0½µΣ漢🙂", "The", "don't", "</w>", "<|endoftext|>", "schöne", " "]
+    texts = ["", " ", "\t\n", *("".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(300)), "x1" * 100, "", *["the end"] * 40]
+    for path in (WORDS, str(tmp_path / "plain.json")):
+        encoder, library = tokenfiles.WordEncoder(path), Tokenizer.from_file(path)
+        cut = list(tokenfiles.chunks(pa.array([None, *texts]).fill_null("")[1:]))
+        assert [t for c in cut for t in c.to_pylist()] == texts and all(len(c) == 1 or sum(len(t.encode()) for t in c.to_pylist()) <= 50 for c in cut)
+        got = [np.frombuffer(ids.as_py(), encoder.dtype).tolist() for c in cut for ids in encoder.encode_all(c)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(tokenfiles.chunks(pa.array([], pa.string()))) == []
+
+
+def test_library_sees_a_part_once(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "CACHE_PIECES", 25)
+    encoder, made = tokenfiles.WordEncoder(WORDS), []
+    make = encoder.parts.make
+    encoder.parts.make = lambda pieces: made.extend(pieces) or make(pieces)
+    for i in range(300):  # rare words turn the tables over; what stays in use stays known
+        encoder.encode(f'Common, common "COMMON" x{chr(97 + i % 20)}{chr(97 + i // 20)}'.encode())
+    assert len(made) == len(set(made)) == 303
+
+
 def test_token_files_round_trip(spark, tmp_path):
     df, path = odd_documents(spark, [f"text number {i}" for i in range(40)] + ["a <|endoftext|> b", "x<|startoftext|>y"]), str(tmp_path / "files")
     tokenfiles.write_token_files(df, "doc_id", "text", path, WORDS, 2)
