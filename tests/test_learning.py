@@ -262,3 +262,68 @@ def test_weights_are_made_where_counts_lie(spark, monkeypatch):
     assert len(got) == len(weights) and {r["doc_id"]: r["mark"] for r in got} == {1: 5, 2: None, None: 7, 5: 2}
     alone = features.tfidf(docs.where("id in (1, 5)"), "id", "t", 50, 1)
     assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString() and "Window" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_by_digest_takes_what_the_rank_takes(spark):
+    """Balancing and the exact split take the rows that a rank of all rows takes, without moving them; rows of one id are parted to the row."""
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 > 0).cast("int").alias("label"), F.lit("x").alias("text"))
+    digest = dataset.seeded_digest("doc_id")
+    for quotas in ({0: 0, 1: 2000}, {0: 137, 1: 700}, {0: 5000, 1: 1}):
+        ranked = dataset.hash_rank(rows, digest, by=["label"]).collect()
+        want = {r["doc_id"] for r in ranked if r["rank"] <= quotas[r["label"]]}
+        assert {r["doc_id"] for r in rows.where(dataset.first_by_digest(rows, "label", digest, quotas)).collect()} == want
+    for df in (dataset.balance(rows, "label", "doc_id"), dataset.stratified_split(rows, "label", "doc_id", exact=True)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert dataset.balance(rows, "label", "doc_id").count() == 2500
+    twice = rows.withColumn("doc_id", F.col("doc_id") % 30)
+    assert dataset.balance(twice, "label", "doc_id", 0.777).groupBy("label").count().orderBy("label").collect() == [(0, 1000), (1, 777)]
+    parts = dataset.stratified_split(twice, "label", "doc_id", exact=True).groupBy("label", "part").count().collect()
+    assert {(r[0], r[1]): r[2] for r in parts} == {(0, "test"): 150, (0, "train"): 850, (1, "test"): 300, (1, "train"): 1700}
+
+
+def test_vectors_are_made_where_counts_lie(spark, monkeypatch):
+    """Vectors, vocabulary and weights of counted documents equal those of moved postings; each row is a document, though its id stands on several."""
+    monkeypatch.setattr(features, "SLICE_WORDS", 6)
+    monkeypatch.setattr(features, "SLICES_AT_ONCE", 2)
+    words = "ley norma decreto artículo código plazo multa".split()
+    texts = [(i, i % 2, ["train", "test", "train"][i % 3], " ".join(words[(i * j) % 7] for j in range(1, 3 + i % 5)) if i % 11 else [None, ""][i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, label int, part string, text string").repartition(3)
+    counted = features.count_ngrams(docs, "doc_id", "text", "part", ["label"])
+    train = docs.where("part = 'train'")
+    postings = features.ngram_postings(train, "doc_id", "text")
+    vocabulary = features.fit_vocabulary(postings, train.count(), 12, 2)
+    got = counted.of("train").vocabulary(train.count(), 12, 2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, vocabulary.collect()))
+    for part in ("train", "test"):
+        rows = docs.where(F.col("part") == part)
+        weights = features.tfidf_weights(features.ngram_postings(rows, "doc_id", "text"), vocabulary)
+        want = {r["doc_id"]: r["features"] for r in features.assemble(rows.select("doc_id"), weights, 12).collect()}
+        made = {r["doc_id"]: r["features"] for r in counted.of(part).vectors(vocabulary, 12).collect()}
+        assert want.keys() == made.keys() == {r[0] for r in counted.of(part).docs().collect()}
+        for k, v in want.items():
+            assert v.size == made[k].size and list(v.indices) == list(made[k].indices) and made[k].values == pytest.approx(v.values)
+        assert {(r["doc_id"], r["term"]): pytest.approx(r["weight"]) for r in weights.collect()} == {(r["doc_id"], r["term"]): r["weight"] for r in counted.of(part).weights(vocabulary).collect()}
+    twice = features.count_ngrams(docs.unionAll(docs), "doc_id", "text", "part", ["label"]).of("train")
+    trained = classify.fit_text_model(twice.docs(), twice, "label", 12, 2, classify.train_logreg)
+    assert classify.score(trained, twice.docs(), twice).count() == 80
+
+
+def test_training_moves_no_posting(spark, notes, monkeypatch):
+    """Queries and the ablation fit, cross-validate and score documents counted in slices; all folds share one count."""
+    from lexmill.plans import learning
+
+    def moved(*_):
+        raise AssertionError("postings moved by document")
+
+    for module, name in ((classify, "assemble"), (classify, "pack"), (classify, "tfidf_weights"), (features, "ngram_postings")):
+        monkeypatch.setattr(module, name, moved)
+    made = []
+    counts = features._counted_slices
+    monkeypatch.setattr(features, "_counted_slices", lambda *a: made.append(a) or counts(*a))
+    docs = notes.withColumnRenamed("id", "doc_id").select("doc_id", "label", "raw_text")
+    train, test = learning._parts(docs, "raw_text")
+    pred = classify.score(classify.fit_text_model(*train, "label", 500, 2, classify.train_logreg), *test)
+    assert classify.f1_of(pred) == 1.0 and pred.count() + train[0].count() == 120
+    rows = classify.ablate(notes, "id", "label", ["raw_text", "text"], vocab=500, folds=3).collect()
+    assert [(r["text"], r["cv_mean"], r["cv_std"], r["test_f1"]) for r in rows][0] == ("raw_text", 1.0, 0.0, 1.0)
+    assert rows[1]["cv_mean"] < 1 and len(made) == 3
