@@ -189,3 +189,32 @@ def test_null_keys_are_one_key(spark):
 def test_tasks_of_costly_work_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr("lexmill.operators.skew.TASK_ROWS", 100)
     assert spread(spark.range(0, 5000, 1, 1)).rdd.getNumPartitions() == 50
+
+
+def test_items_are_judged_without_their_texts(spark, monkeypatch):
+    """What is moved by key to judge items is key, order and hash; rows of equal key and order stay apart."""
+    seen, judge = [], ingest.merge_outcomes
+    monkeypatch.setattr(ingest, "merge_outcomes", lambda norms, rows, **a: seen.append(rows.columns) or judge(norms, rows, **a))
+    rows = batch(spark, [("u", 0, "t", 1, "a"), ("v", 0, "t", 1, "b"), ("u", 1, "t", 1, "c"), ("w", 5, "t", 1, "d"), ("w", 5, "t", 1, "d")])
+    m = ingest.merge_versions(*start(spark), rows.withColumn("outcome", F.lit("of the page")), NOW)
+    assert seen == [["_row", "url", "seq", "text_hash"]]
+    assert sorted((r["url"], r["outcome"], r["raw_text"]) for r in m.outcomes.collect()) == [
+        ("u", "added", "texto a"), ("u", "updated", "texto c"), ("v", "added", "texto b"), ("w", "added", "texto d"), ("w", "unchanged", "texto d")]
+    assert m.versions.count() == 4 and m.norms.count() == 3
+
+
+def test_only_parents_with_children_are_asked_again(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "norm_id long, content string")
+    new = spark.createDataFrame([(1, "A"), (4, "D")], "norm_id long, content string")
+    changed = spark.createDataFrame([(1,), (2,), (4,)], "norm_id long")
+    again = new.where("norm_id = 1")
+    rows = [sorted(map(tuple, ingest.replace_children(old, new, changed, again=x).collect())) for x in (None, again)]
+    assert rows[0] == rows[1] == [(1, "A"), (2, "b"), (3, "c"), (4, "D")]
+
+
+def test_staging_lets_go_of_shuffle_files(spark, monkeypatch):
+    from lexmill import session
+
+    asked, release = [], session.release
+    monkeypatch.setattr(session, "release", lambda s: asked.append(s) or release(s))
+    assert session.stage(spark.range(10).repartition(3, "id")).count() == 10 and asked == [spark]

@@ -180,3 +180,19 @@ def test_term_counts(spark):
     got = one(spark, tokens.term_counts(tokens.tokens_ws("t")), t="b a b c b a")
     assert [(r["term"], r["tf"]) for r in got] == [("a", 2), ("b", 3), ("c", 1)]
     assert one(spark, tokens.term_counts(tokens.tokens_ws("t")), t="  ") is None
+
+
+def test_status_reads_its_text_once(spark):
+    """The marker is sought once in a text made once, and text without tags skips their patterns with the same outcome."""
+    from lexmill.functions.html import html_to_text, text_segments
+    from lexmill.functions.rules import marker_status, norm_status
+    from lexmill.functions.text import OUTER_WHITESPACE, strip
+
+    none = F.lit(None).cast("struct<is_valid: boolean, status: string>")
+    plan = spark.range(1).select(norm_status(none, marker_status(F.upper(F.col("id").cast("string")), 20)).alias("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract(") == 1 and plan.count("upper(cast(") == 1
+    texts = [None, "", "  ", "a", " a\n ", " \n a b \t", "a &amp; b &lt;i&gt; ", "<p> a </p> b", "\u0001a < b ", "a ", "&nbsp;x&nbsp;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.array_join(text_segments(F.coalesce("t", F.lit(""))), " ")
+    for r in df.select("t", html_to_text("t", " ", always=True).alias("a"), whole.alias("b"), strip("t").alias("c"), F.regexp_replace("t", OUTER_WHITESPACE, "").alias("d")).collect():
+        assert r["a"] == r["b"] and r["c"] == r["d"], r["t"]
